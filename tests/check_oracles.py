@@ -1,0 +1,60 @@
+"""Compare every registered query with its SQL counterpart: python tests/check_oracles.py [sf_dir] [name ...]"""
+
+from __future__ import annotations
+
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+import __spark_entry__ as contract  # noqa: E402
+from reelhouse.session import build_session  # noqa: E402
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for file in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return connection
+
+
+def difference(df, connection, sql: str) -> str | None:
+    """What differs between a Spark result and a SQL result, if anything."""
+    relation = connection.sql(sql)
+    names = sorted(df.columns)
+    if sorted(relation.columns) != names:
+        return f"columns {names} against {sorted(relation.columns)}"
+    ours = Counter(tuple(row[name] for name in names) for row in df.collect())
+    places = [relation.columns.index(name) for name in names]
+    theirs = Counter(tuple(row[place] for place in places) for row in relation.fetchall())
+    if ours == theirs:
+        return None
+    extra, missing = ours - theirs, theirs - ours
+    return (
+        f"{sum(ours.values())} against {sum(theirs.values())} rows; "
+        f"extra {list(extra)[:2]}, missing {list(missing)[:2]}"
+    )
+
+
+def main() -> int:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    chosen = sys.argv[2:]
+    spark = build_session("check", "local[8]", 8)
+    spark.sparkContext.setLogLevel("ERROR")
+    connection, oracles, bad = connect(sf_dir), contract.oracle_sql(), 0
+    for name, query in contract.queries().items():
+        if chosen and name not in chosen:
+            continue
+        start = time.time()
+        found = difference(query(spark, sf_dir), connection, oracles[name])
+        bad += found is not None
+        print(f"{name:24s} {time.time() - start:6.2f}s {'ok' if found is None else found}", flush=True)
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())
