@@ -28,8 +28,13 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: str = "ingestion_t
 
 
 def transformed_titles(bronze: DataFrame) -> DataFrame:
-    return keep_latest(require_keys(clean_titles(bronze), TITLE_REQUIRED), TITLE_KEY)
+    """Clean titles, one per (id, platform).
+
+    The platform leads the key, so the rows leave the dedupe sorted by platform and the
+    files written from it let readers of one platform skip the pages of the others.
+    """
+    return keep_latest(clean_titles(require_keys(bronze, TITLE_REQUIRED)), TITLE_KEY)
 
 
 def transformed_credits(bronze: DataFrame) -> DataFrame:
-    return keep_latest(require_keys(clean_credits(bronze), CREDIT_REQUIRED), CREDIT_KEY)
+    return keep_latest(clean_credits(require_keys(bronze, CREDIT_REQUIRED)), CREDIT_KEY)

@@ -209,13 +209,13 @@ def strip_list_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def require_keys_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = clean.clean_titles(_bronze(spark, sf_dir, "titles"))
-    return _comparable(clean.require_keys(rows, schemas.TITLE_REQUIRED))
+    rows = clean.require_keys(_bronze(spark, sf_dir, "titles"), schemas.TITLE_REQUIRED)
+    return _comparable(clean.clean_titles(rows))
 
 
 def require_keys_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = clean.clean_credits(_bronze(spark, sf_dir, "credits"))
-    return clean.require_keys(rows, schemas.CREDIT_REQUIRED)
+    rows = clean.require_keys(_bronze(spark, sf_dir, "credits"), schemas.CREDIT_REQUIRED)
+    return clean.clean_credits(rows)
 
 
 def transformed(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ INGESTION_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # --- fixed values: keys -----------------------------------------------------------
 TITLE_REQUIRED = ("id", "title", "platform")
-TITLE_KEY = ("id", "platform")
+TITLE_KEY = ("platform", "id")
 CREDIT_REQUIRED = ("person_ID", "id", "platform")
 CREDIT_KEY = ("person_ID", "id", "role", "platform")
 

@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import sys
+import tempfile
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from reelhouse.session import build_session  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    base = tempfile.mkdtemp(prefix="reelhouse-tests-")
+    session = build_session(
+        "tests",
+        "local[4]",
+        4,
+        **{
+            "spark.sql.warehouse.dir": f"{base}/warehouse",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.catalogImplementation": "in-memory",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", f"{base}/scratch")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir() -> str:
+    return SF_DIR
+
+
+@pytest.fixture
+def folder(tmp_path) -> str:
+    return str(tmp_path)

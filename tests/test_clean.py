@@ -1,0 +1,101 @@
+"""Column rules, key rule and the order they run in."""
+
+from __future__ import annotations
+
+import datetime
+
+import pytest
+
+from reelhouse import schemas
+from reelhouse.operators.clean import clean_credits, clean_titles, require_keys
+from reelhouse.operators.dedupe import transformed_credits, transformed_titles
+
+
+def titles(spark, *rows, **types):
+    columns = schemas.TITLES | types
+    full = [tuple(row.get(name) for name in columns) for row in rows]
+    return spark.createDataFrame(full, schemas.ddl(columns))
+
+
+def credits(spark, *rows):
+    full = [tuple(row.get(name) for name in schemas.CREDITS) for row in rows]
+    return spark.createDataFrame(full, schemas.ddl(schemas.CREDITS))
+
+
+KEY = {"id": "t1", "title": "x", "platform": "Netflix", "ingestion_timestamp": "2024-01-01 06:30:00"}
+
+
+def test_columns_and_types(spark):
+    kinds = clean_titles(titles(spark, KEY)).dtypes
+    doubles = {"imdb_score": "double", "tmdb_popularity": "double", "tmdb_score": "double"}
+    assert kinds == [*(schemas.TITLES | doubles).items(), ("ingestion_date", "date")]
+    assert clean_credits(credits(spark, {})).dtypes == list(schemas.CREDITS.items())
+
+
+def test_trim_strips_ascii_spaces_only(spark):
+    row = clean_titles(titles(spark, KEY | {"title": "  \tx \n  "})).first()
+    assert row.title == "\tx \n"
+
+
+def test_upper_and_list_rules(spark):
+    given = {"show_type": " show", "age_certification": " tv-ma ", "genres": ' ["drama", "crime"] '}
+    row = clean_titles(titles(spark, KEY | given | {"production_countries": "['GB', 'US']"})).first()
+    assert (row.show_type, row.age_certification) == ("SHOW", "TV-MA")
+    assert row.genres == "drama, crime"
+    assert row.production_countries == "'GB', 'US'"
+
+
+def test_platform_keeps_its_case(spark):
+    assert clean_titles(titles(spark, KEY | {"platform": " netflix "})).first().platform == "netflix"
+
+
+def test_float_widens_to_double(spark):
+    assert clean_titles(titles(spark, KEY | {"imdb_score": 7.1})).first().imdb_score == 7.099999904632568
+
+
+def test_ingestion_date_and_bad_date_text(spark):
+    rows = clean_titles(titles(spark, KEY, KEY | {"ingestion_timestamp": "soon"})).collect()
+    assert [row.ingestion_date for row in rows] == [datetime.date(2024, 1, 1), None]
+
+
+def test_untyped_numbers_become_null_not_an_error(spark):
+    raw = titles(spark, KEY | {"seasons": "2.5x", "runtime": "90"}, seasons="string", runtime="string")
+    row = clean_titles(raw).first()
+    assert (row.seasons, row.runtime) == (None, 90)
+
+
+def test_blank_title_counts_as_present_and_null_does_not(spark):
+    rows = titles(spark, KEY | {"title": "   "}, KEY | {"id": "t2", "title": None}, {})
+    kept = transformed_titles(rows).collect()
+    assert [(row.id, row.title) for row in kept] == [("t1", "")]
+
+
+@pytest.mark.parametrize("missing", schemas.CREDIT_REQUIRED)
+def test_credit_key_rule(spark, missing):
+    row = {"person_ID": "1", "id": "t1", "platform": "Hulu"}
+    rows = credits(spark, row, row | {missing: None})
+    before = clean_credits(require_keys(rows, schemas.CREDIT_REQUIRED))
+    after = require_keys(clean_credits(rows), schemas.CREDIT_REQUIRED)
+    assert before.collect() == after.collect() and before.count() == 1
+
+
+def test_keys_compare_after_trimming(spark):
+    row = {"person_ID": "1", "id": "t1", "platform": "Hulu", "role": "actor"}
+    padded = {"person_ID": " 1", "id": "t1 ", "platform": " Hulu ", "role": " ACTOR "}
+    assert transformed_credits(credits(spark, row, padded)).count() == 1
+
+
+def test_clean_is_idempotent_but_for_text_padded_inside_brackets(spark):
+    plain = KEY | {"genres": '["a", "b"]', "show_type": " show "}
+    once = clean_titles(titles(spark, plain))
+    twice = clean_titles(once.drop("ingestion_date"))
+    assert once.collect() == twice.collect()
+    inside = clean_titles(titles(spark, plain | {"genres": '[ "a" ]'}))
+    assert inside.first().genres == " a "
+
+
+def test_null_checks_reach_the_parquet_scan(spark, folder):
+    titles(spark, KEY).write.parquet(f"{folder}/bronze")
+    result = transformed_titles(spark.read.parquet(f"{folder}/bronze"))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), IsNotNull(title), IsNotNull(platform)]" in plan

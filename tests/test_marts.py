@@ -1,0 +1,99 @@
+"""Star schema, top-N, samples, view."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+
+from reelhouse import schemas
+from reelhouse.operators.dedupe import transformed_credits, transformed_titles
+from reelhouse.operators.marts import sample_rows, top_n
+from reelhouse.operators.star import dim_person, dim_title, fact_credits
+from reelhouse.registry import inputs
+from reelhouse.sinks.tables import create_database, create_popularity_view, write_table
+
+DDL = "id string, platform string, tmdb_popularity double, imdb_votes int"
+
+
+def ranked(spark):
+    rows = [
+        ("a", "Netflix", 1.0, 5),
+        ("b", "Netflix", None, 5),
+        ("c", "Netflix", float("nan"), 7),
+        ("d", "Netflix", 5.0, None),
+        ("e", "Disney", 9.0, 9),
+        ("f", "netflix", 8.0, 8),
+    ]
+    return spark.createDataFrame(rows, DDL).repartition(3)
+
+
+def test_nan_leads_and_null_trails(spark):
+    assert [row.id for row in top_n(ranked(spark), "Netflix", "tmdb_popularity").collect()] == list("cdab")
+
+
+def test_nan_as_null(spark):
+    best = top_n(ranked(spark), "Netflix", "tmdb_popularity", nan_as_null=True).collect()
+    assert [row.id for row in best] == list("dabc")
+    assert math.isnan(best[-1].tmdb_popularity)
+
+
+def test_ties_fall_to_the_id(spark):
+    assert [row.id for row in top_n(ranked(spark), "Netflix", "imdb_votes", n=2).collect()] == list("ca")
+
+
+@pytest.mark.parametrize("fan_in", [1, 3, 64])
+@pytest.mark.parametrize("n", [1, 100, 1500])
+def test_merging_in_groups_gives_the_plain_limit(spark, sf_dir, fan_in, n):
+    titles = transformed_titles(inputs.bronze_titles(spark, "/root/testdata/sf0.01")).repartition(9)
+    merged = top_n(titles, "Disney", "imdb_votes", n=n, fan_in=fan_in).collect()
+    plain = titles.where("platform = 'Disney'").orderBy("imdb_votes", "id").collect()
+    plain.sort(key=lambda row: (row.imdb_votes is None, -(row.imdb_votes or 0), row.id))
+    assert [row.id for row in merged] == [row.id for row in plain[:n]]
+
+
+def test_top_n_is_cut_per_task_before_the_shuffle(spark):
+    plan = top_n(ranked(spark), "Netflix", "imdb_votes")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_platform_filter_reaches_the_written_table(spark, sf_dir, folder):
+    transformed_titles(inputs.bronze_titles(spark, sf_dir)).write.parquet(f"{folder}/titles")
+    best = top_n(spark.read.parquet(f"{folder}/titles"), "Netflix", "tmdb_popularity")
+    assert "EqualTo(platform,Netflix)" in best._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sample_is_repeatable(spark, sf_dir):
+    titles = inputs.bronze_titles(spark, sf_dir)
+    one = sample_rows(titles, 10, ["id"]).collect()
+    other = sample_rows(titles.repartition(5), 10, ["id"]).collect()
+    assert list(map(repr, one)) == list(map(repr, other)) and len(one) == 10
+
+
+def test_star_schema(spark, sf_dir):
+    titles = transformed_titles(inputs.bronze_titles(spark, sf_dir))
+    credits = transformed_credits(inputs.bronze_credits(spark, sf_dir))
+    assert dim_title(titles).columns == list(schemas.DIM_TITLE)
+    assert fact_credits(credits).columns == ["person_id", "id", "role", "platform", "character_name"]
+    assert fact_credits(credits).count() == credits.count()
+    people = dim_person(credits)
+    assert people.columns == ["person_ID", "name"]
+    assert people.count() > people.select("person_ID").distinct().count()
+
+
+def test_view_average_with_null_and_nan(spark, folder):
+    create_database(spark, "view_test", f"{folder}/db")
+    rows = [
+        ("Hulu", 2000, 1.0, 2.0),
+        ("Hulu", 2000, None, 4.0),
+        ("Hulu", None, float("nan"), 1.0),
+        ("Hulu", None, 1.0, None),
+    ]
+    ddl = "platform string, release_year int, tmdb_popularity double, imdb_score double"
+    write_table(spark.createDataFrame(rows, ddl), "view_test", "dim_title")
+    view = {row.release_year: row for row in create_popularity_view(spark, "view_test").collect()}
+    assert (view[2000].avg_tmdb_popularity, view[2000].avg_imdb_score) == (1.0, 3.0)
+    assert math.isnan(view[None].avg_tmdb_popularity) and view[None].avg_imdb_score == 1.0
+    filtered = spark.table("view_test.v_popularity_by_year").where("platform = 'Hulu'")
+    assert "EqualTo(platform,Hulu)" in filtered._jdf.queryExecution().executedPlan().toString()
