@@ -1,0 +1,119 @@
+"""The whole run, from CSV files to published tables."""
+
+from __future__ import annotations
+
+import datetime
+import uuid
+from functools import partial
+
+import pytest
+
+from reelhouse import DailyRun, Feed, run_daily, schemas, transform
+from reelhouse.plans.ingest import ingest
+from reelhouse.plans.publish import publish_tables
+from reelhouse.registry import inputs
+from reelhouse.sinks.events import to_folder
+from reelhouse.sinks.jdbc import JdbcTarget, PublishError
+from reelhouse.sources.bronze import MissingInput
+from reelhouse.sources.events import from_folder
+
+
+def export(spark, sf_dir, folder):
+    """CSV exports of every platform, written from the fixture tables."""
+    feeds = []
+    keep = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    tables = {
+        "titles": (inputs.bronze_titles(spark, sf_dir), schemas.csv_columns(schemas.TITLES)),
+        "credits": (inputs.bronze_credits(spark, sf_dir), schemas.csv_columns(schemas.CREDITS)),
+    }
+    for platform in schemas.PLATFORMS:
+        paths = {}
+        for entity, (rows, columns) in tables.items():
+            paths[entity] = f"{folder}/csv/{platform}/{entity}"
+            rows.where(f"trim(platform) = '{platform}'").select(*columns).write.csv(paths[entity], **keep)
+        feeds.append(Feed(platform, paths["titles"], paths["credits"]))
+    return tuple(feeds)
+
+
+def daily(spark, folder, feeds, **settings):
+    base = f"{folder}/topics"
+    return DailyRun(
+        feeds=feeds,
+        deliver=lambda events, topic: to_folder(events, f"{base}/{topic}"),
+        receive=lambda session, topic: from_folder(session, f"{base}/{topic}"),
+        lake=f"{folder}/lake",
+        location=f"{folder}/warehouse",
+        **settings,
+    )
+
+
+def test_two_runs(spark, sf_dir, folder):
+    feeds = export(spark, sf_dir, folder)
+    database = f"daily_{uuid.uuid4().hex}"
+    first = daily(spark, folder, feeds, database=database, ingested_at="2024-03-01 05:00:00", snapshot_date=datetime.date(2024, 3, 1))
+    tables = run_daily(spark, first)
+    titles = tables["transformed_titles"]
+    assert titles.columns == [*schemas.TITLES, "ingestion_date"]
+    assert {row[0] for row in titles.select("platform").distinct().collect()} == set(schemas.PLATFORMS)
+    # Same keys as the fixture tables, whose padded platforms trim to the tags.
+    expected = inputs.bronze_titles(spark, sf_dir).where("id IS NOT NULL AND title IS NOT NULL")
+    assert titles.count() == expected.selectExpr("trim(id)", "trim(platform)").distinct().count()
+    assert tables["fact_credits"].count() == tables["transformed_credits"].count()
+    for mart, (platform, _) in schemas.MARTS.items():
+        rows = tables[mart].collect()
+        assert 0 < len(rows) <= schemas.MART_ROWS and {row.platform for row in rows} == {platform}
+    assert tables["v_popularity_by_year"].count() > 0
+    before = {name: df.count() for name, df in tables.items()}
+
+    second = daily(spark, folder, feeds, database=database, ingested_at="2024-03-02 05:00:00", snapshot_date=datetime.date(2024, 3, 2))
+    again = run_daily(spark, second)
+    assert {name: df.count() for name, df in again.items()} == before
+    assert {row[0] for row in again["transformed_titles"].select("ingestion_date").distinct().collect()} == {datetime.date(2024, 3, 2)}
+    snapshots = spark.read.parquet(f"{folder}/lake/curated/snapshots/titles").groupBy("snapshot_date").count()
+    assert sorted(row["count"] for row in snapshots.collect()) == [before["transformed_titles"]] * 2
+
+
+def test_sample_sends_so_many_rows_of_each_export(spark, sf_dir, folder):
+    feeds = export(spark, sf_dir, folder)
+    sent = {}
+    ingest(spark, feeds, lambda events, topic: sent.update({topic: events.count()}), sample=10)
+    assert sent == {schemas.TITLES_TOPIC: 40, schemas.CREDITS_TOPIC: 40}
+
+
+def test_transform_without_input_raises_and_creates_nothing(spark, folder):
+    database = f"absent_{uuid.uuid4().hex}"
+    with pytest.raises(MissingInput):
+        transform(spark, f"{folder}/t", f"{folder}/c", f"{folder}/s", database=database)
+    assert not spark.catalog.databaseExists(database)
+
+
+@pytest.fixture
+def transformed(spark, sf_dir, folder):
+    inputs.bronze_titles(spark, sf_dir).write.parquet(f"{folder}/t")
+    inputs.bronze_credits(spark, sf_dir).write.parquet(f"{folder}/c")
+    database = f"publish_{uuid.uuid4().hex}"
+    run = partial(transform, spark, f"{folder}/t", f"{folder}/c", f"{folder}/s", database=database, location=f"{folder}/w")
+    return database, run
+
+
+def test_transform_twice_gives_the_same_tables(spark, folder, transformed):
+    _, run = transformed
+    first = {name: sorted(map(repr, df.collect())) for name, df in run(replace_day=True).items()}
+    second = {name: sorted(map(repr, df.collect())) for name, df in run(replace_day=True, side_by_side=1).items()}
+    assert first == second
+    assert spark.read.parquet(f"{folder}/s/credits").count() == len(first["transformed_credits"])
+
+
+def test_one_bad_type_list_stops_all_publishing(spark, transformed):
+    database, run = transformed
+    run()
+    target = JdbcTarget(f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    types = {"transformed_titles": None, "transformed_credits": "nothing VARCHAR(3)"}
+    with pytest.raises(PublishError):
+        publish_tables(spark, target, database, types)
+    tables = spark.read.format("jdbc").options(**target.options()).option(
+        "query", "SELECT tablename FROM sys.systables WHERE tabletype = 'T'"
+    )
+    assert tables.load().count() == 0
+    publish_tables(spark, target, database, {"transformed_titles": None, "transformed_credits": "id VARCHAR(64)"})
+    assert sorted(row[0] for row in tables.load().collect()) == ["TRANSFORMED_CREDITS", "TRANSFORMED_TITLES"]
