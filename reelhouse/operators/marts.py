@@ -13,11 +13,22 @@ from reelhouse.schemas import MART_ROWS
 MERGE_LIMIT = 1000
 
 
-def _ordering(metric: str, tie_break: str, nan_as_null: bool) -> list[Column]:
-    value = F.col(metric)
-    if nan_as_null:
-        value = F.when(~F.isnan(value), value)
-    return [value.desc_nulls_last(), F.col(tie_break).asc_nulls_last()]
+def _first_rows(rows: DataFrame, order: list[Column], n: int, fan_in: int) -> DataFrame:
+    """The first `n` rows by a total order, merged in two steps.
+
+    A plain sorted limit sends `n` rows of every scan task to one last task, which is too
+    many with very many tasks. So the rows are first cut to `n` in each scan task and in
+    each of `fan_in` groups of scan tasks; the last task sees `n * fan_in` rows.
+    """
+    if n <= MERGE_LIMIT:
+        group = Window.partitionBy("_group").orderBy(*order)
+        rows = (
+            rows.withColumn("_group", F.spark_partition_id() % fan_in)
+            .withColumn("_rank", F.row_number().over(group))
+            .where(F.col("_rank") <= n)
+            .drop("_group", "_rank")
+        )
+    return rows.orderBy(*order).limit(n)
 
 
 def top_n(
@@ -29,28 +40,19 @@ def top_n(
     nan_as_null: bool = False,
     fan_in: int = 64,
 ) -> DataFrame:
-    """The `n` titles of one platform with the highest metric, nulls last.
+    """The `n` titles of one platform with the highest metric, nulls last, ties by id.
 
     NaN ranks above every number, as in any descending Spark sort; `nan_as_null=True`
-    ranks it with the nulls. A plain sorted limit sends `n` rows of every scan task to one
-    last task, which is too many with very many tasks, so the winners are first merged
-    in `fan_in` groups of scan tasks.
+    ranks it with the nulls.
     """
-    rows = titles.where(F.col("platform") == platform)
-    order = _ordering(metric, tie_break, nan_as_null)
-    if n > MERGE_LIMIT:
-        return rows.orderBy(*order).limit(n)
-    group = Window.partitionBy("_group").orderBy(*order)
-    merged = (
-        rows.withColumn("_group", F.spark_partition_id() % fan_in)
-        .withColumn("_rank", F.row_number().over(group))
-        .where(F.col("_rank") <= n)
-        .drop("_group", "_rank")
-    )
-    return merged.orderBy(*order).limit(n)
-
-
-def sample_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
+    value = F.col(metric)
+    if nan_as_null:
+        value = F.when(~F.isnan(value), value)
+    order = [value.desc_nulls_last(), F.col(tie_break).asc_nulls_last()]
+    return _first_rows(titles.where(F.col("platform") == platform), order, n, fan_in)
+
+
+def sample_rows(df: DataFrame, n: int, order_by: list[str], fan_in: int = 64) -> DataFrame:
     """The first `n` rows by the given columns and then all others: the same rows each time."""
     names = order_by + [name for name in df.columns if name not in order_by]
-    return df.orderBy(*(F.col(name).asc_nulls_last() for name in names)).limit(n)
+    return _first_rows(df, [F.col(name).asc_nulls_last() for name in names], n, fan_in)

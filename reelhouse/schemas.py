@@ -41,10 +41,13 @@ TAG_COLUMNS = ("platform", "ingestion_timestamp")
 INGESTION_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # --- fixed values: keys -----------------------------------------------------------
+# The order within a key is free and decides how the transformed files are sorted:
+# titles by platform, which marts and view filter on; credits by title, which has many more
+# values than the person and so sorts faster and packs better.
 TITLE_REQUIRED = ("id", "title", "platform")
 TITLE_KEY = ("platform", "id")
 CREDIT_REQUIRED = ("person_ID", "id", "platform")
-CREDIT_KEY = ("person_ID", "id", "role", "platform")
+CREDIT_KEY = ("id", "person_ID", "role", "platform")
 
 # --- fixed values: star schema projections ----------------------------------------
 DIM_TITLE = (
