@@ -6,34 +6,31 @@ When it runs, and what happens after a failure, is up to the scheduler that call
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from reelhouse import schemas
-from reelhouse.plans.bronze import start_bronze
+from reelhouse.plans.bronze import Receive, land_topics
 from reelhouse.plans.ingest import Deliver, Feed, ingest
+from reelhouse.plans.lake import Lake
 from reelhouse.plans.publish import publish_tables
 from reelhouse.plans.transform import transform
 from reelhouse.sinks.jdbc import JdbcTarget
-from reelhouse.streaming.drain import finish_all
-
-# Opens the stream of a topic.
-Receive = Callable[[SparkSession, str], DataFrame]
 
 
 @dataclass(frozen=True)
 class DailyRun:
-    """Settings of one run. `lake` is the shared base folder of bronze, checkpoints and snapshots."""
+    """Settings of one run; without a `target` nothing is published."""
 
     feeds: tuple[Feed, ...]
     deliver: Deliver
     receive: Receive
-    lake: str
+    lake: Lake
     database: str = schemas.DATABASE
     location: str | None = None
     target: JdbcTarget | None = None
+    column_types: dict[str, str | None] | None = None
     sample: int | None = None
     ingested_at: str | None = None
     snapshot_date: datetime.date | None = None
@@ -44,30 +41,17 @@ class DailyRun:
 def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
     """Run every step and return scans of the tables by name; the first failure is raised."""
     ingest(spark, run.feeds, run.deliver, run.ingested_at, run.sample)
-
-    titles = f"{run.lake}/{schemas.TITLES_TOPIC}"
-    credits = f"{run.lake}/{schemas.CREDITS_TOPIC}"
-    checkpoints = f"{run.lake}/checkpoints"
-    drains = [
-        start_bronze(
-            run.receive(spark, schemas.TITLES_TOPIC), schemas.TITLES, titles, f"{checkpoints}/titles"
-        ),
-        start_bronze(
-            run.receive(spark, schemas.CREDITS_TOPIC), schemas.CREDITS, credits, f"{checkpoints}/credits"
-        ),
-    ]
-    finish_all(drains, run.stream_window_secs)
-
+    land_topics(spark, run.receive, run.lake, run.stream_window_secs)
     tables = transform(
         spark,
-        titles,
-        credits,
-        f"{run.lake}/curated/snapshots",
+        run.lake.titles,
+        run.lake.credits,
+        run.lake.snapshots,
         database=run.database,
         location=run.location,
         snapshot_date=run.snapshot_date,
         replace_day=run.replace_day,
     )
     if run.target:
-        publish_tables(spark, run.target, run.database)
+        publish_tables(spark, run.target, run.database, run.column_types)
     return tables

@@ -8,7 +8,7 @@ from functools import partial
 
 import pytest
 
-from reelhouse import DailyRun, Feed, run_daily, schemas, transform
+from reelhouse import DailyRun, Feed, Lake, run_daily, schemas, transform
 from reelhouse.plans.ingest import ingest
 from reelhouse.plans.publish import publish_tables
 from reelhouse.registry import inputs
@@ -41,7 +41,7 @@ def daily(spark, folder, feeds, **settings):
         feeds=feeds,
         deliver=lambda events, topic: to_folder(events, f"{base}/{topic}"),
         receive=lambda session, topic: from_folder(session, f"{base}/{topic}"),
-        lake=f"{folder}/lake",
+        lake=Lake(f"{folder}/lake"),
         location=f"{folder}/warehouse",
         **settings,
     )
