@@ -58,7 +58,12 @@ def parser() -> argparse.ArgumentParser:
 
     tables = argparse.ArgumentParser(add_help=False)
     tables.add_argument("--database", default=schemas.DATABASE)
-    tables.add_argument("--hive", action="store_true", help="use the Hive catalog")
+    tables.add_argument(
+        "--catalog",
+        choices=("hive", "in-memory"),
+        default="hive",
+        help="in-memory forgets the tables when the session ends (default %(default)s)",
+    )
 
     snapshots = argparse.ArgumentParser(add_help=False)
     snapshots.add_argument("--snapshot-date", type=datetime.date.fromisoformat, help="default: today")
@@ -142,7 +147,7 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
 
 def main(words: list[str] | None = None) -> None:
     arguments = parser().parse_args(words)
-    spark = build_session(f"reelhouse {arguments.step}", hive=getattr(arguments, "hive", False))
+    spark = build_session(f"reelhouse {arguments.step}", hive=getattr(arguments, "catalog", "") == "hive")
     run(spark, arguments)
 
 

@@ -13,10 +13,21 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
 
 
 def write_table(df: DataFrame, database: str, table: str) -> DataFrame:
-    """Overwrite a managed table and return a scan of what was written."""
+    """Replace the rows of a managed table and return a scan of what was written.
+
+    The table is created, or created anew if its columns changed, before any file is written.
+    So a run that dies half-way leaves a table that the next run overwrites, and never files
+    without a table, which would block it.
+    """
+    spark = df.sparkSession
     name = f"`{database}`.`{table}`"
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    columns = df.dtypes
+    if not spark.catalog.tableExists(name) or spark.table(name).dtypes != columns:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        listed = ", ".join(f"`{column}` {kind}" for column, kind in columns)
+        spark.sql(f"CREATE TABLE {name} ({listed}) USING parquet")
+    df.write.insertInto(name, overwrite=True)
+    return spark.table(name)
 
 
 def create_popularity_view(spark: SparkSession, database: str) -> DataFrame:

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
+from reelhouse.sources.errors import MissingInput
 
-class MissingInput(Exception):
-    """An input folder does not exist, is empty, or lacks columns."""
+NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_bronze(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:

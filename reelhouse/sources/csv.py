@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.schemas import ddl
+from reelhouse.sources.errors import MissingInput
 
 
 def read_csv(spark: SparkSession, path: str, columns: dict[str, str], multi_line: bool = True) -> DataFrame:
@@ -20,6 +21,8 @@ def read_csv(spark: SparkSession, path: str, columns: dict[str, str], multi_line
     """
     layout = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
     header = spark.read.csv(path, **layout).columns
+    if not header:
+        raise MissingInput(f"no header row in {path}")
     typed = ddl({name: columns.get(name, "string") for name in header})
     scan = spark.read.schema(typed).csv(path, **layout)
     return scan.select(

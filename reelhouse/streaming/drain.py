@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,14 +35,18 @@ def finish(query: StreamingQuery, timeout_secs: float | None = None) -> None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout_secs):
         query.stop()
-        raise TimeoutError(f"stream did not drain within {timeout_secs} s; rerun to continue")
+        raise TimeoutError("stream did not drain within its time limit; rerun to continue")
 
 
-def finish_all(queries: list[StreamingQuery], timeout_secs: float | None = None) -> None:
-    """Wait for several drains that run side by side; stop the others if one fails."""
+def drain_all(starts: Iterable[Callable[[], StreamingQuery]], timeout_secs: float | None = None) -> None:
+    """Run several drains side by side within one time limit; if one fails, stop the others."""
+    deadline = None if timeout_secs is None else time.monotonic() + timeout_secs
+    queries: list[StreamingQuery] = []
     try:
+        for start in starts:
+            queries.append(start())
         for query in queries:
-            finish(query, timeout_secs)
+            finish(query, None if deadline is None else max(deadline - time.monotonic(), 0.001))
     finally:
         for query in queries:
             if query.isActive:

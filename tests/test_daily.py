@@ -14,7 +14,7 @@ from reelhouse.plans.publish import publish_tables
 from reelhouse.registry import inputs
 from reelhouse.sinks.events import to_folder
 from reelhouse.sinks.jdbc import JdbcTarget, PublishError
-from reelhouse.sources.bronze import MissingInput
+from reelhouse.sources.errors import MissingInput
 from reelhouse.sources.events import from_folder
 
 

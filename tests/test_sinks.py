@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import pathlib
 import uuid
 
 import pytest
@@ -66,6 +67,23 @@ def test_table_overwrite_replaces_rows(spark, folder):
     assert spark.table("sink_test.t").count() == 1
 
 
+def test_changed_columns_replace_the_table(spark, folder):
+    create_database(spark, "sink_test_columns", f"{folder}/db")
+    write_table(frame(spark, ("a", 1)), "sink_test_columns", "t")
+    wider = frame(spark, ("b", 2, 1.5), ddl="id string, n int, x double")
+    assert [tuple(row) for row in write_table(wider, "sink_test_columns", "t").collect()] == [("b", 2, 1.5)]
+
+
+def test_failed_write_does_not_block_the_next_one(spark, folder):
+    create_database(spark, "sink_test_failed", f"{folder}/db")
+    failing = frame(spark, ("a", 1)).selectExpr("id", "cast(raise_error('lost') as int) as n")
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            write_table(failing, "sink_test_failed", "t")
+    (pathlib.Path(folder) / "db" / "t" / "part-0-left-behind.parquet").write_text("half a file")
+    assert [tuple(row) for row in write_table(frame(spark, ("b", 2)), "sink_test_failed", "t").collect()] == [("b", 2)]
+
+
 # --- publish -----------------------------------------------------------------------
 
 

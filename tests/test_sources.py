@@ -13,8 +13,9 @@ from reelhouse.operators.combine import union_all
 from reelhouse.session import scratch_path
 from reelhouse.sinks import events as event_sink
 from reelhouse.sources import events as event_source
-from reelhouse.sources.bronze import MissingInput, read_bronze
+from reelhouse.sources.bronze import read_bronze
 from reelhouse.sources.csv import read_csv
+from reelhouse.sources.errors import MissingInput
 
 COLUMNS = {"id": "string", "title": "string", "seasons": "int", "imdb_score": "float"}
 
@@ -62,6 +63,12 @@ def test_single_line_files_read_the_same_either_way(spark, folder):
     assert read_csv(spark, folder, COLUMNS, multi_line=False).collect() == whole
 
 
+def test_file_without_a_header_raises(spark, folder):
+    write(folder, "")
+    with pytest.raises(MissingInput, match="no header row"):
+        read_csv(spark, folder, COLUMNS)
+
+
 def test_only_needed_columns_are_read(spark, folder):
     write(folder, "id,title,seasons,imdb_score,extra\nt1,A,1,2,x\n")
     plan = read_csv(spark, folder, COLUMNS).select("id")._jdf.queryExecution().executedPlan().toString()

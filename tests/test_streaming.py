@@ -11,7 +11,7 @@ from reelhouse.registry import inputs
 from reelhouse.sinks.events import to_folder
 from reelhouse.sources.bronze import read_bronze
 from reelhouse.sources.events import from_folder
-from reelhouse.streaming.drain import finish, finish_all
+from reelhouse.streaming.drain import drain_all, finish
 
 
 def drain(spark, folder, **limits):
@@ -82,10 +82,21 @@ def test_time_limit_stops_the_stream_and_raises():
 def test_failure_of_one_stream_stops_the_others():
     queries = [Endless(), Endless()]
     with pytest.raises(TimeoutError):
-        finish_all(queries, 1)
+        drain_all([lambda: queries[0], lambda: queries[1]], 1)
     assert not any(query.isActive for query in queries)
 
 
+def test_stream_that_cannot_start_stops_the_others():
+    running = Endless()
+
+    def broken():
+        raise RuntimeError("no such topic")
+
+    with pytest.raises(RuntimeError):
+        drain_all([lambda: running, broken])
+    assert not running.isActive
+
+
 def test_interrupted_drain_goes_on_where_it_stopped(spark, sf_dir, folder):
     titles = inputs.bronze_titles(spark, sf_dir)
     to_folder(encode(titles.repartition(6)), f"{folder}/landing")
