@@ -73,7 +73,35 @@ TAGGED_COLUMNS = _columns(
     platform="trim(platform, ' ') AS platform",
     ingestion_timestamp="'2024-03-01 05:00:00' AS ingestion_timestamp",
 )
-CSV_ORDER = ", ".join(f"{name} ASC NULLS LAST" for name in schemas.csv_columns(schemas.TITLES))
+TAGGED_CREDIT_COLUMNS = _columns(
+    schemas.CREDITS,
+    platform="trim(platform, ' ') AS platform",
+    ingestion_timestamp="'2024-03-01 05:00:00' AS ingestion_timestamp",
+)
+CSV_CREDIT_COLUMNS = ", ".join(schemas.csv_columns(schemas.CREDITS))
+
+
+def _sampled(columns: str, table: str, order: list[str]) -> str:
+    ranked = ", ".join(f"{name} ASC NULLS LAST" for name in order)
+    return f"""
+        SELECT {columns} FROM (
+          SELECT * FROM {table}
+          QUALIFY row_number() OVER (PARTITION BY trim(platform, ' ') ORDER BY {ranked}) <= 10
+        ) AS sampled"""
+
+
+def _per_day(table: str) -> str:
+    return f"""
+        SELECT day AS snapshot_date, count(*) AS row_count
+        FROM {table}, (VALUES ('2024-03-01'), ('2024-03-02')) AS d(day) GROUP BY day"""
+
+
+def _best(condition: str, metric: str) -> str:
+    return f"""
+        SELECT {TITLE_COLUMNS} FROM (
+          SELECT * FROM titles WHERE {condition} ORDER BY {metric} DESC NULLS LAST, titles.id LIMIT 100
+        ) AS best"""
+
 
 BRONZE_TITLES = f"SELECT {BRONZE_TITLE_COLUMNS} FROM bronze_titles"
 BRONZE_CREDITS = f"SELECT {CREDIT_COLUMNS} FROM bronze_credits"
@@ -88,13 +116,15 @@ BODIES = {
     "bronze_titles": BRONZE_TITLES,
     "bronze_credits": BRONZE_CREDITS,
     "csv_scan_titles": f"SELECT {_columns(schemas.csv_columns(schemas.TITLES))} FROM bronze_titles",
+    "csv_scan_credits": f"SELECT {CSV_CREDIT_COLUMNS} FROM bronze_credits",
     "tag_union_titles": f"SELECT {TAGGED_COLUMNS} FROM bronze_titles",
-    "sample_titles": f"""
-        SELECT {TAGGED_COLUMNS} FROM (
-          SELECT * FROM bronze_titles
-          QUALIFY row_number() OVER (PARTITION BY trim(platform, ' ') ORDER BY {CSV_ORDER}) <= 10
-        ) AS sampled""",
+    "tag_union_credits": f"SELECT {TAGGED_CREDIT_COLUMNS} FROM bronze_credits",
+    "sample_titles": _sampled(TAGGED_COLUMNS, "bronze_titles", list(schemas.csv_columns(schemas.TITLES))),
+    "sample_credits": _sampled(
+        TAGGED_CREDIT_COLUMNS, "bronze_credits", list(schemas.csv_columns(schemas.CREDITS))
+    ),
     "encode_titles": BRONZE_TITLES,
+    "encode_credits": BRONZE_CREDITS,
     "decode_titles": BRONZE_TITLES,
     "decode_credits": BRONZE_CREDITS,
     "decode_event_props": """
@@ -115,6 +145,8 @@ BODIES = {
     "stream_quarantine": """
         SELECT 'no year: ' || imdb_id || ' ' || ingestion_timestamp AS raw_text
         FROM bronze_titles WHERE release_year IS NULL""",
+    "csv_to_bronze_titles": f"SELECT {TAGGED_COLUMNS} FROM bronze_titles",
+    "csv_to_bronze_credits": f"SELECT {TAGGED_CREDIT_COLUMNS} FROM bronze_credits",
     "strip_list_text": """
         SELECT id, regexp_replace(trim(genres, ' '), '[\\[\\]"]', '', 'g') AS genres,
           regexp_replace(trim(production_countries, ' '), '[\\[\\]"]', '', 'g') AS production_countries
@@ -123,25 +155,18 @@ BODIES = {
     "require_keys_credits": f"SELECT {CREDIT_COLUMNS} FROM credits_required",
     "titles_clean": f"SELECT {TITLE_COLUMNS} FROM titles",
     "credits_clean": f"SELECT {CREDIT_COLUMNS} FROM credits",
-    "snapshot_titles": """
-        SELECT day AS snapshot_date, count(*) AS row_count
-        FROM titles, (VALUES ('2024-03-01'), ('2024-03-02')) AS d(day) GROUP BY day""",
-    "snapshot_credits": """
-        SELECT day AS snapshot_date, count(*) AS row_count
-        FROM credits, (VALUES ('2024-03-01'), ('2024-03-02')) AS d(day) GROUP BY day""",
+    "snapshot_titles": _per_day("titles"),
+    "snapshot_credits": _per_day("credits"),
+    "snapshot_replaced_titles": _per_day("titles"),
+    "snapshot_replaced_credits": _per_day("credits"),
     "dim_title": f"SELECT {_columns(schemas.DIM_TITLE)} FROM titles",
     "dim_person": "SELECT DISTINCT person_ID, name FROM credits",
     "fact_credits": "SELECT person_ID AS person_id, id, role, platform, character_name FROM credits",
-    "netflix_popularity": f"""
-        SELECT {TITLE_COLUMNS} FROM (
-          SELECT * FROM titles WHERE platform = 'Netflix'
-          ORDER BY titles.tmdb_popularity DESC NULLS LAST, titles.id LIMIT 100
-        ) AS best""",
-    "disney_trending": f"""
-        SELECT {TITLE_COLUMNS} FROM (
-          SELECT * FROM titles WHERE platform = 'Disney'
-          ORDER BY titles.imdb_votes DESC NULLS LAST, titles.id LIMIT 100
-        ) AS best""",
+    "netflix_popularity": _best("platform = 'Netflix'", "titles.tmdb_popularity"),
+    "netflix_popularity_nan_last": _best(
+        "platform = 'Netflix'", "CASE WHEN NOT isnan(titles.tmdb_popularity) THEN titles.tmdb_popularity END"
+    ),
+    "disney_trending": _best("platform = 'Disney'", "titles.imdb_votes"),
     "popularity_by_year": """
         SELECT platform, release_year,
           CASE WHEN NOT isnan(popularity) THEN round(popularity, 6) END AS avg_tmdb_popularity,
@@ -151,6 +176,18 @@ BODIES = {
           SELECT platform, release_year, avg(tmdb_popularity) AS popularity, avg(imdb_score) AS score
           FROM titles GROUP BY platform, release_year
         ) AS grouped""",
+    "transform_tables": """
+        SELECT 'transformed_titles' AS output, count(*) AS row_count FROM titles
+        UNION ALL SELECT 'transformed_credits', count(*) FROM credits
+        UNION ALL SELECT 'dim_title', count(*) FROM titles
+        UNION ALL SELECT 'dim_person', count(*) FROM (SELECT DISTINCT person_ID, name FROM credits) AS people
+        UNION ALL SELECT 'fact_credits', count(*) FROM credits
+        UNION ALL SELECT 'curated_netflix_popularity', least(100, count(*)) FROM titles WHERE platform = 'Netflix'
+        UNION ALL SELECT 'curated_disney_trending', least(100, count(*)) FROM titles WHERE platform = 'Disney'
+        UNION ALL SELECT 'v_popularity_by_year', count(*)
+          FROM (SELECT DISTINCT platform, release_year FROM titles) AS years
+        UNION ALL SELECT 'snapshots/titles', count(*) FROM titles
+        UNION ALL SELECT 'snapshots/credits', count(*) FROM credits""",
     "publish_titles": f"SELECT {PUBLISHED_TITLE_COLUMNS} FROM titles",
     "publish_credits": f"SELECT {CREDIT_COLUMNS} FROM credits",
 }

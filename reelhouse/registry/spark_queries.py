@@ -20,7 +20,10 @@ from reelhouse.functions.tagging import tag
 from reelhouse.functions.text import list_text, trimmed
 from reelhouse.operators import clean, dedupe, marts, star
 from reelhouse.operators.combine import union_all
-from reelhouse.plans.bronze import land_rejects, start_bronze
+from reelhouse.plans.bronze import land_rejects, land_topics, start_bronze
+from reelhouse.plans.ingest import Feed, ingest
+from reelhouse.plans.lake import Lake
+from reelhouse.plans.transform import transform
 from reelhouse.registry import inputs
 from reelhouse.session import scratch_path
 from reelhouse.sinks import jdbc, tables
@@ -97,42 +100,43 @@ def bronze(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_bronze(spark, path, _columns(entity)))
 
 
-def csv_scan_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = schemas.csv_columns(schemas.TITLES)
+def _export(rows: DataFrame, path: str) -> None:
+    """Write CSV without losing padding."""
+    rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def csv_scan(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = schemas.csv_columns(_columns(entity))
     path = scratch_path(spark, "csv")
-    _bronze(spark, sf_dir, "titles").select(*columns).write.csv(
-        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    )
+    _export(_bronze(spark, sf_dir, entity).select(*columns), path)
     return _comparable(read_csv(spark, path, columns))
 
 
-def _exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The titles of each platform as that platform would export them."""
-    titles = _bronze(spark, sf_dir, "titles")
-    columns = schemas.csv_columns(schemas.TITLES)
+def _by_platform(spark: SparkSession, sf_dir: str, entity: str) -> dict[str, DataFrame]:
+    """The rows of each platform as that platform would export them."""
+    rows = _bronze(spark, sf_dir, entity)
+    columns = schemas.csv_columns(_columns(entity))
     return {
-        platform: titles.where(trimmed("platform") == platform).select(*columns)
-        for platform in schemas.PLATFORMS
+        platform: rows.where(trimmed("platform") == platform).select(*columns) for platform in schemas.PLATFORMS
     }
 
 
-def tag_union_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exports = _exports(spark, sf_dir)
+def tag_union(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    exports = _by_platform(spark, sf_dir, entity)
     return _comparable(union_all(tag(df, platform, INGESTED_AT) for platform, df in exports.items()))
 
 
-def sample_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exports = _exports(spark, sf_dir)
-    return _comparable(
-        union_all(
-            tag(marts.sample_rows(df, 10, ["id"]), platform, INGESTED_AT) for platform, df in exports.items()
-        )
-    )
+def sample(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten rows of each platform."""
+    first = ["id"] if entity == "titles" else ["person_ID", "id"]
+    exports = _by_platform(spark, sf_dir, entity)
+    sampled = {platform: marts.sample_rows(df, 10, first) for platform, df in exports.items()}
+    return _comparable(union_all(tag(df, platform, INGESTED_AT) for platform, df in sampled.items()))
 
 
-def encode_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = codec.encode(_bronze(spark, sf_dir, "titles"))
-    return _comparable(codec.decode(events, schemas.TITLES))
+def encode(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = codec.encode(_bronze(spark, sf_dir, entity))
+    return _comparable(codec.decode(events, _columns(entity)))
 
 
 def decode(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +203,20 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder).select(F.col(codec.RAW_TEXT).alias("raw_text"))
 
 
+def csv_to_bronze(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV exports of all platforms ingested to topics and drained into the lake."""
+    csv, topics, base = (scratch_path(spark, label) for label in ("csv", "topics", "lake"))
+    for table in ("titles", "credits"):
+        for platform, rows in _by_platform(spark, sf_dir, table).items():
+            _export(rows, f"{csv}/{platform}/{table}")
+    feeds = [Feed(name, f"{csv}/{name}/titles", f"{csv}/{name}/credits") for name in schemas.PLATFORMS]
+    ingest(spark, feeds, lambda events, topic: to_folder(events, f"{topics}/{topic}"), INGESTED_AT)
+    lake = Lake(base)
+    land_topics(spark, lambda session, topic: from_folder(session, f"{topics}/{topic}"), lake)
+    path = lake.titles if entity == "titles" else lake.credits
+    return _comparable(read_bronze(spark, path, _columns(entity)))
+
+
 # --- projections, key rule, dedupe -------------------------------------------------
 
 
@@ -225,14 +243,27 @@ def transformed(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- snapshots, star schema, marts, view -------------------------------------------
 
 
+def _rows_per_day(spark: SparkSession, path: str) -> DataFrame:
+    per_day = spark.read.parquet(path).groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date"))
+    return per_day.agg(F.count("*").alias("row_count"))
+
+
+def snapshot_replaced(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days, the second written twice in replacing mode; rows per day."""
+    rows = _stored(spark, sf_dir, entity)
+    path = scratch_path(spark, "snapshots")
+    for day in (*SNAPSHOT_DAYS, SNAPSHOT_DAYS[-1]):
+        write_snapshot(rows, path, day, replace_day=True)
+    return _rows_per_day(spark, path)
+
+
 def snapshot(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two days appended; rows per day."""
     rows = _stored(spark, sf_dir, entity)
     path = scratch_path(spark, "snapshots")
     for day in SNAPSHOT_DAYS:
         write_snapshot(rows, path, day)
-    per_day = spark.read.parquet(path).groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date"))
-    return per_day.agg(F.count("*").alias("row_count"))
+    return _rows_per_day(spark, path)
 
 
 def _stored_again(df: DataFrame, table: str) -> DataFrame:
@@ -251,9 +282,9 @@ def fact_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_again(star.fact_credits(_stored(spark, sf_dir, "credits")), "fact_credits")
 
 
-def mart(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def mart(table: str, spark: SparkSession, sf_dir: str, nan_as_null: bool = False) -> DataFrame:
     platform, metric = schemas.MARTS[table]
-    best = marts.top_n(_stored(spark, sf_dir, "titles"), platform, metric)
+    best = marts.top_n(_stored(spark, sf_dir, "titles"), platform, metric, nan_as_null=nan_as_null)
     return _comparable(_stored_again(best, table))
 
 
@@ -269,6 +300,27 @@ def popularity_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transform_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole transform job from stored bronze; rows per output, snapshots included."""
+    lake = Lake(scratch_path(spark, "lake"))
+    _bronze(spark, sf_dir, "titles").write.parquet(lake.titles)
+    _bronze(spark, sf_dir, "credits").write.parquet(lake.credits)
+    outputs = transform(
+        spark,
+        lake.titles,
+        lake.credits,
+        lake.snapshots,
+        database=f"reelhouse_{uuid.uuid4().hex}",
+        location=scratch_path(spark, "tables"),
+        snapshot_date=SNAPSHOT_DAYS[0],
+    )
+    for entity in ("titles", "credits"):
+        outputs[f"snapshots/{entity}"] = spark.read.parquet(f"{lake.snapshots}/{entity}")
+    return union_all(
+        df.agg(F.lit(name).alias("output"), F.count("*").alias("row_count")) for name, df in outputs.items()
+    )
+
+
 # --- publish -----------------------------------------------------------------------
 
 
@@ -312,10 +364,14 @@ def publish(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "bronze_titles": partial(bronze, "titles"),
     "bronze_credits": partial(bronze, "credits"),
-    "csv_scan_titles": csv_scan_titles,
-    "tag_union_titles": tag_union_titles,
-    "sample_titles": sample_titles,
-    "encode_titles": encode_titles,
+    "csv_scan_titles": partial(csv_scan, "titles"),
+    "csv_scan_credits": partial(csv_scan, "credits"),
+    "tag_union_titles": partial(tag_union, "titles"),
+    "tag_union_credits": partial(tag_union, "credits"),
+    "sample_titles": partial(sample, "titles"),
+    "sample_credits": partial(sample, "credits"),
+    "encode_titles": partial(encode, "titles"),
+    "encode_credits": partial(encode, "credits"),
     "decode_titles": partial(decode, "titles"),
     "decode_credits": partial(decode, "credits"),
     "decode_event_props": decode_event_props,
@@ -324,6 +380,8 @@ QUERIES = {
     "stream_bronze_credits": partial(stream_bronze, "credits"),
     "stream_resume": stream_resume,
     "stream_quarantine": stream_quarantine,
+    "csv_to_bronze_titles": partial(csv_to_bronze, "titles"),
+    "csv_to_bronze_credits": partial(csv_to_bronze, "credits"),
     "strip_list_text": strip_list_text,
     "require_keys_titles": require_keys_titles,
     "require_keys_credits": require_keys_credits,
@@ -331,12 +389,16 @@ QUERIES = {
     "credits_clean": partial(transformed, "credits"),
     "snapshot_titles": partial(snapshot, "titles"),
     "snapshot_credits": partial(snapshot, "credits"),
+    "snapshot_replaced_titles": partial(snapshot_replaced, "titles"),
+    "snapshot_replaced_credits": partial(snapshot_replaced, "credits"),
     "dim_title": dim_title,
     "dim_person": dim_person,
     "fact_credits": fact_credits,
     "netflix_popularity": partial(mart, "curated_netflix_popularity"),
+    "netflix_popularity_nan_last": partial(mart, "curated_netflix_popularity", nan_as_null=True),
     "disney_trending": partial(mart, "curated_disney_trending"),
     "popularity_by_year": popularity_by_year,
+    "transform_tables": transform_tables,
     "publish_titles": partial(publish, "titles"),
     "publish_credits": partial(publish, "credits"),
 }
