@@ -15,9 +15,11 @@ def read_csv(spark: SparkSession, path: str, columns: dict[str, str], multi_line
     Only the header of one file is looked at before the scan; types come from `columns`,
     so there is no inference pass. Columns the file lacks are null, others are not read,
     and a file whose header differs from the first one's fails the scan. An empty field
-    is null, quoted or not. Quoted fields may hold line breaks; a file read that way is
-    one task. Where no field holds a line break, `multi_line=False` gives the same rows
-    and lets Spark split large files.
+    is null, quoted or not; other text, such as NA, stays text.
+
+    Quoted fields may hold line breaks (CR LF becomes LF where it also ends the lines), and a
+    file read that way is one task. Where no field holds a line break, `multi_line=False`
+    gives the same rows and lets Spark split large files.
     """
     layout = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
     header = spark.read.csv(path, **layout).columns

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from reelhouse import schemas
 from reelhouse.functions import codec
@@ -95,6 +97,19 @@ def test_round_trip_keeps_quotes_newlines_and_nan(spark):
     assert repr(sorted(back.collect(), key=str)) == repr(sorted(rows.collect(), key=str))
 
 
+texts = st.one_of(st.none(), st.text(st.characters(exclude_categories=("Cs",)), max_size=12))
+numbers = st.one_of(st.none(), st.integers(-(2**31), 2**31 - 1))
+scores = st.one_of(st.none(), st.floats(width=32))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(texts, numbers, scores), min_size=1, max_size=20))
+def test_round_trip_of_any_values(spark, rows):
+    df = spark.createDataFrame(rows, "id string, seasons int, imdb_score float")
+    back = codec.decode(codec.encode(df), {"id": "string", "seasons": "int", "imdb_score": "float"})
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+
+
 def test_decoded_types(spark):
     events = spark.createDataFrame([(bytearray(b"{}"),)], "value binary")
     assert dict(codec.decode(events, schemas.TITLES).dtypes) == schemas.TITLES

@@ -141,6 +141,60 @@ class Recounted:
         self.write, self.count = written.write, counted.count
 
 
+class FakeConnection:
+    """Stands in for a database product that is not here: records the statements."""
+
+    def __init__(self, product, exists, fail_on=None):
+        self.product, self.exists, self.fail_on, self.log = product, exists, fail_on, []
+
+    def __getattr__(self, name):
+        answers = {
+            "getMetaData": self,
+            "createStatement": self,
+            "getDatabaseProductName": self.product,
+            "storesUpperCaseIdentifiers": False,
+            "storesLowerCaseIdentifiers": True,
+            "getSearchStringEscape": "\\",
+            "getTables": self,
+            "next": self.exists,
+            "getSchema": "public",
+            "getCatalog": "ott",
+        }
+
+        def call(*arguments):
+            if name in ("execute", "commit", "rollback"):
+                self.log.append(arguments[0] if arguments else name)
+                if self.fail_on and name == "execute" and self.fail_on in arguments[0]:
+                    raise RuntimeError("refused")
+            return answers.get(name)
+
+        return call
+
+
+def test_mysql_swap_is_one_rename():
+    there, absent = FakeConnection("MySQL", True), FakeConnection("MySQL", False)
+    jdbc._swap(there, "t__staging", "t")
+    assert there.log == ["DROP TABLE IF EXISTS t__old", "RENAME TABLE t TO t__old, t__staging TO t", "DROP TABLE IF EXISTS t__old"]
+    jdbc._swap(absent, "t__staging", "t")
+    assert absent.log[1] == "RENAME TABLE t__staging TO t"
+
+
+def test_swap_elsewhere_is_one_transaction():
+    done = FakeConnection("PostgreSQL", True)
+    jdbc._swap(done, "s.t__staging", "s.t")
+    assert done.log == ["DROP TABLE s.t", "ALTER TABLE s.t__staging RENAME TO t", "commit"]
+    refused = FakeConnection("PostgreSQL", True, fail_on="RENAME")
+    with pytest.raises(RuntimeError):
+        jdbc._swap(refused, "s.t__staging", "s.t")
+    assert refused.log[-1] == "rollback"
+
+
+def test_schema_qualified_table(spark, target):
+    for rows in ([("a", 1)], [("b", 2)]):
+        jdbc.publish(frame(spark, *rows), "app.my_table", target, "id VARCHAR(8)")
+    assert published(spark, target, "app.my_table") == [("b", 2)]
+
+
 def test_password_is_not_shown():
     secret = jdbc.JdbcTarget("jdbc:x:y", "d", "me", "hidden")
     assert "hidden" not in repr(secret)

@@ -39,6 +39,16 @@ def test_quoted_commas_quotes_and_line_breaks(spark, folder):
     assert rows == [("t1", 'a, "b"\nc', 2, None), ("t2", None, None, 1.5)]
 
 
+def test_line_ends_backslashes_and_marks(spark, folder):
+    write(f"{folder}/lf", 'id,title,seasons,imdb_score\nt1,"a\r\nb\\",1,2\nNA,#x,1,2\n')
+    rows = {row.id: row.title for row in read_csv(spark, f"{folder}/lf", COLUMNS).collect()}
+    assert rows == {"t1": "a\r\nb\\", "NA": "#x"}
+    # Where lines end in CR LF, a CR LF inside a field is read as LF.
+    write(f"{folder}/crlf", 'id,title,seasons,imdb_score\r\nt1,"a\r\nb",1,2\r\n')
+    row = read_csv(spark, f"{folder}/crlf", COLUMNS).first()
+    assert (row.id, row.title, row.imdb_score) == ("t1", "a\nb", 2.0)
+
+
 def test_bad_number_is_null_and_the_row_stays(spark, folder):
     write(folder, "id,title,seasons,imdb_score\nt1,A,2.0,x\n")
     assert [tuple(row) for row in read_csv(spark, folder, COLUMNS).collect()] == [("t1", "A", None, None)]
