@@ -8,6 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Used where neither the caller nor spark-submit sets them. Adaptive execution, which merges
+# small shuffle partitions and splits skewed joins, is on in Spark by default.
+DEFAULTS = {
+    # "today" and ingestion times do not depend on the machine
+    "spark.sql.session.timeZone": "UTC",
+    # about a quarter smaller than snappy on catalogue tables
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def build_session(
     app_name: str = "reelhouse",
     master: str | None = None,
@@ -20,23 +30,21 @@ def build_session(
     On a cluster leave `master` to spark-submit and give `shuffle_partitions` as the
     upper bound (about one per 200 MB shuffled): adaptive execution merges small ones.
     """
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-    )
     if master:
-        builder = builder.master(master)
+        settings["spark.master"] = master
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    builder = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
         builder = builder.config(key, value)
     if hive:
         builder = builder.enableHiveSupport()
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if key not in settings and not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

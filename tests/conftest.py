@@ -22,7 +22,7 @@ def spark():
         4,
         **{
             "spark.sql.warehouse.dir": f"{base}/warehouse",
-            "spark.ui.showConsoleProgress": "false",
+            "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
             "spark.sql.catalogImplementation": "in-memory",
         },
     )

@@ -43,7 +43,9 @@ def difference(df, connection, sql: str) -> str | None:
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:]
-    spark = build_session("check", "local[8]", 8)
+    spark = build_session(
+        "check", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    )
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracles, bad = connect(sf_dir), contract.oracle_sql(), 0
     for name, query in contract.queries().items():
