@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime
-from functools import partial
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,11 @@ from reelhouse.sinks.tables import create_database, create_popularity_view, writ
 from reelhouse.sources.bronze import read_bronze
 
 
+def _run(pool: ThreadPoolExecutor, *writes: Callable[[], DataFrame | None]) -> list[DataFrame | None]:
+    """Results of all writes in order; the first failure is raised."""
+    return [write.result() for write in [pool.submit(write) for write in writes]]
+
+
 def transform(
     spark: SparkSession,
     bronze_titles: str,
@@ -35,8 +41,8 @@ def transform(
 
     Clean and dedupe run once: the two transformed tables are written first, and all other
     outputs are derived from their files, so all tables of one run agree on the surviving
-    rows. The outputs do not depend on each other and run `side_by_side` at a time, which
-    fills the cluster while the last tasks of one write are still running.
+    rows. Writes that do not depend on each other run `side_by_side` at a time, which fills
+    the cluster while the last tasks of one are still running.
     """
     titles_in = read_bronze(spark, bronze_titles, schemas.TITLES)
     credits_in = read_bronze(spark, bronze_credits, schemas.CREDITS)
@@ -44,25 +50,27 @@ def transform(
     day = snapshot_date or spark.range(1).select(F.current_date()).first()[0]
     table = partial(write_table, database=database)
 
-    titles = table(transformed_titles(titles_in), table=schemas.TRANSFORMED_TITLES)
-    credits = table(transformed_credits(credits_in), table=schemas.TRANSFORMED_CREDITS)
-
     snapshot = partial(
         write_snapshot, snapshot_date=day, replace_day=replace_day, files_per_day=files_per_day
     )
-    writes = [
-        partial(snapshot, credits, f"{snapshots}/credits"),
-        partial(table, fact_credits(credits), table="fact_credits"),
-        partial(table, dim_person(credits), table="dim_person"),
-        partial(snapshot, titles, f"{snapshots}/titles"),
-        partial(table, dim_title(titles), table="dim_title"),
-    ]
-    for mart, (platform, metric) in schemas.MARTS.items():
-        best = top_n(titles, platform, metric, nan_as_null=nan_as_null)
-        writes.append(partial(table, best, table=mart))
     with ThreadPoolExecutor(side_by_side) as pool:
-        for done in [pool.submit(write) for write in writes]:
-            done.result()
+        titles, credits = _run(
+            pool,
+            partial(table, transformed_titles(titles_in), table=schemas.TRANSFORMED_TITLES),
+            partial(table, transformed_credits(credits_in), table=schemas.TRANSFORMED_CREDITS),
+        )
+        _run(
+            pool,
+            partial(snapshot, credits, f"{snapshots}/credits"),
+            partial(table, fact_credits(credits), table="fact_credits"),
+            partial(table, dim_person(credits), table="dim_person"),
+            partial(snapshot, titles, f"{snapshots}/titles"),
+            partial(table, dim_title(titles), table="dim_title"),
+            *(
+                partial(table, top_n(titles, platform, metric, nan_as_null=nan_as_null), table=mart)
+                for mart, (platform, metric) in schemas.MARTS.items()
+            ),
+        )
 
     create_popularity_view(spark, database)
     names = [
