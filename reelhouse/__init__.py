@@ -4,7 +4,7 @@ CSV or JSON events -> append-only bronze Parquet -> clean, deduplicated tables,
 dated snapshots, a star schema, top-N marts and an aggregate view -> JDBC.
 """
 
-from reelhouse.plans.bronze import land_rejects, land_topics, start_bronze
+from reelhouse.plans.bronze import land_topics, start_bronze, start_rejects
 from reelhouse.plans.daily import DailyRun, run_daily
 from reelhouse.plans.ingest import Feed, ingest
 from reelhouse.plans.lake import Lake
@@ -18,10 +18,10 @@ __all__ = [
     "JdbcTarget",
     "Lake",
     "ingest",
-    "land_rejects",
     "land_topics",
     "publish_tables",
     "run_daily",
     "start_bronze",
+    "start_rejects",
     "transform",
 ]

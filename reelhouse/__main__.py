@@ -45,17 +45,22 @@ def parser() -> argparse.ArgumentParser:
     place.add_argument("--kafka", metavar="SERVERS", help="bootstrap servers")
     place.add_argument("--topic-folder", help="shared folder that holds the events as Parquet files")
 
-    lake = argparse.ArgumentParser(add_help=False)
-    lake.add_argument("--lake", required=True, help="shared base folder of bronze, checkpoints and snapshots")
-
-    window = argparse.ArgumentParser(add_help=False)
-    window.add_argument(
+    streams = argparse.ArgumentParser(add_help=False)
+    streams.add_argument(
+        "--max-per-batch", type=int, help="upper bound of one batch: Kafka offsets, or files of a topic folder"
+    )
+    streams.add_argument("--min-partitions", type=int, help="split large Kafka partitions into this many tasks")
+    streams.add_argument("--keep-rejects", action="store_true", help="keep the raw text of bad messages")
+    streams.add_argument(
         "--window-secs",
         type=float,
         default=schemas.STREAM_WINDOW_SECS,
         help="time limit of the streams; 0 for none (default %(default)s)",
     )
 
+    lake = argparse.ArgumentParser(add_help=False)
+    lake.add_argument("--lake", required=True, help="shared base folder of bronze, checkpoints and snapshots")
+
     tables = argparse.ArgumentParser(add_help=False)
     tables.add_argument("--database", default=schemas.DATABASE)
     tables.add_argument(
@@ -75,15 +80,17 @@ def parser() -> argparse.ArgumentParser:
         options.add_argument("--jdbc-driver", default="com.mysql.cj.jdbc.Driver")
         options.add_argument("--jdbc-user")
         options.add_argument("--jdbc-password-env", help="environment variable that holds the password")
+        options.add_argument("--jdbc-writers", type=int, default=schemas.JDBC_WRITERS)
+        options.add_argument("--jdbc-batch-rows", type=int, default=schemas.JDBC_BATCH_ROWS)
         return options
 
     steps.add_parser("ingest", parents=[feeds, topics], help="CSV exports to event topics")
-    steps.add_parser("bronze", parents=[topics, lake, window], help="event topics to bronze Parquet")
+    steps.add_parser("bronze", parents=[topics, streams, lake], help="event topics to bronze Parquet")
     steps.add_parser("transform", parents=[lake, tables, snapshots], help="bronze to tables and snapshots")
     steps.add_parser("publish", parents=[tables, jdbc(True)], help="transformed tables to a database")
     steps.add_parser(
         "daily",
-        parents=[feeds, topics, lake, window, tables, snapshots, jdbc(False)],
+        parents=[feeds, topics, streams, lake, tables, snapshots, jdbc(False)],
         help="all steps in order",
     )
     return root
@@ -96,9 +103,16 @@ def _deliver(arguments):
 
 
 def _receive(arguments):
+    limit = arguments.max_per_batch
     if arguments.kafka:
-        return lambda spark, topic: event_source.from_kafka(spark, arguments.kafka, topic)
-    return lambda spark, topic: event_source.from_folder(spark, f"{arguments.topic_folder}/{topic}")
+        return lambda spark, topic: event_source.from_kafka(
+            spark,
+            arguments.kafka,
+            topic,
+            max_offsets_per_trigger=limit,
+            min_partitions=arguments.min_partitions,
+        )
+    return lambda spark, topic: event_source.from_folder(spark, f"{arguments.topic_folder}/{topic}", limit)
 
 
 def _target(arguments) -> JdbcTarget | None:
@@ -113,7 +127,13 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
         feeds = [Feed(*feed) for feed in arguments.feed]
         ingest(spark, feeds, _deliver(arguments), sample=arguments.sample)
     elif arguments.step == "bronze":
-        land_topics(spark, _receive(arguments), Lake(arguments.lake), arguments.window_secs or None)
+        land_topics(
+            spark,
+            _receive(arguments),
+            Lake(arguments.lake),
+            arguments.window_secs or None,
+            arguments.keep_rejects,
+        )
     elif arguments.step == "transform":
         lake = Lake(arguments.lake)
         transform(
@@ -126,7 +146,13 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
             replace_day=arguments.replace_day,
         )
     elif arguments.step == "publish":
-        publish_tables(spark, _target(arguments), arguments.database)
+        publish_tables(
+            spark,
+            _target(arguments),
+            arguments.database,
+            batch_rows=arguments.jdbc_batch_rows,
+            writers=arguments.jdbc_writers,
+        )
     else:
         run_daily(
             spark,
@@ -140,6 +166,9 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
                 sample=arguments.sample,
                 snapshot_date=arguments.snapshot_date,
                 replace_day=arguments.replace_day,
+                keep_rejects=arguments.keep_rejects,
+                jdbc_batch_rows=arguments.jdbc_batch_rows,
+                jdbc_writers=arguments.jdbc_writers,
                 stream_window_secs=arguments.window_secs or None,
             ),
         )

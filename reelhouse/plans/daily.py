@@ -31,17 +31,20 @@ class DailyRun:
     location: str | None = None
     target: JdbcTarget | None = None
     column_types: dict[str, str | None] | None = None
+    jdbc_batch_rows: int = schemas.JDBC_BATCH_ROWS
+    jdbc_writers: int = schemas.JDBC_WRITERS
     sample: int | None = None
     ingested_at: str | None = None
     snapshot_date: datetime.date | None = None
     replace_day: bool = False
+    keep_rejects: bool = False
     stream_window_secs: float | None = schemas.STREAM_WINDOW_SECS
 
 
 def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
     """Run every step and return scans of the tables by name; the first failure is raised."""
     ingest(spark, run.feeds, run.deliver, run.ingested_at, run.sample)
-    land_topics(spark, run.receive, run.lake, run.stream_window_secs)
+    land_topics(spark, run.receive, run.lake, run.stream_window_secs, run.keep_rejects)
     tables = transform(
         spark,
         run.lake.titles,
@@ -53,5 +56,7 @@ def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
         replace_day=run.replace_day,
     )
     if run.target:
-        publish_tables(spark, run.target, run.database, run.column_types)
+        publish_tables(
+            spark, run.target, run.database, run.column_types, run.jdbc_batch_rows, run.jdbc_writers
+        )
     return tables

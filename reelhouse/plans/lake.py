@@ -30,6 +30,12 @@ class Lake:
     def credits_checkpoint(self) -> str:
         return f"{self.base}/checkpoints/credits"
 
+    def rejects(self, topic: str) -> str:
+        return f"{self.base}/rejects/{topic}"
+
+    def rejects_checkpoint(self, topic: str) -> str:
+        return f"{self.base}/checkpoints/rejects/{topic}"
+
     @property
     def snapshots(self) -> str:
         return f"{self.base}/curated/snapshots"

@@ -20,7 +20,7 @@ from reelhouse.functions.tagging import tag
 from reelhouse.functions.text import list_text, trimmed
 from reelhouse.operators import clean, dedupe, marts, star
 from reelhouse.operators.combine import union_all
-from reelhouse.plans.bronze import land_rejects, land_topics, start_bronze
+from reelhouse.plans.bronze import land_topics, start_bronze, start_rejects
 from reelhouse.plans.ingest import Feed, ingest
 from reelhouse.plans.lake import Lake
 from reelhouse.plans.transform import transform
@@ -199,7 +199,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     wire = F.when(F.expr(NO_YEAR), note).otherwise(F.to_json(F.struct(*rows.columns)))
     landing, folder, checkpoint = (scratch_path(spark, label) for label in ("landing", "rejects", "checkpoint"))
     to_folder(rows.select(wire.cast("binary").alias("value")), landing)
-    land_rejects(from_folder(spark, landing), schemas.TITLES, folder, checkpoint)
+    finish(start_rejects(from_folder(spark, landing), schemas.TITLES, folder, checkpoint))
     return spark.read.parquet(folder).select(F.col(codec.RAW_TEXT).alias("raw_text"))
 
 

@@ -15,6 +15,9 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     # about a quarter smaller than snappy on catalogue tables
     "spark.sql.parquet.compression.codec": "zstd",
+    # target size of a merged shuffle partition, and so of a written file; small data still
+    # gets a partition per core
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
 

@@ -65,10 +65,25 @@ def test_two_runs(spark, sf_dir, folder):
     assert tables["v_popularity_by_year"].count() > 0
     before = {name: df.count() for name, df in tables.items()}
 
-    second = daily(spark, folder, feeds, database=database, ingested_at="2024-03-02 05:00:00", snapshot_date=datetime.date(2024, 3, 2))
+    # Derby takes no nulls in a VARCHAR, so only the ids get one.
+    target = JdbcTarget(f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    types = {table: "id VARCHAR(64)" for table in (schemas.TRANSFORMED_TITLES, schemas.TRANSFORMED_CREDITS)}
+    second = daily(
+        spark,
+        folder,
+        feeds,
+        database=database,
+        ingested_at="2024-03-02 05:00:00",
+        snapshot_date=datetime.date(2024, 3, 2),
+        target=target,
+        column_types=types,
+    )
     again = run_daily(spark, second)
     assert {name: df.count() for name, df in again.items()} == before
     assert {row[0] for row in again["transformed_titles"].select("ingestion_date").distinct().collect()} == {datetime.date(2024, 3, 2)}
+    for table in types:
+        published = spark.read.format("jdbc").options(**target.options()).option("dbtable", table).load()
+        assert published.count() == before[table]
     snapshots = spark.read.parquet(f"{folder}/lake/curated/snapshots/titles").groupBy("snapshot_date").count()
     assert sorted(row["count"] for row in snapshots.collect()) == [before["transformed_titles"]] * 2
 

@@ -82,6 +82,17 @@ def test_star_schema(spark, sf_dir):
     assert people.count() > people.select("person_ID").distinct().count()
 
 
+def test_outputs_read_only_their_columns(spark, sf_dir, folder):
+    transformed_credits(inputs.bronze_credits(spark, sf_dir)).write.parquet(f"{folder}/credits")
+    credits = spark.read.parquet(f"{folder}/credits")
+    plan = dim_person(credits)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<person_ID:string,name:string>" in plan
+    # distinct pairs are built in each task before the shuffle
+    assert plan.count("HashAggregate") == 2
+    facts = fact_credits(credits)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in facts and "ingestion_timestamp" not in facts.split("ReadSchema")[1]
+
+
 def test_view_average_with_null_and_nan(spark, folder):
     create_database(spark, "view_test", f"{folder}/db")
     rows = [

@@ -131,6 +131,35 @@ def test_kafka_options():
     }
 
 
+class Recorder:
+    """Stands in for a reader or writer whose connector is not here."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def __getattr__(self, name):
+        def call(*arguments, **options):
+            self.calls[name] = options or arguments
+            return self
+
+        return call
+
+    # a session's readStream and a frame's write are attributes, not calls
+    readStream = write = property(lambda self: self)
+
+
+def test_kafka_source_and_sink_pass_their_options_on():
+    source = Recorder()
+    event_source.from_kafka(source, "b1:9092", "t", max_offsets_per_trigger=5)
+    assert source.calls["format"] == ("kafka",)
+    assert source.calls["options"] == event_source.kafka_options("b1:9092", "t", max_offsets_per_trigger=5)
+    assert source.calls["select"] == ("value",)
+    sink = Recorder()
+    event_sink.to_kafka(sink, "b1:9092", "t")
+    assert sink.calls["select"] == ("value",) and sink.calls["format"] == ("kafka",)
+    assert sink.calls["options"] == event_sink.kafka_options("b1:9092", "t")
+
+
 def test_scratch_folder_follows_the_session(spark):
     one, other = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != other

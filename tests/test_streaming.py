@@ -6,7 +6,8 @@ import pytest
 
 from reelhouse import schemas
 from reelhouse.functions.codec import encode
-from reelhouse.plans.bronze import land_rejects, start_bronze
+from reelhouse.plans.bronze import land_topics, start_bronze
+from reelhouse.plans.lake import Lake
 from reelhouse.registry import inputs
 from reelhouse.sinks.events import to_folder
 from reelhouse.sources.bronze import read_bronze
@@ -51,12 +52,20 @@ def test_uncommitted_files_are_not_read(spark, sf_dir, folder):
 
 
 def test_bad_messages_are_null_rows_in_bronze_and_raw_text_in_rejects(spark, folder):
-    lines = ['{"id":"a"}', "not json"]
-    to_folder(spark.createDataFrame([(bytearray(x, "utf-8"),) for x in lines], "value binary"), f"{folder}/landing")
-    assert {row.id for row in drain(spark, folder).collect()} == {"a", None}
-    stream = from_folder(spark, f"{folder}/landing")
-    land_rejects(stream, schemas.TITLES, f"{folder}/rejects", f"{folder}/rejects_checkpoint")
-    assert [row[0] for row in spark.read.parquet(f"{folder}/rejects").collect()] == ["not json"]
+    for topic, lines in {
+        schemas.TITLES_TOPIC: ['{"id":"a"}', "not json", '{"id":"b","runtime":"x"}'],
+        schemas.CREDITS_TOPIC: ['{"id":"c"}'],
+    }.items():
+        rows = [(bytearray(line, "utf-8"),) for line in lines]
+        to_folder(spark.createDataFrame(rows, "value binary"), f"{folder}/{topic}")
+    lake = Lake(f"{folder}/lake")
+    for _ in range(2):
+        land_topics(spark, lambda session, topic: from_folder(session, f"{folder}/{topic}"), lake, keep_rejects=True)
+    titles = read_bronze(spark, lake.titles, schemas.TITLES).collect()
+    assert sorted((row.id or "", row.runtime) for row in titles) == [("", None), ("a", None), ("b", None)]
+    bad = {row[0] for row in spark.read.parquet(lake.rejects(schemas.TITLES_TOPIC)).collect()}
+    assert bad == {"not json", '{"id":"b","runtime":"x"}'}
+    assert read_bronze(spark, lake.credits, schemas.CREDITS).count() == 1
 
 
 class Endless:
