@@ -33,12 +33,13 @@ def ingest(
     deliver: Deliver,
     ingested_at: str | None = None,
     sample: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> None:
     """Tag, unite and encode all feeds, and deliver titles and credits, one job each.
 
     `sample` sends only that many rows of each export, always the same ones; the default
-    sends all. `ingested_at` replaces the current time (`yyyy-MM-dd HH:mm:ss`).
+    sends all. `ingested_at` replaces the current time (`yyyy-MM-dd HH:mm:ss`). `multi_line`
+    says whether quoted fields hold line breaks; by default the files are searched for them.
     """
     feeds = list(feeds)
 

@@ -9,18 +9,33 @@ from reelhouse.schemas import ddl
 from reelhouse.sources.errors import MissingInput
 
 
-def read_csv(spark: SparkSession, path: str, columns: dict[str, str], multi_line: bool = True) -> DataFrame:
+def has_split_records(spark: SparkSession, path: str) -> bool:
+    """Whether some line of the files is not a whole record by itself.
+
+    Once doubled quotes and complete quoted fields are taken out, a whole record has no quote
+    left. One scan over the lines, in as many tasks as the files have splits.
+    """
+    line = F.replace(F.col("value"), F.lit('""'), F.lit(""))
+    rest = F.regexp_replace(line, r'(^|,)"[^"]*"(?=,|$)', "$1")
+    lines = spark.read.text(path)
+    return bool(lines.agg(F.max(F.contains(rest, F.lit('"')))).first()[0])
+
+
+def read_csv(
+    spark: SparkSession, path: str, columns: dict[str, str], multi_line: bool | None = None
+) -> DataFrame:
     """Read CSV files with a header row into the given columns, matched by name.
 
-    Only the header of one file is looked at before the scan; types come from `columns`,
-    so there is no inference pass. Columns the file lacks are null, others are not read,
-    and a file whose header differs from the first one's fails the scan. An empty field
-    is null, quoted or not; other text, such as NA, stays text.
+    Types come from `columns`, so there is no inference pass. Columns the files lack are
+    null, others are not read, and a file whose header differs from the first one's fails
+    the scan. An empty field is null, quoted or not; other text, such as NA, stays text.
 
-    Quoted fields may hold line breaks (CR LF becomes LF where it also ends the lines), and a
-    file read that way is one task. Where no field holds a line break, `multi_line=False`
-    gives the same rows and lets Spark split large files.
+    Quoted fields may hold line breaks (CR LF becomes LF where it also ends the lines). Files
+    that have such fields cannot be split, so each is read by one task; all others are
+    split. Which of the two it is, is looked up in the files unless `multi_line` says so.
     """
+    if multi_line is None:
+        multi_line = has_split_records(spark, path)
     layout = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
     header = spark.read.csv(path, **layout).columns
     if not header:

@@ -6,6 +6,7 @@ import os
 
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark.sql import functions as F
 
 from reelhouse import schemas
 from reelhouse.functions.tagging import tag
@@ -14,7 +15,7 @@ from reelhouse.session import scratch_path
 from reelhouse.sinks import events as event_sink
 from reelhouse.sources import events as event_source
 from reelhouse.sources.bronze import read_bronze
-from reelhouse.sources.csv import read_csv
+from reelhouse.sources.csv import has_split_records, read_csv
 from reelhouse.sources.errors import MissingInput
 
 COLUMNS = {"id": "string", "title": "string", "seasons": "int", "imdb_score": "float"}
@@ -69,8 +70,41 @@ def test_file_with_another_header_fails_the_scan(spark, folder):
 
 def test_single_line_files_read_the_same_either_way(spark, folder):
     write(folder, 'id,title,seasons,imdb_score\nt1,"a, b",1,2\nt2,,3,\n')
-    whole = read_csv(spark, folder, COLUMNS).collect()
+    whole = read_csv(spark, folder, COLUMNS, multi_line=True).collect()
     assert read_csv(spark, folder, COLUMNS, multi_line=False).collect() == whole
+    assert read_csv(spark, folder, COLUMNS).collect() == whole
+
+
+@pytest.mark.parametrize(
+    "text, split",
+    [
+        ("a,b\n1,2\n", False),
+        ('"a","b"\n"1, ""x""","",""\n', False),
+        ('a,b\r\n"1",2\r\n', False),
+        ('a,b\n"1\n2",3\n', True),
+        ('a,b\n"1""\n2",3\n', True),
+        # stray quotes that even out per line, around a field that goes on
+        ('a,b\ndisk 5","x\ny",6" z\n', True),
+        ('a,b\n5" disk,2\n', True),
+    ],
+)
+def test_records_that_span_lines_are_found(spark, folder, text, split):
+    write(folder, text)
+    assert has_split_records(spark, folder) is split
+
+
+def test_large_file_is_split_only_where_no_record_spans_lines(spark, folder):
+    body = "".join(f"t{number},some title {number},{number},1.5\n" for number in range(400_000))
+    write(f"{folder}/plain", "id,title,seasons,imdb_score\n" + body)
+    write(f"{folder}/spanning", "id,title,seasons,imdb_score\n" + body + 'last,"a\nb",1,2\n')
+
+    def rows_and_tasks(path):
+        placed = read_csv(spark, path, COLUMNS).select("id", F.spark_partition_id().alias("task"))
+        return tuple(placed.agg(F.count("*"), F.countDistinct("task")).first())
+
+    plain, spanning = rows_and_tasks(f"{folder}/plain"), rows_and_tasks(f"{folder}/spanning")
+    assert plain[0] == 400_000 and plain[1] > 1
+    assert spanning == (400_001, 1)
 
 
 def test_file_without_a_header_raises(spark, folder):
