@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import os
+import tempfile
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
@@ -93,6 +98,22 @@ def test_records_that_span_lines_are_found(spark, folder, text, split):
     assert has_split_records(spark, folder) is split
 
 
+cells = st.text(alphabet='ab", \n\\#', max_size=8)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(cells, cells), min_size=1, max_size=8))
+def test_any_text_survives(spark, rows):
+    with tempfile.TemporaryDirectory() as folder:
+        text = io.StringIO()
+        writer = csv.writer(text, lineterminator="\n")
+        writer.writerow(["id", "title", "seasons"])
+        writer.writerows((first, second, 1) for first, second in rows)
+        write(folder, text.getvalue())
+        found = read_csv(spark, folder, {"id": "string", "title": "string", "seasons": "int"}).collect()
+        assert [tuple(row) for row in found] == [(first or None, second or None, 1) for first, second in rows]
+
+
 def test_large_file_is_split_only_where_no_record_spans_lines(spark, folder):
     body = "".join(f"t{number},some title {number},{number},1.5\n" for number in range(400_000))
     write(f"{folder}/plain", "id,title,seasons,imdb_score\n" + body)
