@@ -1,4 +1,4 @@
-"""Compare every registered query with its SQL counterpart: python tests/check_oracles.py [sf_dir] [name ...]"""
+"""Compare every registered query with its SQL counterpart: python tests/oracle_check.py [sf_dir] [name ...]"""
 
 from __future__ import annotations
 
