@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +50,9 @@ def ingest(
             rows = sample_rows(rows, sample, first)
         return tag(rows, feed.platform, ingested_at)
 
-    titles = union_all(tagged(feed, feed.titles, schemas.TITLES, ["id"]) for feed in feeds)
-    credits = union_all(tagged(feed, feed.credits, schemas.CREDITS, ["person_ID", "id"]) for feed in feeds)
-    deliver(encode(titles), schemas.TITLES_TOPIC)
-    deliver(encode(credits), schemas.CREDITS_TOPIC)
+    # Each scan looks at its files first (header, split records): do that for all of them at once.
+    with ThreadPoolExecutor(2 * len(feeds)) as pool:
+        titles = [pool.submit(tagged, feed, feed.titles, schemas.TITLES, ["id"]) for feed in feeds]
+        credits = [pool.submit(tagged, feed, feed.credits, schemas.CREDITS, ["person_ID", "id"]) for feed in feeds]
+    deliver(encode(union_all(scan.result() for scan in titles)), schemas.TITLES_TOPIC)
+    deliver(encode(union_all(scan.result() for scan in credits)), schemas.CREDITS_TOPIC)
