@@ -122,7 +122,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .groupBy("doc_id", "label")
         .agg(F.min("text").alias("text"))
         .withColumn("shard", F.pmod(F.xxhash64(F.col("doc_id") + 1), F.lit(TRAIN_SHARDS)).cast("int"))
-        .repartition(TRAIN_SHARDS, "shard")
+        .repartitionByRange(TRAIN_SHARDS, "shard")
         .sortWithinPartitions("shard", F.xxhash64("doc_id"), "doc_id")
     )
     parts = texts.mapInArrow(_train_shards, "shard int, feature int, weight double")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import chat, html_text, quality, url_lists
+from reelhouse.llm import chat, html_text, packing, quality, url_lists
 from reelhouse.llm.common import table
 
 
@@ -59,6 +60,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def chat_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings."""
     said = "<|im_end|><|im_start|>assistant ok"
@@ -91,5 +96,5 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_html_extraction, op4_url_filter, op6_quality_classifier, op10_chat_formatting)
+    for query in (op1_html_extraction, op4_url_filter, op6_quality_classifier, op8_packing, op10_chat_formatting)
 }
