@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import byte_bpe, chat, html_text, packing, quality, url_lists
+from reelhouse.llm import byte_bpe, chat, html_text, packing, quality, secret_scan, url_lists
 from reelhouse.llm.common import table
 
 
@@ -56,6 +56,20 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.filter_urls(dated_captures(pages), dated_entries(pages))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def count(kind):
+        return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return secret_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -107,5 +121,5 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_html_extraction, op4_url_filter, op6_quality_classifier, op7_byte_bpe, op8_packing, op10_chat_formatting)
+    for query in (op1_html_extraction, op4_url_filter, op5_secret_scan, op6_quality_classifier, op7_byte_bpe, op8_packing, op10_chat_formatting)
 }
