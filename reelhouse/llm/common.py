@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -100,3 +102,14 @@ class BoundedCache(dict):
                 self.clear()
             self[key] = value
         return value
+
+
+def kept_by_worker(key, make):
+    """A value that a Python worker makes once and keeps for its later tasks.
+
+    Functions reach workers as copies, with new globals for each task, so it is kept among the process's modules.
+    """
+    kept = sys.modules.setdefault("_reelhouse_kept", types.ModuleType("_reelhouse_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

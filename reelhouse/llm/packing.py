@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import blocks, checkpointed, id_and_text
+from reelhouse.llm.common import blocks, checkpointed, id_and_text, kept_by_worker
 
 SEQUENCE = 2048
 UNIT = 16
 END_ID = 1
-#: Bytes of text tokenized at a time, cached chunks per task, and longest chunk that is cached.
-BLOCK_BYTES, CACHED, LONGEST = 4_000_000, 500_000, 64
+#: Bytes of text tokenized at a time, chunks that a worker caches (about 200 bytes each), and longest
+#: chunk that is cached.
+BLOCK_BYTES, CACHED, LONGEST = 4_000_000, 900_000, 64
 WHOLE, TAIL = SEQUENCE // UNIT, 0
 
 PIECES = "doc_id long, doc_tokens long, start long, length long, ids_crc32 long, units int, ids binary"
@@ -43,8 +44,8 @@ PACKED = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 class WordBpe:
     """Ids of texts under a tokenizer that works on each piece between white space separately.
 
-    Each distinct piece is encoded once per task. Pieces of Latin letters, with a full
-    stop or comma at most, are encoded many to a call and told apart by their word-end ids.
+    Each distinct piece is encoded once, while the cache of a Python worker holds it. Words of Latin letters are encoded many to a
+    call and told apart by their word-end ids; a full stop or comma after one is appended.
     """
 
     def __init__(self, path: str) -> None:
@@ -91,23 +92,31 @@ class WordBpe:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
-        plain: list[str] = []
-        words: list[int] = []
+        words: set[str] = set()
+        stopped: list[tuple[str, str]] = []
+        other: list[str] = []
         for chunk in chunks:
-            core = chunk[:-1] if chunk[-1] in ".," else chunk
-            if core.isalpha() and core.isascii() or core.isalpha() and max(core) <= "\xff":
-                plain.append(chunk)
-                words.append(1 if core is chunk else 2)
+            word = chunk[:-1] if chunk[-1] in ".," else chunk
+            if word.isalpha() and (word.isascii() or max(word) <= "\xff"):
+                if word not in self.cache:
+                    words.add(word)
+                if word is not chunk:
+                    stopped.append((chunk, word))
             else:
-                self.cache[chunk] = self._encode(chunk)
-        for begin in range(0, len(plain), 256):
-            some = plain[begin : begin + 256]
+                other.append(chunk)
+        plain = list(words)
+        for begin in range(0, len(plain), 512):
+            some = plain[begin : begin + 512]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            last = np.flatnonzero(self.is_end[ids])[np.cumsum(words[begin : begin + 256]) - 1]
             data, at = ids.tobytes(), 0
-            for chunk, end in zip(some, (4 * (last + 1)).tolist()):
-                self.cache[chunk] = data[at:end]
+            for word, end in zip(some, (4 * np.flatnonzero(self.is_end[ids]) + 4).tolist()):
+                self.cache[word] = data[at:end]
                 at = end
+        signs = {sign: self._encode(sign) for sign in ".,"}
+        for chunk, word in stopped:
+            self.cache[chunk] = self.cache[word] + signs[chunk[-1]]
+        for chunk, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+            self.cache[chunk] = np.array(found.ids, "<u4").tobytes()
 
 
 def cut(doc_id, ids: bytes) -> Iterator[tuple]:
@@ -126,7 +135,7 @@ def cut_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     """Pieces of all documents: a narrow pass."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordBpe(tokenizer)
+        encode = kept_by_worker(("WordBpe", tokenizer), lambda: WordBpe(tokenizer))
         end = np.array([END_ID], "<u4").tobytes()
         names = [part.split()[0] for part in PIECES.split(", ")]
         kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
