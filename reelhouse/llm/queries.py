@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelhouse.llm import byte_bpe, chat, html_text, packing, quality, secret_scan, url_lists
-from reelhouse.llm.common import table
+from reelhouse.llm import byte_bpe, chat, fingerprints, html_text, packing, quality, secret_scan, url_lists
+from reelhouse.llm.common import checkpointed, id_and_text, parts_for, table
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +89,77 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def following(ids: DataFrame) -> DataFrame:
+    """(doc_id, n_chars, next_id) by descending doc_id; the first document follows the last.
+
+    Ranges of ids are dealt to partitions; within one, the next id is looked up by a window, and only
+    the ranges' ends, a row per partition, are ordered all together.
+    """
+    ranged = checkpointed(ids.repartitionByRange(parts_for(ids), "doc_id").withColumn("part", F.spark_partition_id()))
+    ends = ranged.groupBy("part").agg(F.max("doc_id").alias("highest"))
+    below = ends.select(
+        "part",
+        F.coalesce(
+            F.lag("highest").over(Window.orderBy("part")),
+            F.max("highest").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        ).alias("below"),
+    )
+    in_part = Window.partitionBy("part").orderBy(F.desc("doc_id"))
+    return (
+        ranged.withColumn("next_id", F.lead("doc_id").over(in_part))
+        .join(below, "part")
+        .select("doc_id", "n_chars", F.coalesce("next_id", "below").alias("next_id"))
+    )
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text against its edited version and against the next text.
+
+    Texts are shuffled once, by id. There a document learns which one it follows and how long that is, and
+    sends it the beginning that replaces its end, and its own digests.
+    """
+    texts = id_and_text(table(spark, sf_dir, "documents"), "doc_id", "text")
+    numbered = texts.select("doc_id", F.char_length("text").cast("long").alias("n_chars"))
+    asked = following(numbered).select(F.col("doc_id").alias("to_id"), F.col("next_id").alias("doc_id"), "n_chars")
+    sent = texts.join(asked, "doc_id").select(
+        F.col("to_id").alias("doc_id"),
+        "n_chars",
+        F.substring(F.col("text"), F.lit(1), F.floor(F.col("n_chars") / 2).cast("int")).alias("end"),
+        fingerprints.digests(F.col("text")).alias("of_next"),
+    )
+    kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int"))
+    found = (
+        texts.join(sent, "doc_id")
+        .withColumn("edited", F.concat(kept, F.col("end")))
+        .select(
+            "doc_id",
+            "n_chars",
+            F.sha2("edited", 256).alias("edited_sha256"),
+            fingerprints.digests(F.col("text")).alias("own"),
+            fingerprints.digests(F.col("edited")).alias("of_edited"),
+            "of_next",
+        )
+    )
+    for version in ("own", "of_edited", "of_next"):
+        found = found.withColumn(f"{version}_sketch", fingerprints.sketch(F.col(version)))
+
+    def near(other: str):
+        columns = (F.col("own"), F.col(other))
+        return fingerprints.likeness(
+            *columns, fingerprints.differing(*columns, F.col("own_sketch"), F.col(f"{other}_sketch"))
+        )
+
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.written(F.col("own_sketch")).alias("fingerprint"),
+        fingerprints.written(F.col("of_edited_sketch")).alias("edited_fingerprint"),
+        near("of_edited").alias("near_edited"),
+        near("of_next").alias("near_next"),
+    )
+
+
 def chat_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings."""
     said = "<|im_end|><|im_start|>assistant ok"
@@ -121,5 +192,5 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_html_extraction, op4_url_filter, op5_secret_scan, op6_quality_classifier, op7_byte_bpe, op8_packing, op10_chat_formatting)
+    for query in (op1_html_extraction, op4_url_filter, op5_secret_scan, op6_quality_classifier, op7_byte_bpe, op8_packing, op9_fingerprints, op10_chat_formatting)
 }
