@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelhouse.llm import byte_bpe, chat, fingerprints, html_text, neighbours, packing, quality, secret_scan, url_lists
+from reelhouse.llm import byte_bpe, chat, fingerprints, html_text, near_dedup, neighbours, packing, quality, secret_scan, url_lists
 from reelhouse.llm.common import checkpointed, id_and_text, parts_for, table
 
 
@@ -14,6 +14,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -196,5 +200,5 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_html_extraction, op3_nearest_neighbours, op4_url_filter, op5_secret_scan, op6_quality_classifier, op7_byte_bpe, op8_packing, op9_fingerprints, op10_chat_formatting)
+    for query in (op1_html_extraction, op2_near_dedup, op3_nearest_neighbours, op4_url_filter, op5_secret_scan, op6_quality_classifier, op7_byte_bpe, op8_packing, op9_fingerprints, op10_chat_formatting)
 }
