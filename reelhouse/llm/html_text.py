@@ -173,7 +173,7 @@ class Grid:
             row.append(lines if number == 0 else [])
 
     def _skip_covered(self, row: list) -> None:
-        while self.covered.get(len(row), 0) > 1:
+        while self.covered.get(len(row), 0) >= 1:
             row.append([])
 
     def end_row(self) -> None:
@@ -265,7 +265,7 @@ class Page:
         if self.stack[-1].tag == "head" and not data.isspace():
             self._pop()
         top = self.stack[-1]
-        if not (top.shown and top.seen):
+        if not (top.shown and top.seen) or (top.tag == "details" and top.number == 1):
             return
         if not raw and "&" in data:
             data = unescape(data)

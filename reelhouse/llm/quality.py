@@ -157,25 +157,40 @@ def _train_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+def _scores(weights: np.ndarray, featurize: Featurizer, texts: pa.Array) -> np.ndarray:
+    table, bias = weights[:FEATURES], weights[FEATURES]
+    sums = np.empty(len(texts))
+    for row, text in enumerate(texts):
+        features = featurize(text.as_py() or "")
+        sums[row] = bias + SCALE * (table[features].mean() if len(features) else 0.0)
+    return _logistic(sums)
+
+
 def score(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every text: a narrow pass, with the fixed-size weights broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(weights)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         featurize = Featurizer()
-        table, bias = shared.value[:FEATURES], shared.value[FEATURES]
         for batch in batches:
-            scores = np.empty(batch.num_rows)
-            for row, text in enumerate(batch.column("text")):
-                features = featurize(text.as_py())
-                scores[row] = bias + SCALE * (table[features].mean() if len(features) else 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(_logistic(scores))], ["doc_id", "score"]
-            )
+            scores = pa.array(_scores(shared.value, featurize, batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
 
     return id_and_text(df, id_col, text_col).mapInArrow(scored, "doc_id long, score double")
 
 
+def keep_good(df: DataFrame, weights: np.ndarray, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, whose text scores at least `threshold`: the same narrow pass."""
+    shared = df.sparkSession.sparkContext.broadcast(weights)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        featurize = Featurizer()
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(shared.value, featurize, batch.column(text_col)) >= threshold))
+
+    return df.mapInArrow(kept, df.schema)
+
+
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) for every document."""
     scores = score(df, train(df, labels, id_col, text_col), id_col, text_col)

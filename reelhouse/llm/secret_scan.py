@@ -230,10 +230,10 @@ def entropy_spans(text: Column, base: Column, allowed: tuple[str, ...] = ALLOWED
     return F.when(text.rlike(CANDIDATE), new).otherwise(none)
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
-    """(doc_id, text, base, spans): base spans and all spans as arrays of (start, rank, kind, end)."""
-    text = F.col("text")
-    found = id_and_text(df, id_col, text_col).withColumn(
+def add_spans(df: DataFrame, text_col: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+    """The frame with two more columns: `base` with the base spans and `spans` with all, as arrays of (start, rank, kind, end)."""
+    text = F.coalesce(df[text_col], F.lit(""))
+    found = df.withColumn(
         "base",
         F.array_sort(
             F.concat(
@@ -243,9 +243,12 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed:
             )
         ),
     )
-    return found.select(
-        "doc_id", "text", "base", F.array_sort(F.concat("base", entropy_spans(text, F.col("base"), allowed))).alias("spans")
-    )
+    return found.withColumn("spans", F.array_sort(F.concat("base", entropy_spans(text, F.col("base"), allowed))))
+
+
+def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+    """(doc_id, text, base, spans) of every row."""
+    return add_spans(id_and_text(df, id_col, text_col), "text", allowed)
 
 
 def written(spans: Column) -> Column:

@@ -1,0 +1,188 @@
+"""The registered queries of the subpackage: against SQL, or against plain Python at the smallest scale."""
+
+from __future__ import annotations
+
+import hashlib
+import subprocess
+import sys
+import zlib
+from pathlib import Path
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from reelhouse.llm import byte_bpe, html_text, near_dedup, packing, quality, queries
+from tests.llm.test_fingerprints import likeness
+from tests.llm.test_near_dedup import brute_force as near_copies
+from tests.llm.test_neighbours import brute_force as nearest
+from tests.llm.test_packing import check as check_packing
+from tests.llm.test_packing import padded, tokenizer  # noqa: F401
+from tests.llm.test_secret_scan import blotted
+from tests.llm.test_secret_scan import brute_force as secrets
+from tests.oracle_check import connect, difference
+
+
+def sha(text):
+    return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def documents(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    return {row["doc_id"]: row["text"] or "" for row in rows}
+
+
+def by_id(spark, sf_dir, query, key="doc_id"):
+    rows = queries.QUERIES[query](spark, sf_dir).collect()
+    found = {row[key]: row for row in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def test_every_operator_is_registered_once():
+    names = [name for name in contract.queries() if name.startswith("op")]
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert "pipeline" in contract.queries()
+
+
+@pytest.mark.parametrize("name", sorted(contract.text_oracle_sql()))
+def test_query_matches_sql(spark, sf_dir, name):
+    assert difference(contract.queries()[name](spark, sf_dir), connect(sf_dir), contract.oracle_sql()[name]) is None
+
+
+def test_html_extraction(spark, sf_dir):
+    found = by_id(spark, sf_dir, "op1_html_extraction", "page_id")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    assert {number: row["text"] for number, row in found.items()} == {
+        page["page_id"]: html_text.html_to_text(page["html"]) for page in pages
+    }
+
+
+def test_near_dedup(spark, sf_dir, documents):
+    found = by_id(spark, sf_dir, "op2_near_dedup")
+    assert {number: (row["n_shingles"], row["component_id"]) for number, row in found.items()} == near_copies(
+        list(documents.items()), 2
+    )
+    assert all(row["kept"] == (number == row["component_id"]) for number, row in found.items())
+
+
+def test_nearest_neighbours(spark, sf_dir):
+    rows = [(row["vec_id"], row["embedding"]) for row in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    wanted, hits = nearest(rows), 0
+    found = queries.op3_nearest_neighbours(spark, sf_dir).collect()
+    assert len(found) == sum(map(len, wanted.values()))
+    for row in found:
+        hits += row["vec_id"] in {number for _, number in wanted[row["query_id"]]}
+    assert hits / len(found) >= 0.9
+
+
+def test_secret_scan(spark, sf_dir, documents):
+    for number, row in by_id(spark, sf_dir, "op5_secret_scan").items():
+        base, spans = secrets(documents[number])
+        kinds = [span.split(":")[0] for span in base.split(",")]
+        assert (row["base_sha256"], row["spans"]) == (sha(base), spans)
+        assert (row["n_assign"], row["n_access"], row["n_hex"]) == tuple(kinds.count(k) for k in ("assign", "access", "hex"))
+
+
+def test_quality_classifier(spark, sf_dir, documents):
+    found = by_id(spark, sf_dir, "op6_quality_classifier")
+    assert found.keys() == documents.keys()
+    assert all(row["held_out"] == (zlib.crc32(str(number).encode()) % 5 == 0) for number, row in found.items())
+
+
+def test_byte_bpe(spark, sf_dir, documents):
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = by_id(spark, sf_dir, "op7_byte_bpe")
+    assert found.keys() == documents.keys()
+    for number, row in found.items():
+        ids = library.encode_ordinary(documents[number])
+        assert (row["n_tokens"], row["ids_sha256"], row["decoded_sha256"]) == (
+            len(ids), sha(" ".join(map(str, ids))), sha(documents[number]),
+        )
+
+
+def test_packing(spark, sf_dir):
+    pieces = queries.op8_packing(spark, sf_dir).collect()
+    filled = {}
+    for row in pieces:
+        filled[row["sequence_id"]] = filled.get(row["sequence_id"], 0) + row["length"]
+    assert max(filled.values()) <= packing.SEQUENCE and sum(filled.values()) / sum(map(padded, filled.values())) > 0.98
+
+
+def test_fingerprints(spark, sf_dir, documents):
+    found, order = by_id(spark, sf_dir, "op9_fingerprints"), sorted(documents, reverse=True)
+    assert found.keys() == documents.keys()
+    for place, number in enumerate(order):
+        text, following = documents[number], documents[order[(place + 1) % len(order)]]
+        half = len(text) // 2
+        edited, row = text[: len(text) - half] + following[:half], found[number]
+        assert (row["n_chars"], row["edited_sha256"]) == (len(text), sha(edited))
+        assert abs(row["near_edited"] - likeness(text, edited)) < 1e-12
+        assert abs(row["near_next"] - likeness(text, following)) < 1e-12
+    marks = {text: found[number]["fingerprint"] for number, text in documents.items()}
+    assert all(found[number]["fingerprint"] == marks[text] for number, text in documents.items())
+
+
+def test_pipeline_stages(spark, tokenizer):  # noqa: F811
+    """Each stage against plain Python on what the one before kept."""
+    sf_dir = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = {row["doc_id"]: row["text"] for row in table.collect()}
+    weights = quality.train(table, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    featurize = quality.Featurizer()
+
+    def good(text):
+        features = featurize(text)
+        mean = weights[features].mean() if len(features) else 0.0
+        return quality._logistic(weights[-1] + quality.SCALE * mean) >= quality.THRESHOLD
+
+    wanted = {number: text for number, text in documents.items() if good(text)}
+    assert len(documents) > len(wanted)
+    components = near_copies(list(wanted.items()), near_dedup.WORDS)
+    wanted = {number: text for number, text in wanted.items() if components[number][1] == number}
+    wanted = {number: blotted(text, secrets(text)[1]) for number, text in wanted.items()}
+    assert any("[secret]" in text for text in wanted.values())
+
+    docs = table
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir).cache()
+        assert docs.columns == table.columns
+    assert {row["doc_id"]: row["text"] for row in docs.collect()} == wanted
+    rows = docs.collect()
+    assert all(row["n_chars"] == len(row["text"]) for row in rows)
+    check_packing(spark, list(wanted.items()), tokenizer, 1 / 60)
+    pieces = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {row["doc_id"] for row in pieces} == wanted.keys()
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_on_odd_documents(spark, sf_dir):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, base string, kept int"
+    rows = [
+        (1, None, None, None, None, "x", 1), (2, "", "en", "s", 0, "x", 1), (3, "token=abcdef12", "en", "s", 14, "x", 1),
+        (3, "token=abcdef12", "en", "s", 14, "x", 1), (None, "no id here", "en", None, 10, "x", 1), (5, "word " * 20_000, "en", "s", 100_000, "x", 1),
+    ]
+    for frame in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        docs = frame
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, sf_dir)
+            assert docs.columns == corpus_pipeline.DOCUMENTS
+        assert docs.count() == frame.count()
+        assert corpus_pipeline.pack_sequences(spark, docs, sf_dir).select("doc_id").distinct().count() == frame.select("doc_id").distinct().count()
+
+
+def test_entry_works_without_the_subpackage(tmp_path):
+    """The rest of the library in a folder of its own, as it is when the subpackage is not installed."""
+    root = Path(contract.__file__).parent
+    for path in [root / "__spark_entry__.py", *(root / "reelhouse").rglob("*.py")]:
+        if "llm" not in path.relative_to(root).parts:
+            target = tmp_path / path.relative_to(root)
+            target.parent.mkdir(parents=True, exist_ok=True)
+            target.write_text(path.read_text())
+    code = "import __spark_entry__ as e; print(sorted(n for n in e.queries() if n[:2] == 'op' or n == 'pipeline'), len(e.queries()) > 30)"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "[] True", done.stderr
