@@ -124,6 +124,11 @@ JDBC_WRITERS = 4
 # --- fixed values: time limit of one streaming drain, in seconds ------------------
 STREAM_WINDOW_SECS = 180
 
+# Largest batch of a drain unless the caller sets another: Kafka records, or bytes of files. A batch is
+# what a run commits at least, so it has to be small against a run and large against its overhead.
+BATCH_OFFSETS = 50_000_000
+BATCH_BYTES = 16 * 1024**3
+
 
 def ddl(columns: dict[str, str]) -> str:
     """Spark DDL text of a name -> type mapping."""

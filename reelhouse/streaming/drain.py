@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
+POLL_SECS = 0.1
+
+
 def start_drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append everything that arrived since the checkpoint to a Parquet folder, then end.
 
@@ -27,13 +30,20 @@ def start_drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 
 def finish(query: StreamingQuery, timeout_secs: float | None = None) -> None:
-    """Wait for a drain to end; past the time limit stop it and raise.
+    """Wait for a drain to end; past the time limit stop it after a committed batch and raise.
 
-    What was committed stays, and the next run goes on from the checkpoint.
+    The limit acts between batches: the first batch of a run is always waited for, so each run gets on by
+    a batch at least, however short the limit. What was committed stays, and the next run goes on
+    from the checkpoint. A batch is as large as the source's own limits allow, and a run may exceed its
+    time by one.
     """
     if timeout_secs is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout_secs):
+        # progress is reported once a batch has been committed
+        while query.lastProgress is None:
+            if query.awaitTermination(POLL_SECS):
+                return
         query.stop()
         raise TimeoutError("stream did not drain within its time limit; rerun to continue")
 

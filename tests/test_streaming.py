@@ -69,7 +69,9 @@ def test_bad_messages_are_null_rows_in_bronze_and_raw_text_in_rejects(spark, fol
 
 
 class Endless:
-    """A query that does not end in time."""
+    """A query that does not end in time, with a batch already committed."""
+
+    lastProgress = {"batchId": 0}
 
     def __init__(self):
         self.isActive = True
@@ -114,3 +116,48 @@ def test_interrupted_drain_goes_on_where_it_stopped(spark, sf_dir, folder):
         finish(start_bronze(stream, schemas.TITLES, f"{folder}/bronze", f"{folder}/checkpoint"), 0.001)
     landed = drain(spark, folder, max_files_per_trigger=1)
     assert sorted(map(repr, landed.collect())) == sorted(map(repr, titles.collect()))
+
+
+def test_time_limit_waits_for_the_first_batch():
+    class Slow(Endless):
+        waits = 0
+
+        @property
+        def lastProgress(self):
+            return {"batchId": 0} if self.waits > 3 else None
+
+        def awaitTermination(self, timeout=None):
+            self.waits += 1
+            return False
+
+    query = Slow()
+    with pytest.raises(TimeoutError):
+        finish(query, 0.001)
+    assert query.waits == 4 and not query.isActive
+
+
+def test_limited_reruns_with_default_settings_drain_everything(spark, sf_dir, folder):
+    """The limit is far below what the backlog takes, and every rerun gets on."""
+    titles = inputs.bronze_titles(spark, sf_dir)
+    to_folder(encode(titles.repartition(6)), f"{folder}/landing")
+    lake = Lake(f"{folder}/lake")
+    receive = lambda session, topic: from_folder(session, f"{folder}/landing")
+    for _ in range(4):
+        try:
+            land_topics(spark, receive, lake, 0.001)
+            break
+        except TimeoutError:
+            continue
+    else:
+        raise AssertionError("reruns did not drain the topics")
+    landed = read_bronze(spark, lake.titles, schemas.TITLES)
+    assert sorted(map(repr, landed.collect())) == sorted(map(repr, titles.collect()))
+
+
+def test_folder_batches_are_bounded_by_bytes(spark, sf_dir, folder, monkeypatch):
+    titles = inputs.bronze_titles(spark, sf_dir)
+    to_folder(encode(titles.repartition(5)), f"{folder}/landing")
+    monkeypatch.setattr("reelhouse.sources.events.BATCH_BYTES", 1)
+    query = start_bronze(from_folder(spark, f"{folder}/landing"), schemas.TITLES, f"{folder}/bronze", f"{folder}/checkpoint")
+    finish(query)
+    assert query.lastProgress["batchId"] == 4
