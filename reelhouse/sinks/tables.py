@@ -2,34 +2,78 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from reelhouse.schemas import POPULARITY_VIEW
+from reelhouse.sinks.folders import remove_folder, subfolders
+
+
+def _quoted(path: str) -> str:
+    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    at = f" LOCATION '{location}'" if location else ""
+    at = f" LOCATION {_quoted(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
 
 
 def write_table(df: DataFrame, database: str, table: str) -> DataFrame:
     """Replace the rows of a managed table and return a scan of what was written.
 
-    The table is created, or created anew if its columns changed, before any file is written.
-    So a run that dies half-way leaves a table that the next run overwrites, and never files
-    without a table, which would block it.
+    All files are written to a new folder first. Only then is the table pointed to it, by one
+    metadata step, so a failed write leaves the old rows, and a reader sees old or new ones. If
+    the columns changed, a table with the new ones is prepared and takes the old one's name. The
+    folder before the last is removed: readers that began before the switch can finish.
+
+    A table that is missing is created before any file is written, so a run that dies half-way never
+    leaves files without a table, which would block the next one.
     """
     spark = df.sparkSession
     name = f"`{database}`.`{table}`"
-    columns = df.dtypes
-    if not spark.catalog.tableExists(name) or spark.table(name).dtypes != columns:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        listed = ", ".join(f"`{column}` {kind}" for column, kind in columns)
-        spark.sql(f"CREATE TABLE {name} ({listed}) USING parquet")
-    df.write.insertInto(name, overwrite=True)
+    if not spark.catalog.tableExists(name):
+        _create(spark, name, df)
+    own = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
+    versions = f"{own}__versions"
+    folder = f"{versions}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    before = _location(spark, name)
+    if spark.table(name).dtypes == df.dtypes:
+        _point(spark, name, folder)
+    else:
+        prepared = f"`{database}`.`{table}__{uuid.uuid4().hex}`"
+        _create(spark, prepared, df)
+        _point(spark, prepared, folder)
+        spark.sql(f"DROP TABLE {name}")
+        remove_folder(spark, own)  # made with the table, and in the way of the new one's name
+        spark.sql(f"ALTER TABLE {prepared} RENAME TO {name}")
+    spark.catalog.refreshTable(name)
+    kept = {_last(before), _last(_location(spark, name))}
+    for place in subfolders(spark, versions):
+        if _last(place) not in kept:
+            remove_folder(spark, place)
     return spark.table(name)
 
 
+def _create(spark: SparkSession, name: str, df: DataFrame) -> None:
+    listed = ", ".join(f"`{column}` {kind}" for column, kind in df.dtypes)
+    spark.sql(f"CREATE TABLE {name} ({listed}) USING parquet")
+
+
+def _point(spark: SparkSession, name: str, folder: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(folder)}")
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+def _last(place: str) -> str:
+    return place.rstrip("/").rpartition("/")[2]
+
+
 def create_popularity_view(spark: SparkSession, database: str) -> DataFrame:
     """View of the average popularity and score per platform and release year."""
     name = f"`{database}`.`{POPULARITY_VIEW}`"
