@@ -2,35 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from reelhouse.schemas import MART_ROWS
 
 
-# Up to this rank Spark cuts each task's rows before the shuffle (its default setting).
-MERGE_LIMIT = 1000
-
-
-def _first_rows(rows: DataFrame, order: list[Column], n: int, fan_in: int) -> DataFrame:
-    """The first `n` rows by a total order, merged in two steps.
-
-    A plain sorted limit sends `n` rows of every scan task to one last task, which is too
-    many with very many tasks. So the rows are first cut to `n` in each scan task and in
-    each of `fan_in` groups of scan tasks; the last task sees `n * fan_in` rows.
-    """
-    if n <= MERGE_LIMIT:
-        group = Window.partitionBy("_group").orderBy(*order)
-        rows = (
-            rows.withColumn("_group", F.spark_partition_id() % fan_in)
-            .withColumn("_rank", F.row_number().over(group))
-            .where(F.col("_rank") <= n)
-            .drop("_group", "_rank")
-        )
-    return rows.orderBy(*order).limit(n)
-
-
 def top_n(
     titles: DataFrame,
     platform: str,
@@ -38,21 +15,29 @@ def top_n(
     n: int = MART_ROWS,
     tie_break: str = "id",
     nan_as_null: bool = False,
-    fan_in: int = 64,
 ) -> DataFrame:
     """The `n` titles of one platform with the highest metric, nulls last, ties by id.
 
     NaN ranks above every number, as in any descending Spark sort; `nan_as_null=True`
-    ranks it with the nulls.
+    ranks it with the nulls. Titles are unique per id and platform, as the dedupe leaves them.
+
+    Ranked are only the metric and the id: each task keeps a heap of `n`, and the last one merges narrow
+    rows. The `n` ids, no more at any input size, then fetch their rows.
     """
     value = F.col(metric)
     if nan_as_null:
         value = F.when(~F.isnan(value), value)
     order = [value.desc_nulls_last(), F.col(tie_break).asc_nulls_last()]
-    return _first_rows(titles.where(F.col("platform") == platform), order, n, fan_in)
+    rows = titles.where(F.col("platform") == platform)
+    best = rows.select(metric, tie_break).orderBy(*order).limit(n).select(F.col(tie_break).alias("_best"))
+    found = rows.join(F.broadcast(best.distinct()), F.col(tie_break).eqNullSafe(F.col("_best")), "left_semi")
+    return found.orderBy(*order).limit(n)
 
 
-def sample_rows(df: DataFrame, n: int, order_by: list[str], fan_in: int = 64) -> DataFrame:
-    """The first `n` rows by the given columns and then all others: the same rows each time."""
+def sample_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
+    """The first `n` rows by the given columns and then all others: the same rows each time.
+
+    Rows need not be unique, so whole rows are ranked; each task keeps a heap of `n`.
+    """
     names = order_by + [name for name in df.columns if name not in order_by]
-    return _first_rows(df, [F.col(name).asc_nulls_last() for name in names], n, fan_in)
+    return df.orderBy(*(F.col(name).asc_nulls_last() for name in names)).limit(n)

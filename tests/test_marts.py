@@ -42,20 +42,23 @@ def test_ties_fall_to_the_id(spark):
     assert [row.id for row in top_n(ranked(spark), "Netflix", "imdb_votes", n=2).collect()] == list("ca")
 
 
-@pytest.mark.parametrize("fan_in", [1, 3, 64])
 @pytest.mark.parametrize("n", [1, 100, 1500])
-def test_merging_in_groups_gives_the_plain_limit(spark, sf_dir, fan_in, n):
+def test_any_n_gives_the_plain_limit(spark, sf_dir, n):
     titles = transformed_titles(inputs.bronze_titles(spark, "/root/testdata/sf0.01")).repartition(9)
-    merged = top_n(titles, "Disney", "imdb_votes", n=n, fan_in=fan_in).collect()
+    best = top_n(titles, "Disney", "imdb_votes", n=n).collect()
     plain = titles.where("platform = 'Disney'").orderBy("imdb_votes", "id").collect()
     plain.sort(key=lambda row: (row.imdb_votes is None, -(row.imdb_votes or 0), row.id))
-    assert [row.id for row in merged] == [row.id for row in plain[:n]]
+    assert [row.id for row in best] == [row.id for row in plain[:n]]
 
 
-def test_top_n_is_cut_per_task_before_the_shuffle(spark):
-    plan = top_n(ranked(spark), "Netflix", "imdb_votes")._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
-    assert plan.count("WindowGroupLimit") == 2
+@pytest.mark.parametrize("n", [100, 100_000])
+def test_one_plan_ranks_narrow_rows_for_every_n(spark, folder, n):
+    ranked(spark).selectExpr("*", "'long' as description").write.parquet(f"{folder}/titles")
+    best = top_n(spark.read.parquet(f"{folder}/titles"), "Netflix", "imdb_votes", n=n)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("TakeOrderedAndProject") == 2 and "BroadcastHashJoin" in plan
+    assert "ReadSchema: struct<id:string,platform:string,imdb_votes:int>" in plan
+    assert "Sort [" not in plan and "Window" not in plan
 
 
 def test_platform_filter_reaches_the_written_table(spark, sf_dir, folder):
