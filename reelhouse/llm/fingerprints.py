@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm.common import id_and_text
 
-PARAGRAPH_WORDS = 32
+PARAGRAPH_WORDS = 64
 PARAGRAPH = rf"\S++(?:[^\S\n]++\S++){{0,{PARAGRAPH_WORDS - 1}}}+"
 #: Cells of a sub-table in a stored fingerprint, growth of a retry, and retries; the last of them
 #: has sub-tables of 8 * 4 ** 10 cells, more than a text that fits into a value has paragraphs.
@@ -32,7 +32,6 @@ CELLS, GROWTH, RETRIES = 8, 4, 10
 ROUNDS = 60
 CELL = "struct<cell:int,count:int,key:bigint,proof:bigint>"
 DIGEST = "struct<digest:bigint,sign:int>"
-STATE = f"struct<cells:array<{CELL}>,found:array<{DIGEST}>,stuck:boolean>"
 
 
 def let(value: Column, body) -> Column:
@@ -77,29 +76,41 @@ def _merged(cells: Column) -> Column:
             total["proof"].bitwiseXOR(cell["proof"]).alias("proof"),
         )
 
-    nothing = F.struct(
-        F.lit(0).alias("cell"), F.lit(0).alias("count"), F.lit(0).cast("bigint").alias("key"), F.lit(0).cast("bigint").alias("proof")
-    ).cast(CELL)
-
-    def by_run(ordered: Column) -> Column:
+    def by_run(order: Column) -> Column:
         heads = F.filter(
-            F.sequence(F.lit(0), F.size(ordered) - 1),
-            lambda at: (at == 0) | (F.get(ordered, at)["cell"] != F.get(ordered, at - 1)["cell"]),
+            F.sequence(F.lit(0), F.size(order) - 1),
+            lambda at: (at == 0) | (_cell(F.get(order, at)) != _cell(F.get(order, at - 1))),
         )
+
+        def run(starts: Column, at: Column, number: Column) -> Column:
+            first = F.get(cells, _place(F.get(order, at)))
+            count = F.coalesce(F.get(starts, number + 1), F.size(order)) - at
+            rest = F.aggregate(
+                F.slice(order, at + 2, count - 1), first, lambda total, each: add(total, F.get(cells, _place(each)))
+            )
+            return F.when(count == 1, first).otherwise(rest)
+
         return let(
             heads,
             lambda starts: F.filter(
-                F.transform(
-                    starts,
-                    lambda at, number: F.aggregate(
-                        F.slice(ordered, at + 1, F.coalesce(F.get(starts, number + 1), F.size(ordered)) - at), nothing, add
-                    ),
-                ),
+                F.transform(starts, lambda at, number: run(starts, at, number)),
                 lambda cell: (cell["count"] != 0) | (cell["key"] != 0) | (cell["proof"] != 0),
             ),
         )
 
-    return F.when(F.size(cells) > 0, let(F.sort_array(cells), by_run)).otherwise(cells)
+    # numbers sort faster than structs: the cell, then the place in the array
+    order = F.sort_array(
+        F.transform(cells, lambda cell, place: F.shiftleft(cell["cell"].cast("bigint"), 31).bitwiseOR(place.cast("bigint")))
+    )
+    return F.when(F.size(cells) > 0, let(order, by_run)).otherwise(cells)
+
+
+def _cell(numbered: Column) -> Column:
+    return F.shiftright(numbered, 31)
+
+
+def _place(numbered: Column) -> Column:
+    return numbered.bitwiseAND(F.lit(2**31 - 1).cast("bigint")).cast("int")
 
 
 def _signed(found: Column, sign: int) -> Column:
@@ -123,6 +134,11 @@ def subtract(left: Column, right: Column) -> Column:
     return let(F.concat(left, negative), _merged)
 
 
+def _difference(left: Column, right: Column, size: Column) -> Column:
+    """What subtracting the sketches of two sets gives, made in one go."""
+    return let(_entries(F.concat(_signed(left, 1), _signed(right, -1)), size), _merged)
+
+
 def peel(difference: Column, size: Column) -> Column:
     """(cells, found, stuck): the digests recovered, +1 of the left and -1 of the right sketch, and the cells left over.
 
@@ -130,7 +146,7 @@ def peel(difference: Column, size: Column) -> Column:
     """
     start = F.struct(
         difference.alias("cells"), F.array().cast(f"array<{DIGEST}>").alias("found"), (F.size(difference) == 0).alias("stuck")
-    ).cast(STATE)
+    )
 
     def remove(so_far: Column, single: Column) -> Column:
         opposite = F.transform(single, lambda each: F.struct(each["digest"].alias("digest"), (-each["sign"]).alias("sign")))
@@ -138,7 +154,7 @@ def peel(difference: Column, size: Column) -> Column:
             let(F.concat(so_far["cells"], _entries(opposite, size)), _merged),
             lambda left: F.struct(
                 left.alias("cells"), F.concat(so_far["found"], single).alias("found"), (F.size(left) == 0).alias("stuck")
-            ).cast(STATE),
+            ),
         )
 
     def one_round(so_far: Column, _: Column) -> Column:
@@ -148,7 +164,7 @@ def peel(difference: Column, size: Column) -> Column:
         single = F.array_distinct(
             F.transform(alone, lambda cell: F.struct(cell["key"].alias("digest"), cell["count"].alias("sign")))
         )
-        stuck = F.struct(so_far["cells"].alias("cells"), so_far["found"].alias("found"), F.lit(True).alias("stuck")).cast(STATE)
+        stuck = F.struct(so_far["cells"].alias("cells"), so_far["found"].alias("found"), F.lit(True).alias("stuck"))
         return F.when(so_far["stuck"], so_far).otherwise(
             let(single, lambda peeled: F.when(F.size(peeled) == 0, stuck).otherwise(remove(so_far, peeled)))
         )
@@ -162,18 +178,16 @@ def differing(left: Column, right: Column, left_sketch: Column, right_sketch: Co
     The given sketches are of the stored size. If they are too small for the difference, larger ones are made
     from the sets. The last resort after all retries is the sets themselves.
     """
-    attempt = f"struct<cells:array<{CELL}>,found:array<{DIGEST}>,stuck:boolean>"
-
     def larger(so_far: Column, retry: Column) -> Column:
         size = (F.lit(CELLS) * F.pow(F.lit(GROWTH), retry)).cast("int")
         return F.when(F.size(so_far["cells"]) == 0, so_far).otherwise(
-            let(size, lambda cells: peel(subtract(sketch(left, cells), sketch(right, cells)), cells)).cast(attempt)
+            let(size, lambda cells: peel(_difference(left, right, cells), cells))
         )
 
     exact = F.concat(_signed(F.array_except(left, right), 1), _signed(F.array_except(right, left), -1))
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(RETRIES)),
-        peel(subtract(left_sketch, right_sketch), F.lit(CELLS)).cast(attempt),
+        peel(subtract(left_sketch, right_sketch), F.lit(CELLS)),
         larger,
         lambda last: F.when(F.size(last["cells"]) == 0, last["found"]).otherwise(exact),
     )

@@ -11,7 +11,7 @@ SCHEMA = "doc_id long, left string, right string"
 
 
 def paragraphs(text):
-    return set(re.findall(r"\S+(?:[^\S\n]+\S+){0,31}", text or "", re.A))
+    return set(re.findall(r"\S+(?:[^\S\n]+\S+){0,63}", text or "", re.A))
 
 
 def likeness(left, right):
