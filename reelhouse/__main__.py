@@ -39,6 +39,13 @@ def parser() -> argparse.ArgumentParser:
         help="one platform's exports; repeat for every platform",
     )
     feeds.add_argument("--sample", type=int, help="send only this many rows of each export")
+    feeds.add_argument(
+        "--multi-line",
+        choices=("yes", "no"),
+        help="whether quoted CSV fields hold line breaks; by default each file is searched for them",
+    )
+    feeds.add_argument("--csv-rejects", metavar="FOLDER", help="keep the text of CSV records with a field that does not parse")
+    feeds.add_argument("--ingested-at", metavar="TIME", help="yyyy-MM-dd HH:mm:ss; default: now")
 
     topics = argparse.ArgumentParser(add_help=False)
     place = topics.add_mutually_exclusive_group(required=True)
@@ -63,6 +70,7 @@ def parser() -> argparse.ArgumentParser:
 
     tables = argparse.ArgumentParser(add_help=False)
     tables.add_argument("--database", default=schemas.DATABASE)
+    tables.add_argument("--location", help="folder of the database, if it does not exist yet")
     tables.add_argument(
         "--catalog",
         choices=("hive", "in-memory"),
@@ -73,6 +81,9 @@ def parser() -> argparse.ArgumentParser:
     snapshots = argparse.ArgumentParser(add_help=False)
     snapshots.add_argument("--snapshot-date", type=datetime.date.fromisoformat, help="default: today")
     snapshots.add_argument("--replace-day", action="store_true", help="replace the day's snapshot, not append")
+    snapshots.add_argument("--files-per-day", type=int, help="most files of a day's snapshot")
+    snapshots.add_argument("--nan-as-null", action="store_true", help="rank NaN last in the marts")
+    snapshots.add_argument("--side-by-side", type=int, default=3, help="writes that run at a time (default %(default)s)")
 
     def jdbc(required: bool) -> argparse.ArgumentParser:
         options = argparse.ArgumentParser(add_help=False)
@@ -115,6 +126,15 @@ def _receive(arguments):
     return lambda spark, topic: event_source.from_folder(spark, f"{arguments.topic_folder}/{topic}", limit)
 
 
+def _multi_line(arguments) -> bool | None:
+    return None if arguments.multi_line is None else arguments.multi_line == "yes"
+
+
+def _reject(arguments):
+    folder = arguments.csv_rejects
+    return None if folder is None else lambda rows, topic: rows.write.mode("append").json(f"{folder}/{topic}")
+
+
 def _target(arguments) -> JdbcTarget | None:
     if not arguments.jdbc_url:
         return None
@@ -125,7 +145,15 @@ def _target(arguments) -> JdbcTarget | None:
 def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
     if arguments.step == "ingest":
         feeds = [Feed(*feed) for feed in arguments.feed]
-        ingest(spark, feeds, _deliver(arguments), sample=arguments.sample)
+        ingest(
+            spark,
+            feeds,
+            _deliver(arguments),
+            arguments.ingested_at,
+            arguments.sample,
+            _multi_line(arguments),
+            _reject(arguments),
+        )
     elif arguments.step == "bronze":
         land_topics(
             spark,
@@ -142,8 +170,12 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
             lake.credits,
             lake.snapshots,
             database=arguments.database,
+            location=arguments.location,
             snapshot_date=arguments.snapshot_date,
             replace_day=arguments.replace_day,
+            files_per_day=arguments.files_per_day,
+            nan_as_null=arguments.nan_as_null,
+            side_by_side=arguments.side_by_side,
         )
     elif arguments.step == "publish":
         publish_tables(
@@ -162,8 +194,15 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
                 receive=_receive(arguments),
                 lake=Lake(arguments.lake),
                 database=arguments.database,
+                location=arguments.location,
                 target=_target(arguments),
                 sample=arguments.sample,
+                multi_line=_multi_line(arguments),
+                reject=_reject(arguments),
+                ingested_at=arguments.ingested_at,
+                files_per_day=arguments.files_per_day,
+                nan_as_null=arguments.nan_as_null,
+                side_by_side=arguments.side_by_side,
                 snapshot_date=arguments.snapshot_date,
                 replace_day=arguments.replace_day,
                 keep_rejects=arguments.keep_rejects,

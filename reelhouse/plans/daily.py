@@ -34,6 +34,11 @@ class DailyRun:
     jdbc_batch_rows: int = schemas.JDBC_BATCH_ROWS
     jdbc_writers: int = schemas.JDBC_WRITERS
     sample: int | None = None
+    multi_line: bool | None = None
+    reject: Deliver | None = None
+    files_per_day: int | None = None
+    nan_as_null: bool = False
+    side_by_side: int = 3
     ingested_at: str | None = None
     snapshot_date: datetime.date | None = None
     replace_day: bool = False
@@ -43,7 +48,7 @@ class DailyRun:
 
 def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
     """Run every step and return scans of the tables by name; the first failure is raised."""
-    ingest(spark, run.feeds, run.deliver, run.ingested_at, run.sample)
+    ingest(spark, run.feeds, run.deliver, run.ingested_at, run.sample, run.multi_line, run.reject)
     land_topics(spark, run.receive, run.lake, run.stream_window_secs, run.keep_rejects)
     tables = transform(
         spark,
@@ -54,6 +59,9 @@ def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
         location=run.location,
         snapshot_date=run.snapshot_date,
         replace_day=run.replace_day,
+        files_per_day=run.files_per_day,
+        nan_as_null=run.nan_as_null,
+        side_by_side=run.side_by_side,
     )
     if run.target:
         publish_tables(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 import uuid
 from functools import partial
 
@@ -104,6 +105,44 @@ def test_sample_sends_so_many_rows_of_each_export(spark, sf_dir, folder):
     assert sent == {schemas.TITLES_TOPIC: 40, schemas.CREDITS_TOPIC: 40}
 
 
+def test_header_without_a_key_column_sends_nothing(spark, sf_dir, folder):
+    feeds = export(spark, sf_dir, folder)
+    renamed = spark.read.csv(feeds[0].credits, header=True, escape='"').withColumnRenamed("person_ID", "person_id")
+    renamed.write.csv(f"{folder}/renamed", header=True, escape='"')
+    bad = (Feed(feeds[0].platform, feeds[0].titles, f"{folder}/renamed"), *feeds[1:])
+    with pytest.raises(MissingInput, match="person_ID"):
+        run_daily(spark, daily(spark, folder, bad, database=f"never_{uuid.uuid4().hex}"))
+    assert not os.path.exists(f"{folder}/topics") and not os.path.exists(f"{folder}/lake")
+
+
+def test_missing_credits_file_sends_no_titles(spark, sf_dir, folder):
+    feeds = export(spark, sf_dir, folder)
+    sent = []
+    bad = (*feeds[1:], Feed(feeds[0].platform, feeds[0].titles, f"{folder}/nowhere"))
+    with pytest.raises(Exception, match="nowhere"):
+        ingest(spark, bad, lambda events, topic: sent.append(topic))
+    with pytest.raises(MissingInput, match="no feeds"):
+        ingest(spark, [], lambda events, topic: sent.append(topic))
+    assert sent == []
+
+
+def test_csv_rejects_are_kept_beside_the_delivered_rows(spark, folder):
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/titles.csv", "w") as file:
+        file.write("id,title,seasons\nt1,A,2.0\nt2,B,2\n")
+    with open(f"{folder}/in/credits.csv", "w") as file:
+        file.write("person_ID,id\np1,t1\n")
+    sent, bad = {}, {}
+    ingest(
+        spark,
+        [Feed("Hulu", f"{folder}/in/titles.csv", f"{folder}/in/credits.csv")],
+        lambda events, topic: sent.update({topic: events.count()}),
+        reject=lambda rows, topic: bad.update({topic: [tuple(row) for row in rows.collect()]}),
+    )
+    assert sent == {schemas.TITLES_TOPIC: 2, schemas.CREDITS_TOPIC: 1}
+    assert bad == {schemas.TITLES_TOPIC: [("Hulu", "t1,A,2.0")], schemas.CREDITS_TOPIC: []}
+
+
 def test_transform_without_input_raises_and_creates_nothing(spark, folder):
     database = f"absent_{uuid.uuid4().hex}"
     with pytest.raises(MissingInput):

@@ -222,6 +222,48 @@ def test_swap_elsewhere_is_one_transaction():
     assert refused.log[-1] == "rollback"
 
 
+def test_all_tables_are_swapped_together():
+    mysql = FakeConnection("MariaDB", True)
+    jdbc._swap_all(mysql, [("a__staging", "a"), ("b__staging", "b")])
+    assert mysql.log[2] == "RENAME TABLE a TO a__old, a__staging TO a, b TO b__old, b__staging TO b" and len(mysql.log) == 5
+    other = FakeConnection("PostgreSQL", True, fail_on="b__staging RENAME")
+    with pytest.raises(RuntimeError):
+        jdbc._swap_all(other, [("a__staging", "a"), ("b__staging", "b")])
+    assert other.log[0] == "DROP TABLE a" and other.log[-1] == "rollback" and "commit" not in other.log
+
+
+def test_unknown_products_are_refused_before_anything_is_written():
+    oracle = FakeConnection("Some Database", True)
+    with pytest.raises(jdbc.PublishError, match="Some Database"):
+        jdbc._swap(oracle, "t__staging", "t")
+    assert oracle.log == []
+
+
+def test_second_table_failing_leaves_the_first(spark, target):
+    tables = {"t": (frame(spark, ("a", 1)), None), "u": (frame(spark, ("a", 1)), "id VARCHAR(4)")}
+    jdbc.publish_all(tables, target)
+    tables = {"t": (frame(spark, ("b", 2)), None), "u": (frame(spark, ("too long", 2)), "id VARCHAR(4)")}
+    with pytest.raises(Py4JJavaError):
+        jdbc.publish_all(tables, target)
+    assert published(spark, target) == published(spark, target, "u") == [("a", 1)]
+
+
+def test_empty_table_is_refused_unless_allowed(spark, target):
+    jdbc.publish(frame(spark, ("a", 1)), "t", target)
+    empty = frame(spark, ("a", 1)).limit(0)
+    with pytest.raises(jdbc.PublishError, match="no rows"):
+        jdbc.publish(empty, "t", target)
+    assert published(spark, target) == [("a", 1)]
+    jdbc.publish(empty, "t", target, allow_empty=True)
+    assert published(spark, target) == []
+
+
+def test_infinity_is_published_as_null(spark, target):
+    rows = [("a", float("inf")), ("b", -float("inf")), ("c", float("nan")), ("d", 1.5), ("e", None)]
+    jdbc.publish(frame(spark, *rows, ddl="id string, n double"), "t", target)
+    assert published(spark, target) == [("a", None), ("b", None), ("c", None), ("d", 1.5), ("e", None)]
+
+
 def test_schema_qualified_table(spark, target):
     for rows in ([("a", 1)], [("b", 2)]):
         jdbc.publish(frame(spark, *rows), "app.my_table", target, "id VARCHAR(8)")

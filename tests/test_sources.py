@@ -20,7 +20,7 @@ from reelhouse.session import scratch_path
 from reelhouse.sinks import events as event_sink
 from reelhouse.sources import events as event_source
 from reelhouse.sources.bronze import read_bronze
-from reelhouse.sources.csv import has_split_records, read_csv
+from reelhouse.sources.csv import RAW_RECORD, has_split_records, read_csv
 from reelhouse.sources.errors import MissingInput
 
 COLUMNS = {"id": "string", "title": "string", "seasons": "int", "imdb_score": "float"}
@@ -128,6 +128,28 @@ def test_large_file_is_split_only_where_no_record_spans_lines(spark, folder):
     assert spanning == (400_001, 1)
 
 
+def test_one_file_with_a_spanning_record_leaves_the_others_split(spark, folder):
+    body = "".join(f"t{number},some title {number},{number},1.5\n" for number in range(400_000))
+    write(f"{folder}", "id,title,seasons,imdb_score\n" + body, "a b%.csv")
+    write(f"{folder}", 'id,title,seasons,imdb_score\nlast,"a\nb",1,2\n5" disk,x,1,2\n', "b.csv")
+    placed = read_csv(spark, folder, COLUMNS).select("id", "title", F.spark_partition_id().alias("task"))
+    assert tuple(placed.where("id like 't%'").agg(F.count("*"), F.countDistinct("task") > 1).first()) == (400_000, True)
+    assert {row.title for row in placed.where("id not like 't%'").collect()} == {"a\nb", "x"}
+
+
+def test_missing_required_column_raises(spark, folder):
+    write(folder, "id,name\nt1,A\n")
+    with pytest.raises(MissingInput, match="person_ID"):
+        read_csv(spark, folder, {"person_ID": "string", "id": "string"}, required=["person_ID", "id"])
+    assert read_csv(spark, folder, {"person_ID": "string", "id": "string"}, required=["id"]).first().person_ID is None
+
+
+def test_text_of_records_that_do_not_parse_is_kept(spark, folder):
+    write(folder, "id,title,seasons,imdb_score\nt1,A,2.0,7\nt2,B,2,7\nt3,C,,bad\n")
+    rows = {row.id: (row.seasons, row[RAW_RECORD]) for row in read_csv(spark, folder, COLUMNS, keep_raw=True).collect()}
+    assert rows == {"t1": (None, "t1,A,2.0,7"), "t2": (2, None), "t3": (None, "t3,C,,bad")}
+
+
 def test_file_without_a_header_raises(spark, folder):
     write(folder, "")
     with pytest.raises(MissingInput, match="no header row"):
