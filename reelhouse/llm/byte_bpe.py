@@ -5,12 +5,13 @@ a word is a slot number, and a document is the slots at its positions. The slots
 packets, are shuffled by word over the whole input, so that equal words of all blocks meet and
 are encoded once; their ids go back to the blocks, where documents take them by position. Words
 travel once per block and not once per occurrence, so no word is a hot key, and what is shuffled is
-several times smaller than the texts. Decoding joins ids with the token-byte table by taking its
-rows.
+smaller than the texts. Positions stay in the exchange that also carries the words, and both the word
+encoder and the blocks read it. Decoding joins ids with the token-byte table by taking its rows.
 
 Defined results: a null or empty text has no ids and decodes to no bytes. Rows, repeated ones too, are
-encoded separately. An empty table gives no rows. Other columns are ignored. Blocks are fixed
-by a checkpoint before they are used twice.
+encoded separately. An empty table gives no rows. Other columns are ignored. A block that a lost
+executor's work is repeated for is the same if its partition has its rows in the same order, as scans and
+checkpoints do; each packet bears a digest of its block's words, and another order is an error.
 """
 
 from __future__ import annotations
@@ -21,18 +22,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import blocks, checkpointed, id_and_text, parts_for
+from reelhouse.llm.common import blocks, id_and_text, parts_for
 
-#: Bytes of text that share a dictionary, and token positions in a packet.
-BLOCK_BYTES, PACKET_TOKENS = 16_000_000, 1_000_000
+#: Bytes of text that share a dictionary.
+BLOCK_BYTES = 12_000_000
+#: Ids that are decoded at a time; a longer row is taken whole.
+SLICE_IDS = 500_000
 #: Word shards for each shuffle partition, so that hashing spreads them evenly.
 SHARDS_PER_PART = 8
-WORDS, POSITIONS = 0, 1
-PACKET = "kind int, target long, block long, number long, documents binary, data binary"
+#: Blocks have keys from 0 up, shards of words negative ones.
+PACKET = "key long, block long, digest long, lengths binary, data binary"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,7 +44,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
-def _packed(columns: dict) -> bytes:
+def _packed(**columns) -> bytes:
     """Columns as a compressed Arrow stream."""
     table = pa.table(columns)
     sink = pa.BufferOutputStream()
@@ -49,13 +53,13 @@ def _packed(columns: dict) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(data).read_all().combine_chunks()
+def _unpacked(data: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(data.as_buffer()).read_all().combine_chunks()
 
 
 def _packets(rows: list[tuple]) -> pa.RecordBatch:
     names = [part.split()[0] for part in PACKET.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    kinds = [pa.int64()] * 3 + [pa.binary()] * 2
     return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names)
 
 
@@ -73,135 +77,123 @@ def _split(batches: Iterator[pa.RecordBatch], pattern: str, shards: int) -> Iter
     words_of = regex.compile(pattern).findall
     first = TaskContext.get().partitionId() << 32
     for number, block in enumerate(blocks(batches, "text", BLOCK_BYTES)):
-        name, slots, packet = first + number, Slots(), 0
-        ids, counts, positions, held = [], [], [], 0
-        for doc_id, text in zip(block["doc_id"].to_pylist(), block["text"]):
-            at = np.fromiter(map(slots.__getitem__, words_of(text.as_py())), np.int32)
-            ids.append(doc_id)
-            counts.append(len(at))
-            positions.append(at)
-            held += len(at)
-            if held >= PACKET_TOKENS:
-                yield _packets([_position_packet(name, packet, ids, counts, positions)])
-                ids, counts, positions, held, packet = [], [], [], 0, packet + 1
-        if ids:
-            yield _packets([_position_packet(name, packet, ids, counts, positions)])
-        if slots:
-            words = [word.encode() for word in slots]
+        slots = Slots()
+        positions = [np.fromiter(map(slots.__getitem__, words_of(text.as_py())), np.int32) for text in block["text"]]
+        words = [word.encode() for word in slots]
+        del slots
+        digest = zlib.crc32(b"\xff".join(words))
+        # byte planes: the higher bytes of most slots are zero
+        planes = np.concatenate(positions).view(np.uint8).reshape(-1, 4)
+        documents = _packed(doc_id=block["doc_id"], count=pa.array([len(at) for at in positions], pa.int64()))
+        del positions, block
+        data = _packed(**{f"byte{place}": pa.array(planes[:, place].copy()) for place in range(4)})
+        del planes
+        yield _packets([(first + number, first + number, digest, documents, data)])
+        if words:
             shard = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % shards
             order = np.argsort(shard, kind="stable")
             edges = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards))
             column = pa.array(words, pa.binary()).take(pa.array(order))
-            yield _packets(
-                [
-                    (
-                        WORDS,
-                        int(shard[order[begin]]),
-                        name,
-                        0,
-                        None,
-                        _packed({"slot": pa.array(order[begin:end].astype(np.int32)), "word": column[begin:end]}),
-                    )
-                    for begin, end in zip(edges, edges[1:])
-                ]
-            )
-
-
-def _position_packet(block: int, number: int, ids: list, counts: list, positions: list) -> tuple:
-    planes = np.concatenate(positions).view(np.uint8).reshape(-1, 4)
-    documents = _packed({"doc_id": pa.array(ids, pa.int64()), "count": pa.array(counts, pa.int64())})
-    data = _packed({f"byte{place}": pa.array(planes[:, place].copy()) for place in range(4)})
-    return POSITIONS, None, block, number, documents, data
+            for begin, end in zip(edges, edges[1:]):
+                steps = np.diff(order[begin:end], prepend=0).astype(np.int32)
+                packet = _packed(step=pa.array(steps), word=column[begin:end])
+                yield _packets([(-1 - int(shard[order[begin]]), first + number, digest, None, packet)])
+        pa.default_memory_pool().release_unused()
 
 
 def _encode_words(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    """Packets sorted by shard: the ids of each distinct word of a shard are computed once."""
+    """The ids of each distinct word of the shards of a partition are computed once."""
     import tiktoken
 
-    encoding, shard, known = None, None, {}
+    encoding, known = None, {}
     for batch in batches:
-        rows = []
-        for target, block, data in zip(
-            batch.column("target").to_pylist(), batch.column("block").to_pylist(), batch.column("data")
-        ):
-            if encoding is None:
-                encoding = tiktoken.Encoding(
-                    "ranks", pat_str=pattern, mergeable_ranks=load_ranks(ranks_path), special_tokens={}
-                )
-            if target != shard:
-                shard, known = target, {}
-            packet = _unpacked(data.as_buffer())
-            found = []
+        if encoding is None:
+            encoding = tiktoken.Encoding(
+                "ranks", pat_str=pattern, mergeable_ranks=load_ranks(ranks_path), special_tokens={}
+            )
+        for key, block, digest, data in zip(*(batch.column(name) for name in ("key", "block", "digest", "data"))):
+            if key.as_py() >= 0:
+                continue
+            packet, found = _unpacked(data), []
             for word in packet["word"].to_pylist():
                 ids = known.get(word)
                 if ids is None:
-                    ids = known[word] = encoding.encode_ordinary(word.decode())
+                    ids = known[word] = np.array(encoding.encode_ordinary(word.decode()), np.uint32).tobytes()
                 found.append(ids)
-            rows.append(
-                (WORDS, None, block, 0, None, _packed({"slot": packet["slot"], "ids": pa.array(found, pa.list_(pa.int32()))}))
-            )
-        if rows:
-            yield _packets(rows)
-
-
-def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packets sorted by block, words first: documents take their words' ids by position."""
-    block, parts, lookup = None, [], None
-    for batch in batches:
-        for kind, name, documents, data in zip(
-            batch.column("kind").to_pylist(), batch.column("block").to_pylist(), batch.column("documents"), batch.column("data")
-        ):
-            if name != block:
-                block, parts, lookup = name, [], None
-            if kind == WORDS:
-                parts.append(_unpacked(data.as_buffer()))
-                continue
-            if lookup is None:
-                lookup = _by_slot(parts)
-                parts = []
-            yield _documents(_unpacked(documents.as_buffer()), _unpacked(data.as_buffer()), lookup)
-
-
-def _by_slot(parts: list[pa.Table]) -> pa.ListArray:
-    if not parts:
-        return pa.array([], pa.list_(pa.int32()))
-    words = pa.concat_tables(parts).combine_chunks()
-    order = np.argsort(words["slot"].to_numpy(), kind="stable")
-    return words["ids"].combine_chunks().take(pa.array(order))
-
-
-def _documents(documents: pa.Table, data: pa.Table, lookup: pa.ListArray) -> pa.RecordBatch:
-    planes = np.stack([data[f"byte{place}"].to_numpy() for place in range(4)], axis=1)
-    slots = np.ascontiguousarray(planes).view(np.int32).ravel()
-    taken = lookup.take(pa.array(slots))
+            ids = np.frombuffer(b"".join(found), np.uint32)
+            counts = pa.array(np.fromiter(map(len, found), np.int32, len(found)) // 4)
+            narrow = ids.astype(np.uint16) if len(ids) and ids.max() < 65536 else ids
+            lengths = _packed(step=packet["step"], count=counts)
+            yield _packets([(block.as_py(), block.as_py(), digest.as_py(), lengths, _packed(ids=pa.array(narrow)))])
+
+
+def _reassemble(key: tuple, positions: pa.Table, words: pa.Table) -> pa.Table:
+    """A block's documents take their words' ids by position."""
+    empty = pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
+    if key[0].as_py() < 0 or not positions.num_rows:
+        return empty
+    if set(words["digest"].to_pylist()) - set(positions["digest"].to_pylist()):
+        raise RuntimeError("a block was repeated with its rows in another order")
+    lookup = _by_slot(words)
+    documents, data = _unpacked(positions["lengths"][0]), _unpacked(positions["data"][0])
+    planes = np.empty((data.num_rows, 4), np.uint8)
+    for place in range(4):
+        planes[:, place] = data[f"byte{place}"].to_numpy()
+    del data
+    taken = lookup.take(pa.array(planes.view(np.int32).ravel()))
+    del planes, lookup
     # where each document's words begin, and so where its ids do
-    word_edges = np.concatenate(([0], np.cumsum(documents["count"].to_numpy())))
+    edges = np.concatenate(([0], np.cumsum(documents["count"].to_numpy())))
     offsets = taken.offsets.to_numpy()
-    ids = pa.ListArray.from_arrays(pa.array(offsets[word_edges] - offsets[0], pa.int32()), taken.flatten())
-    return pa.RecordBatch.from_arrays([documents["doc_id"].combine_chunks(), ids], ["doc_id", "ids"])
+    ids = pa.LargeListArray.from_arrays(pa.array(offsets[edges].astype(np.int64)), taken.values)
+    return pa.table({"doc_id": documents["doc_id"], "ids": ids.cast(pa.list_(pa.int32()))})
+
+
+def _by_slot(words: pa.Table) -> pa.LargeListArray:
+    slots, counts, ids = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+    for lengths, data in zip(words["lengths"], words["data"]):
+        packet = _unpacked(lengths)
+        slots.append(np.cumsum(packet["step"].to_numpy(), dtype=np.int64))
+        counts.append(packet["count"].to_numpy())
+        ids.append(_unpacked(data)["ids"].to_numpy().astype(np.int32))
+    ends = np.cumsum(np.concatenate(counts), dtype=np.int64)
+    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], ends))), pa.array(np.concatenate(ids)))
+    return lists.take(pa.array(np.argsort(np.concatenate(slots), kind="stable")))
 
 
 def encode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids) of every row. `ranks` is a rank file that each executor has under the same path."""
+    """(doc_id, ids) of every row. `ranks` is a rank file that each executor has under the same path.
+
+    The exchange of packets is read twice and made once: neither reader filters it, as a filter
+    would be pushed below it and make two of it.
+    """
     parts = parts_for(df)
     shards = parts * SHARDS_PER_PART
-    packets = checkpointed(
-        id_and_text(df, id_col, text_col).mapInArrow(lambda batches: _split(batches, pattern, shards), PACKET)
-    )
-    words = (
-        packets.where(F.col("kind") == WORDS)
-        .repartition(parts, "target")
-        .sortWithinPartitions("target")
-        .mapInArrow(lambda batches: _encode_words(batches, ranks, pattern), PACKET)
+    packets = (
+        id_and_text(df, id_col, text_col)
+        .mapInArrow(lambda batches: _split(batches, pattern, shards), PACKET)
+        .repartition(parts, "key")
     )
+    words = packets.mapInArrow(lambda batches: _encode_words(batches, ranks, pattern), PACKET)
     return (
-        words.unionByName(packets.where(F.col("kind") == POSITIONS))
-        .repartition(parts, "block")
-        .sortWithinPartitions("block", "kind", "number")
-        .mapInArrow(_reassemble, "doc_id long, ids array<int>")
+        packets.groupBy("key")
+        .cogroup(words.groupBy("key"))
+        .applyInArrow(_reassemble, "doc_id long, ids array<int>")
     )
 
 
+def _decoded(rows: pa.RecordBatch, lengths: np.ndarray, tokens: pa.Array) -> pa.RecordBatch:
+    column = rows.column("ids")
+    joined = tokens.take(column.flatten())
+    if joined.null_count:
+        raise ValueError("ids that the token table does not have")
+    _, ends, data = joined.buffers()
+    ends = np.frombuffer(ends, np.int64)[joined.offset : joined.offset + len(joined) + 1]
+    places = ends[np.concatenate(([0], np.cumsum(lengths)))]
+    texts = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(places), data])
+    return pa.RecordBatch.from_arrays([rows.column("doc_id"), column, texts.cast(pa.binary())], ["doc_id", "ids", "decoded"])
+
+
 def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, ids, decoded): the bytes of each row's ids, joined from the token-byte table.
 
@@ -215,18 +207,14 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
             if tokens is None:
                 of_rank = {rank: token for token, rank in load_ranks(ranks).items()}
                 tokens = pa.array([of_rank.get(rank) for rank in range(max(of_rank) + 1)], pa.large_binary())
-            column = batch.column("ids")
-            ids = column.flatten()
-            joined = tokens.take(ids)
-            if joined.null_count:
-                raise ValueError("ids that the token table does not have")
-            edges = np.concatenate(([0], np.cumsum([len(row) if row.is_valid else 0 for row in column])))
-            _, ends, data = joined.buffers()
-            ends = np.frombuffer(ends, np.int64)[joined.offset : joined.offset + len(joined) + 1]
-            texts = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(ends[edges].copy()), data])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), column, texts.cast(pa.binary())], ["doc_id", "ids", "decoded"]
-            )
+            lengths = pc.list_value_length(batch.column("ids")).to_numpy(zero_copy_only=False)
+            # runs of rows of about SLICE_IDS ids together
+            runs = np.cumsum(lengths, dtype=np.int64) // SLICE_IDS
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(runs)) + 1, [batch.num_rows]))
+            for begin, end in zip(edges, edges[1:]):
+                if end > begin:
+                    yield _decoded(batch.slice(begin, end - begin), lengths[begin:end], tokens)
+            pa.default_memory_pool().release_unused()
 
     rows = encoded.select(
         encoded[id_col].cast("long").alias("doc_id"),
