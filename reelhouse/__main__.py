@@ -57,6 +57,7 @@ def parser() -> argparse.ArgumentParser:
         "--max-per-batch", type=int, help="upper bound of one batch: Kafka offsets, or files of a topic folder"
     )
     streams.add_argument("--min-partitions", type=int, help="split large Kafka partitions into this many tasks")
+    streams.add_argument("--by-day", action="store_true", help="write bronze by ingestion day, for --since")
     streams.add_argument("--keep-rejects", action="store_true", help="keep the raw text of bad messages")
     streams.add_argument(
         "--window-secs",
@@ -81,6 +82,11 @@ def parser() -> argparse.ArgumentParser:
     snapshots = argparse.ArgumentParser(add_help=False)
     snapshots.add_argument("--snapshot-date", type=datetime.date.fromisoformat, help="default: today")
     snapshots.add_argument("--replace-day", action="store_true", help="replace the day's snapshot, not append")
+    snapshots.add_argument(
+        "--since",
+        type=datetime.date.fromisoformat,
+        help="merge bronze of this and later ingestion days into the tables, instead of all bronze",
+    )
     snapshots.add_argument("--files-per-day", type=int, help="most files of a day's snapshot")
     snapshots.add_argument("--nan-as-null", action="store_true", help="rank NaN last in the marts")
     snapshots.add_argument("--side-by-side", type=int, default=3, help="writes that run at a time (default %(default)s)")
@@ -161,6 +167,7 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
             Lake(arguments.lake),
             arguments.window_secs or None,
             arguments.keep_rejects,
+            arguments.by_day,
         )
     elif arguments.step == "transform":
         lake = Lake(arguments.lake)
@@ -176,6 +183,7 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
             files_per_day=arguments.files_per_day,
             nan_as_null=arguments.nan_as_null,
             side_by_side=arguments.side_by_side,
+            since=arguments.since,
         )
     elif arguments.step == "publish":
         publish_tables(
@@ -203,6 +211,8 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
                 files_per_day=arguments.files_per_day,
                 nan_as_null=arguments.nan_as_null,
                 side_by_side=arguments.side_by_side,
+                by_day=arguments.by_day,
+                since=arguments.since,
                 snapshot_date=arguments.snapshot_date,
                 replace_day=arguments.replace_day,
                 keep_rejects=arguments.keep_rejects,

@@ -27,14 +27,21 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: str = "ingestion_t
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def transformed_titles(bronze: DataFrame) -> DataFrame:
+def transformed_titles(bronze: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Clean titles, one per (id, platform).
 
     The platform leads the key, so the rows leave the dedupe sorted by platform and the
     files written from it let readers of one platform skip the pages of the others.
+
+    `before` is an earlier result over other bronze rows. A survivor is the first by a total order, so the
+    survivors of old survivors and new rows are those of all rows.
     """
-    return keep_latest(clean_titles(require_keys(bronze, TITLE_REQUIRED)), TITLE_KEY)
+    return _survivors(clean_titles(require_keys(bronze, TITLE_REQUIRED)), before, TITLE_KEY)
+
+
+def transformed_credits(bronze: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    return _survivors(clean_credits(require_keys(bronze, CREDIT_REQUIRED)), before, CREDIT_KEY)
 
 
-def transformed_credits(bronze: DataFrame) -> DataFrame:
-    return keep_latest(clean_credits(require_keys(bronze, CREDIT_REQUIRED)), CREDIT_KEY)
+def _survivors(clean: DataFrame, before: DataFrame | None, key: Sequence[str]) -> DataFrame:
+    return keep_latest(clean if before is None else clean.unionByName(before), key)

@@ -43,13 +43,15 @@ class DailyRun:
     snapshot_date: datetime.date | None = None
     replace_day: bool = False
     keep_rejects: bool = False
+    by_day: bool = False
+    since: datetime.date | None = None
     stream_window_secs: float | None = schemas.STREAM_WINDOW_SECS
 
 
 def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
     """Run every step and return scans of the tables by name; the first failure is raised."""
     ingest(spark, run.feeds, run.deliver, run.ingested_at, run.sample, run.multi_line, run.reject)
-    land_topics(spark, run.receive, run.lake, run.stream_window_secs, run.keep_rejects)
+    land_topics(spark, run.receive, run.lake, run.stream_window_secs, run.keep_rejects, run.by_day)
     tables = transform(
         spark,
         run.lake.titles,
@@ -62,6 +64,7 @@ def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
         files_per_day=run.files_per_day,
         nan_as_null=run.nan_as_null,
         side_by_side=run.side_by_side,
+        since=run.since,
     )
     if run.target:
         publish_tables(

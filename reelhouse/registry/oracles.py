@@ -90,10 +90,61 @@ def _sampled(columns: str, table: str, order: list[str]) -> str:
         ) AS sampled"""
 
 
-def _per_day(table: str) -> str:
+def _on_days(columns: str, table: str) -> str:
     return f"""
-        SELECT day AS snapshot_date, count(*) AS row_count
-        FROM {table}, (VALUES ('2024-03-01'), ('2024-03-02')) AS d(day) GROUP BY day"""
+        SELECT {columns}, day AS snapshot_date
+        FROM {table}, (VALUES ('2024-03-01'), ('2024-03-02')) AS d(day)"""
+
+
+def _drained(columns: str, table: str, second: str) -> str:
+    return f"""
+        SELECT {columns}, CAST(drain AS INT) AS drain
+        FROM {table}, (VALUES (1, '{second}'), (2, '9'), (3, '9')) AS d(drain, before)
+        WHERE ingestion_timestamp < before"""
+
+
+# The text, integer and date columns of every output, by name.
+_EXACT_TITLES = [
+    "age_certification", "description", "genres", "id", "imdb_id", "imdb_votes", "ingestion_date", "ingestion_timestamp",
+    "platform", "production_countries", "release_year", "runtime", "seasons", "show_type", "title",
+]
+_EXACT_CREDITS = ["character_name", "id", "ingestion_timestamp", "name", "person_ID", "platform", "role"]
+_NO_FLOATS = ("imdb_score", "tmdb_popularity", "tmdb_score")
+
+
+def _digest(output: str, table: str, columns: list[str]) -> str:
+    written = ", ".join(f"coalesce(CAST({name} AS VARCHAR), '~')" for name in columns)
+    return f"""
+        SELECT '{output}' AS output, count(*) AS row_count,
+          CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {written})), 1, 8) AS BIGINT)) AS BIGINT) AS digest
+        FROM {table}"""
+
+
+def _best_rows(condition: str, metric: str) -> str:
+    return f"(SELECT * FROM titles WHERE {condition} ORDER BY {metric} DESC NULLS LAST, titles.id LIMIT 100) AS best"
+
+
+def _all_outputs() -> str:
+    of_day = "(SELECT *, DATE '2024-03-01' AS snapshot_date FROM {}) AS dated"
+    with_day = lambda names: sorted([*names, "snapshot_date"])
+    return " UNION ALL ".join(
+        [
+            _digest("transformed_titles", "titles", _EXACT_TITLES),
+            _digest("transformed_credits", "credits", _EXACT_CREDITS),
+            _digest("dim_title", "titles", sorted(set(schemas.DIM_TITLE) - set(_NO_FLOATS))),
+            _digest("dim_person", "(SELECT DISTINCT person_ID, name FROM credits) AS people", ["name", "person_ID"]),
+            _digest("fact_credits", "credits", ["character_name", "id", "person_ID", "platform", "role"]),
+            _digest("curated_netflix_popularity", _best_rows("platform = 'Netflix'", "titles.tmdb_popularity"), _EXACT_TITLES),
+            _digest("curated_disney_trending", _best_rows("platform = 'Disney'", "titles.imdb_votes"), _EXACT_TITLES),
+            _digest(
+                "v_popularity_by_year",
+                "(SELECT DISTINCT platform, release_year FROM titles) AS years",
+                ["platform", "release_year"],
+            ),
+            _digest("snapshots/titles", of_day.format("titles"), with_day(_EXACT_TITLES)),
+            _digest("snapshots/credits", of_day.format("credits"), with_day(_EXACT_CREDITS)),
+        ]
+    )
 
 
 def _best(condition: str, metric: str) -> str:
@@ -135,16 +186,29 @@ BODIES = {
           CAST(release_year IS NULL AS INT) AS is_bad,
           CASE WHEN release_year IS NOT NULL THEN imdb_id END AS imdb_id
         FROM bronze_titles""",
+    "quarantine_credits": """
+        SELECT
+          concat_ws(' ', character_name, person_ID, id, ingestion_timestamp) AS event_key,
+          CAST(role IS NULL AS INT) AS is_bad,
+          CASE WHEN role IS NOT NULL THEN character_name END AS character_name
+        FROM bronze_credits""",
     "stream_bronze_titles": BRONZE_TITLES,
     "stream_bronze_credits": BRONZE_CREDITS,
-    "stream_resume": """
-        SELECT CAST(drain AS INT) AS drain, count(*) AS rows_in_bronze
-        FROM bronze_titles, (VALUES (1, '2024-01-01'), (2, '2024-01-02'), (3, '2024-01-02')) AS d(drain, last_day)
-        WHERE left(ingestion_timestamp, 10) <= last_day
-        GROUP BY drain""",
+    "stream_resume": _drained(BRONZE_TITLE_COLUMNS, "bronze_titles", "2024-01-02"),
+    "stream_resume_credits": _drained(CREDIT_COLUMNS, "bronze_credits", "2024-01-05"),
+    "stream_window_titles": BRONZE_TITLES,
+    "stream_window_credits": BRONZE_CREDITS,
     "stream_quarantine": """
-        SELECT 'no year: ' || imdb_id || ' ' || ingestion_timestamp AS raw_text
+        SELECT 'lacking: ' || imdb_id || ' ' || ingestion_timestamp AS raw_text
         FROM bronze_titles WHERE release_year IS NULL""",
+    "stream_quarantine_credits": """
+        SELECT concat_ws(' ', 'lacking:', character_name, person_ID, id, ingestion_timestamp) AS raw_text
+        FROM bronze_credits WHERE role IS NULL""",
+    "csv_rejects": """
+        SELECT imdb_id, imdb_id || ',' || CAST(seasons AS VARCHAR) || '.0' AS raw_text
+        FROM bronze_titles WHERE seasons % 2 = 0""",
+    "missing_input_titles": f"SELECT {BRONZE_TITLE_COLUMNS}, 1 AS refused_before FROM bronze_titles",
+    "missing_input_credits": f"SELECT {CREDIT_COLUMNS}, 1 AS refused_before FROM bronze_credits",
     "csv_to_bronze_titles": f"SELECT {TAGGED_COLUMNS} FROM bronze_titles",
     "csv_to_bronze_credits": f"SELECT {TAGGED_CREDIT_COLUMNS} FROM bronze_credits",
     "strip_list_text": """
@@ -155,10 +219,10 @@ BODIES = {
     "require_keys_credits": f"SELECT {CREDIT_COLUMNS} FROM credits_required",
     "titles_clean": f"SELECT {TITLE_COLUMNS} FROM titles",
     "credits_clean": f"SELECT {CREDIT_COLUMNS} FROM credits",
-    "snapshot_titles": _per_day("titles"),
-    "snapshot_credits": _per_day("credits"),
-    "snapshot_replaced_titles": _per_day("titles"),
-    "snapshot_replaced_credits": _per_day("credits"),
+    "snapshot_titles": _on_days(TITLE_COLUMNS, "titles"),
+    "snapshot_credits": _on_days(CREDIT_COLUMNS, "credits"),
+    "snapshot_replaced_titles": _on_days(TITLE_COLUMNS, "titles"),
+    "snapshot_replaced_credits": _on_days(CREDIT_COLUMNS, "credits"),
     "dim_title": f"SELECT {_columns(schemas.DIM_TITLE)} FROM titles",
     "dim_person": "SELECT DISTINCT person_ID, name FROM credits",
     "fact_credits": "SELECT person_ID AS person_id, id, role, platform, character_name FROM credits",
@@ -176,18 +240,12 @@ BODIES = {
           SELECT platform, release_year, avg(tmdb_popularity) AS popularity, avg(imdb_score) AS score
           FROM titles GROUP BY platform, release_year
         ) AS grouped""",
-    "transform_tables": """
-        SELECT 'transformed_titles' AS output, count(*) AS row_count FROM titles
-        UNION ALL SELECT 'transformed_credits', count(*) FROM credits
-        UNION ALL SELECT 'dim_title', count(*) FROM titles
-        UNION ALL SELECT 'dim_person', count(*) FROM (SELECT DISTINCT person_ID, name FROM credits) AS people
-        UNION ALL SELECT 'fact_credits', count(*) FROM credits
-        UNION ALL SELECT 'curated_netflix_popularity', least(100, count(*)) FROM titles WHERE platform = 'Netflix'
-        UNION ALL SELECT 'curated_disney_trending', least(100, count(*)) FROM titles WHERE platform = 'Disney'
-        UNION ALL SELECT 'v_popularity_by_year', count(*)
-          FROM (SELECT DISTINCT platform, release_year FROM titles) AS years
-        UNION ALL SELECT 'snapshots/titles', count(*) FROM titles
-        UNION ALL SELECT 'snapshots/credits', count(*) FROM credits""",
+    "transform_tables": _all_outputs(),
+    "transform_incremental": _all_outputs(),
+    "daily_run": _all_outputs(),
+    "publish_job": _digest("transformed_titles", "titles", _EXACT_TITLES)
+    + " UNION ALL "
+    + _digest("transformed_credits", "credits", _EXACT_CREDITS),
     "publish_titles": f"SELECT {PUBLISHED_TITLE_COLUMNS} FROM titles",
     "publish_credits": f"SELECT {CREDIT_COLUMNS} FROM credits",
 }
@@ -195,4 +253,12 @@ BODIES = {
 
 def oracle_sql() -> dict[str, str]:
     inputs = f"WITH {oracle_ctes()}, {CLEAN_CTES}"
-    return {name: body if name == "decode_event_props" else f"{inputs} {body}" for name, body in BODIES.items()}
+    # the same rows after CSV exports of each platform were ingested at one time
+    delivered = inputs.replace("bronze_titles AS (", "given_titles AS (").replace("bronze_credits AS (", "given_credits AS (")
+    for entity in ("titles", "credits"):
+        again = f"""bronze_{entity} AS (
+            SELECT * REPLACE (trim(platform, ' ') AS platform, '2024-03-01 05:00:00' AS ingestion_timestamp)
+            FROM given_{entity}), {entity}_cleaned AS ("""
+        delivered = delivered.replace(f"{entity}_cleaned AS (", again, 1)
+    given = {"decode_event_props": "", "daily_run": delivered}
+    return {name: f"{given.get(name, inputs)} {body}" for name, body in BODIES.items()}

@@ -124,6 +124,9 @@ JDBC_WRITERS = 4
 # --- fixed values: time limit of one streaming drain, in seconds ------------------
 STREAM_WINDOW_SECS = 180
 
+# Partition column of bronze folders that are written by day: the day of the ingestion timestamp.
+BRONZE_DAY = "ingestion_day"
+
 # Largest batch of a drain unless the caller sets another: Kafka records, or bytes of files. A batch is
 # what a run commits at least, so it has to be small against a run and large against its overhead.
 BATCH_OFFSETS = 50_000_000

@@ -12,21 +12,23 @@ from pyspark.sql.streaming import StreamingQuery
 POLL_SECS = 0.1
 
 
-def start_drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def start_drain(stream: DataFrame, path: str, checkpoint: str, partition_by: str | None = None) -> StreamingQuery:
     """Append everything that arrived since the checkpoint to a Parquet folder, then end.
 
     The available data is cut into batches by the source's own limits. Each batch commits
     as a whole through the checkpoint and the sink's commit log, so a lost executor, a
     stopped run or a rerun neither loses nor doubles rows.
     """
-    return (
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    return writer.start()
 
 
 def finish(query: StreamingQuery, timeout_secs: float | None = None) -> None:

@@ -11,11 +11,14 @@ import pyarrow.parquet as parquet
 import pytest
 
 from reelhouse import DailyRun, Feed, Lake, run_daily, schemas, transform
+from reelhouse.functions.codec import encode
+from reelhouse.plans.bronze import land_topics
 from reelhouse.plans.ingest import ingest
 from reelhouse.plans.publish import publish_tables
 from reelhouse.registry import inputs
 from reelhouse.sinks.events import to_folder
 from reelhouse.sinks.jdbc import JdbcTarget, PublishError
+from reelhouse.sources.bronze import read_bronze
 from reelhouse.sources.errors import MissingInput
 from reelhouse.sources.events import from_folder
 
@@ -167,6 +170,30 @@ def test_transform_twice_gives_the_same_tables(spark, folder, transformed):
     assert spark.read.parquet(f"{folder}/s/credits").count() == len(first["transformed_credits"])
 
 
+def test_incremental_run_reads_only_the_new_days(spark, sf_dir, folder):
+    """Two deliveries, the second merged into the tables: the same as all bronze at once."""
+    titles, credits = inputs.bronze_titles(spark, sf_dir), inputs.bronze_credits(spark, sf_dir)
+    database, lake = f"incremental_{uuid.uuid4().hex}", Lake(f"{folder}/lake")
+    receive = lambda session, topic: from_folder(session, f"{folder}/{topic}")
+    for day, since in (("2024-01-02", None), ("2024-01-09", datetime.date(2024, 1, 2))):
+        begin = "" if since is None else since.isoformat()
+        for rows, topic in ((titles, schemas.TITLES_TOPIC), (credits, schemas.CREDITS_TOPIC)):
+            to_folder(encode(rows.where(f"ingestion_timestamp >= '{begin}' AND ingestion_timestamp < '{day}'")), f"{folder}/{topic}")
+        land_topics(spark, receive, lake, by_day=True)
+        merged = transform(spark, lake.titles, lake.credits, lake.snapshots, database, f"{folder}/w", replace_day=True, since=since)
+    whole = transform(
+        spark, lake.titles, lake.credits, f"{folder}/s", f"whole_{uuid.uuid4().hex}", f"{folder}/w2", replace_day=True
+    )
+    for name, df in merged.items():
+        assert sorted(map(repr, df.collect())) == sorted(map(repr, whole[name].collect())), name
+    scan = read_bronze(spark, lake.credits, schemas.CREDITS, datetime.date(2024, 1, 2))
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingestion_day" in plan
+    inputs.bronze_titles(spark, sf_dir).write.parquet(f"{folder}/plain")
+    with pytest.raises(MissingInput, match="not written by day"):
+        read_bronze(spark, f"{folder}/plain", schemas.TITLES, datetime.date(2024, 1, 2))
+
+
 def test_title_files_are_sorted_by_platform(transformed):
     """So a reader of one platform skips the pages of the others."""
     _, run = transformed
