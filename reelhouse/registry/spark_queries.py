@@ -27,7 +27,7 @@ from reelhouse.plans.lake import Lake
 from reelhouse.plans.publish import publish_tables
 from reelhouse.plans.transform import transform
 from reelhouse.registry import inputs
-from reelhouse.session import scratch_path
+from reelhouse.session import is_local, scratch_path
 from reelhouse.sinks import jdbc, tables
 from reelhouse.sinks.events import to_folder
 from reelhouse.sinks.folders import subfolders
@@ -446,7 +446,7 @@ def _database_target(spark: SparkSession) -> jdbc.JdbcTarget:
     setting = {key: spark.conf.get(f"spark.reelhouse.jdbc.{key}", None) for key in ("url", "driver", "user", "password")}
     if setting["url"]:
         return jdbc.JdbcTarget(**setting)
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not is_local(spark):
         raise RuntimeError("spark.reelhouse.jdbc.url must name a database that every executor can reach")
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", os.devnull)
     return jdbc.JdbcTarget(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -50,6 +51,11 @@ def build_session(
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run in the driver's own process; on a local-cluster they do not."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")) is not None
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the cluster's shared checkpoint folder.
 
@@ -58,7 +64,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/reelhouse/{label}-{uuid.uuid4().hex}"
