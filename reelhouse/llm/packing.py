@@ -24,17 +24,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import blocks, checkpointed, id_and_text, kept_by_worker
+from reelhouse.llm.common import blocks, checkpointed, id_and_text
 
 SEQUENCE = 2048
 UNIT = 16
 END_ID = 1
-#: Bytes of text tokenized at a time, chunks that a worker caches (about 200 bytes each), and longest
-#: chunk that is cached.
-BLOCK_BYTES, CACHED, LONGEST = 4_000_000, 900_000, 64
+#: Bytes of text whose distinct pieces are encoded together, pieces to a call of the tokenizer, and pieces
+#: that a task keeps known (about 50 bytes each).
+BLOCK_BYTES, PIECES_A_CALL, KNOWN = 6_000_000, 512, 600_000
+#: Pieces without combining or special signs, and those of them that are a word and a stop.
+LATIN = "^[!-~¡-ÿ]+$"
+STOPPED = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+[.,]$"
+# Fixed value: what the tokenizer splits a piece into.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+IDS = pa.large_list(pa.uint32())
 WHOLE, TAIL = SEQUENCE // UNIT, 0
 
 PIECES = "doc_id long, doc_tokens long, start long, length long, ids_crc32 long, units int, ids binary"
@@ -44,8 +51,9 @@ PACKED = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 class WordBpe:
     """Ids of texts under a tokenizer that works on each piece between white space separately.
 
-    Each distinct piece is encoded once, while the cache of a Python worker holds it. Words of Latin letters are encoded many to a
-    call and told apart by their word-end ids; a full stop or comma after one is appended.
+    A block of texts is split into pieces by Arrow, each distinct piece is encoded once, and texts take
+    its ids by position. Up to KNOWN pieces stay known for later blocks, as Arrow arrays, which take a
+    tenth of the memory of a dictionary. A full stop or comma after a word is encoded apart.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,66 +65,78 @@ class WordBpe:
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[number for word, number in vocabulary.items() if word.endswith("</w>")]] = True
-        self.cache: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        chunks = [self._chunks(text) for text in texts]
-        needed = set().union(*(found for found in chunks if found is not None))
-        missing = needed - self.cache.keys()
-        if len(self.cache) + len(missing) > CACHED:
-            self.cache.clear()
-            missing = needed
-        self._learn(missing)
-        for text, found in zip(texts, chunks):
-            if found is None:
-                yield self._encode(text)
-            else:
-                yield b"".join(map(self.cache.__getitem__, found))
-        for chunk in missing:
-            if len(chunk) > LONGEST:
-                del self.cache[chunk]
-
-    @staticmethod
-    def _chunks(text: str) -> list[str] | None:
-        """Pieces between white space; None where Python and the tokenizer may see it differently."""
-        if any(sign in text for sign in "\x1c\x1d\x1e\x1f"):
-            return None
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.split()
-        return text.lower().split()
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, chunks: set[str]) -> None:
-        words: set[str] = set()
-        stopped: list[tuple[str, str]] = []
-        other: list[str] = []
-        for chunk in chunks:
-            word = chunk[:-1] if chunk[-1] in ".," else chunk
-            if word.isalpha() and (word.isascii() or max(word) <= "\xff"):
-                if word not in self.cache:
-                    words.add(word)
-                if word is not chunk:
-                    stopped.append((chunk, word))
-            else:
-                other.append(chunk)
-        plain = list(words)
-        for begin in range(0, len(plain), 512):
-            some = plain[begin : begin + 512]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            data, at = ids.tobytes(), 0
-            for word, end in zip(some, (4 * np.flatnonzero(self.is_end[ids]) + 4).tolist()):
-                self.cache[word] = data[at:end]
-                at = end
-        signs = {sign: self._encode(sign) for sign in ".,"}
-        for chunk, word in stopped:
-            self.cache[chunk] = self.cache[word] + signs[chunk[-1]]
-        for chunk, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-            self.cache[chunk] = np.array(found.ids, "<u4").tobytes()
+        self.known, self.known_ids = pa.array([], pa.large_string()), pa.array([], IDS)
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text.
+
+        Pieces lie between ASCII white space; any other is left inside a piece, to the tokenizer.
+        """
+        pieces = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+        places = pieces.flatten().dictionary_encode()
+        taken = self._distinct(places.dictionary).take(places.indices)
+        counts = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+        edges = taken.offsets.to_numpy()[np.concatenate(([0], np.cumsum(counts)))]
+        ids = taken.values.to_numpy()
+        for begin, end in zip(edges, edges[1:]):
+            yield ids[begin:end].tobytes()
+
+    def _distinct(self, pieces: pa.Array) -> pa.LargeListArray:
+        """The ids of each piece."""
+        stopped = pc.match_substring_regex(pieces, STOPPED)
+        stems = pc.if_else(stopped, pc.utf8_slice_codeunits(pieces, 0, -1), pieces).dictionary_encode()
+        stops = pc.utf8_slice_codeunits(pieces.filter(stopped), -1)
+        ids = self._ids(pa.concat_arrays([stems.dictionary, pa.array([".", ","], pa.large_string())]))
+        of_stops = ids.take(pc.add(pc.index_in(stops, value_set=pa.array([".", ","], pa.large_string())), len(ids) - 2))
+        return _joined(ids.take(stems.indices), of_stops, stopped.to_numpy(zero_copy_only=False))
+
+    def _ids(self, pieces: pa.Array) -> pa.LargeListArray:
+        """The ids of different pieces, from those known or anew."""
+        at = pc.index_in(pieces, value_set=self.known)
+        missing = pieces.filter(pc.is_null(at))
+        new = self._encoded(missing)
+        place = at.to_numpy(zero_copy_only=False)
+        place = np.where(np.isnan(place), len(self.known) - 1 + np.cumsum(np.isnan(place)), place).astype(np.int64)
+        whole = pa.concat_arrays([self.known_ids, new])
+        if len(whole) <= KNOWN:
+            self.known, self.known_ids = pa.concat_arrays([self.known, missing]), whole
+        else:
+            self.known, self.known_ids = missing, new
+        return whole.take(pa.array(place))
+
+    def _encoded(self, pieces: pa.Array) -> pa.LargeListArray:
+        """The ids of each piece: pieces of Latin signs many to a call, told apart by counting word ends."""
+        latin = pc.match_substring_regex(pieces, LATIN)
+        words = pc.count_substring_regex(pieces.filter(latin), WORD).to_numpy()
+        names, parts = pieces.filter(latin).to_pylist(), [np.empty(0, np.uint32)]
+        for begin in range(0, len(names), PIECES_A_CALL):
+            some = " ".join(names[begin : begin + PIECES_A_CALL])
+            parts.append(np.array(self.tokenizer.encode(some, add_special_tokens=False).ids, np.uint32))
+        ids = np.concatenate(parts)
+        ends = np.concatenate(([0], np.flatnonzero(self.is_end[ids]) + 1))[np.concatenate(([0], np.cumsum(words)))]
+        together = pa.LargeListArray.from_arrays(pa.array(ends.astype(np.int64)), pa.array(ids))
+
+        others, found = pieces.filter(pc.invert(latin)).to_pylist(), []
+        for begin in range(0, len(others), PIECES_A_CALL):
+            batch = self.tokenizer.encode_batch(others[begin : begin + PIECES_A_CALL], add_special_tokens=False)
+            found += [each.ids for each in batch]
+        is_latin = latin.to_numpy(zero_copy_only=False)
+        order = np.where(is_latin, np.cumsum(is_latin) - 1, len(names) + np.cumsum(~is_latin) - 1)
+        return pa.concat_arrays([together, pa.array(found, IDS)]).take(pa.array(order))
+
+
+def _joined(stems: pa.LargeListArray, stops: pa.LargeListArray, stopped: np.ndarray) -> pa.LargeListArray:
+    """Each stem with its stop, if it has one."""
+    after = pa.array(np.where(stopped, np.cumsum(stopped) - 1, len(stops)), pa.int64())
+    stops = pa.concat_arrays([stops, pa.array([[]], IDS)]).take(after)
+    lengths = np.stack([np.diff(each.offsets.to_numpy()) for each in (stems, stops)], axis=1)
+    edges = np.concatenate(([0], np.cumsum(lengths.ravel())))
+    out = np.empty(edges[-1], np.uint32)
+    for column, each in enumerate((stems, stops)):
+        values, sizes = each.flatten().to_numpy(), lengths[:, column]
+        shift = edges[:-1].reshape(-1, 2)[:, column] - (np.cumsum(sizes) - sizes)
+        out[np.repeat(shift, sizes) + np.arange(len(values))] = values
+    return pa.LargeListArray.from_arrays(pa.array(edges[::2].astype(np.int64)), pa.array(out))
 
 
 def cut(doc_id, ids: bytes) -> Iterator[tuple]:
@@ -135,15 +155,17 @@ def cut_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     """Pieces of all documents: a narrow pass."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = kept_by_worker(("WordBpe", tokenizer), lambda: WordBpe(tokenizer))
+        encode = WordBpe(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
         names = [part.split()[0] for part in PIECES.split(", ")]
         kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
         for block in blocks(batches, "text", BLOCK_BYTES):
-            texts, numbers = block["text"].to_pylist(), block["doc_id"].to_pylist()
+            texts, numbers = block["text"].combine_chunks(), block["doc_id"].to_pylist()
             rows = [piece for doc_id, ids in zip(numbers, encode(texts)) for piece in cut(doc_id, ids + end)]
             columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays(columns, names)
+            del block, texts, rows, columns
+            pa.default_memory_pool().release_unused()
 
     return id_and_text(df, id_col, text_col).mapInArrow(pieces, PIECES)
 

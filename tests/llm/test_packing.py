@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -79,10 +80,17 @@ def test_words_equal_the_library_on_random_texts(tokenizer):
     source = random.Random(2)
     parts = [*" \t\n\x0b\x0c\r\x1c\x85\xa0　᠎abcABCÉéßİıΣσς.,'!_-<|>09²½́ëÅÅµªK漢字ㄅ٣😀\x00", "'s", " it's ", "<|endoftext|>"]
     texts = ["".join(source.choices(parts, k=source.randint(0, 40))) for _ in range(5000)]
-    for text, ids in zip(texts, packing.WordBpe(PATH)(texts)):
+    for text, ids in zip(texts, packing.WordBpe(PATH)(pa.array(texts))):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_pieces_stay_right_when_the_known_ones_start_over(spark, sf_dir, tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN", 300)
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 5000)
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60).collect()
+    check(spark, [tuple(row) for row in rows], tokenizer, 0.1)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_patterns_hold_exactly_the_demand(seed):
     random_ = np.random.default_rng(seed)
