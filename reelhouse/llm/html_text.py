@@ -413,7 +413,9 @@ class Page:
         if name in HEADINGS:
             place = self._within(HEADINGS, BARRIERS)
         else:
-            place = self._within(frozenset((name,)), BARRIERS - {name} if name not in GROUPS | {"tr", "table"} else frozenset(("table",)) - {name})
+            in_table = name in GROUPS or name in ("tr", "table")
+            barriers = frozenset(("table",)) if in_table else BARRIERS
+            place = self._within(frozenset((name,)), barriers - {name})
         if place:
             self._close_to(place)
         elif name == "p":

@@ -2,6 +2,20 @@
 
 from __future__ import annotations
 
+from reelhouse.llm.secret_scan import (
+    ACCESS,
+    ALLOWED,
+    ASSIGN,
+    CANDIDATE,
+    CLASSES,
+    HEX,
+    KINDS,
+    LEAST_ACCESS,
+    LEAST_ASSIGNED,
+    LEAST_HEX,
+    WINDOW,
+)
+
 URL_FILTER = """
 WITH captures AS (
     SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS fetched_on,
@@ -68,5 +82,113 @@ FROM joined
 """
 
 
+# Lower A-Z only, words between space and \x09-\x0d; every pair of documents that share a shingle.
+NEAR_DEDUP = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda w: w <> '') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS shingle
+    FROM words
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+), reach AS (
+    SELECT doc_id AS node, doc_id AS other FROM documents
+    UNION SELECT node, b FROM reach JOIN links ON a = other
+), roots AS (
+    SELECT node, min(other) AS root FROM reach GROUP BY node
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, root AS component_id, doc_id = root AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) JOIN roots ON node = doc_id
+"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _located(kind: str, regex: str, group: int, least: int) -> str:
+    """Matches of one rule with their positions: what lies between them and they themselves add up."""
+    rule = _text(regex)
+    return f"""
+    SELECT doc_id, '{kind}' AS kind, {KINDS.index(kind)} AS rank, m, finish - length(m) AS start, finish
+    FROM (
+        SELECT *, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS finish
+        FROM (
+            SELECT doc_id, unnest(found) AS m, unnest(groups) AS g, unnest(gaps[:len(found)]) AS gap,
+                   unnest(range(len(found))) AS i
+            FROM (
+                SELECT doc_id, regexp_extract_all(text, {rule}, 0) AS found,
+                       regexp_extract_all(text, {rule}, {group}) AS groups, string_split_regex(text, {rule}) AS gaps
+                FROM texts
+            )
+        )
+    ) WHERE length(g) >= {least}"""
+
+
+_CLASS = " ".join(
+    f"WHEN regexp_matches(m, {_text(regex.replace('(?=.*[0-9])', ''))})"
+    + (" AND regexp_matches(m, '[0-9]')" if "(?=.*[0-9])" in regex else "")
+    + " THEN {%s}" % kind
+    for kind, regex, _ in CLASSES
+)
+_KIND_OF = _CLASS.format(**{kind: f"'{kind}'" for kind, _, _ in CLASSES})
+_BITS_OF = _CLASS.format(**{kind: least for kind, _, least in CLASSES})
+_RANK_OF = _CLASS.format(**{kind: KINDS.index(kind) for kind, _, _ in CLASSES})
+# RE2 has no back references: a row of one sign has one distinct sign
+_ALLOWED = " OR ".join(
+    "len(list_distinct(string_split(m, ''))) = 1" if "\\1" in rule else f"regexp_matches(m, {_text(rule)})" for rule in ALLOWED
+)
+
+# Entropy of every window anew, by the engine's own function.
+SECRET_SCAN = f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text FROM documents
+), base AS (
+    {_located("assign", ASSIGN, 2, LEAST_ASSIGNED)} UNION ALL
+    {_located("access", ACCESS, 0, LEAST_ACCESS)} UNION ALL
+    {_located("hex", HEX, 0, LEAST_HEX)}
+), candidates AS (
+    SELECT doc_id, m, start, CASE {_KIND_OF} END AS kind, CASE {_BITS_OF} END AS bits, CASE {_RANK_OF} END AS rank
+    FROM ({_located("assign", CANDIDATE, 0, 0)}) WHERE NOT ({_ALLOWED})
+), windows AS (
+    SELECT *, list_aggregate(string_split(substr(m, CAST(place + 1 AS BIGINT), {WINDOW}), ''), 'entropy') AS entropy
+    FROM (SELECT *, unnest(range(length(m) - {WINDOW} + 1)) AS place FROM candidates)
+), high AS (
+    SELECT doc_id, kind, rank, start + min(place) AS start, start + max(place) + {WINDOW} AS finish
+    FROM windows WHERE entropy >= bits - 1e-9 GROUP BY doc_id, kind, rank, m, windows.start
+), added AS (
+    SELECT * FROM high h WHERE NOT EXISTS (
+        SELECT 1 FROM base b WHERE b.doc_id = h.doc_id AND b.start <= h.start AND h.finish <= b.finish)
+), whole AS (
+    SELECT doc_id, kind, rank, start, finish, TRUE AS of_base FROM base
+    UNION ALL SELECT doc_id, kind, rank, start, finish, FALSE FROM added
+), written AS (
+    SELECT doc_id, string_agg(kind || ':' || start || ':' || finish, ',' ORDER BY start, rank) AS spans,
+           string_agg(kind || ':' || start || ':' || finish, ',' ORDER BY start, rank) FILTER (of_base) AS base_spans,
+           count(*) FILTER (of_base AND kind = 'assign') AS n_assign, count(*) FILTER (of_base AND kind = 'access') AS n_access,
+           count(*) FILTER (of_base AND kind = 'hex') AS n_hex
+    FROM whole GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN written USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": URL_FILTER, "op10_chat_formatting": CHAT_FORMATTING}
+    return {
+        "op2_near_dedup": NEAR_DEDUP,
+        "op4_url_filter": URL_FILTER,
+        "op5_secret_scan": SECRET_SCAN,
+        "op10_chat_formatting": CHAT_FORMATTING,
+    }

@@ -84,9 +84,12 @@ def active_rules(asked: DataFrame, valid: DataFrame) -> DataFrame:
     Both sides are laid on one time line per rule, and each question takes the last interval that has
     begun. A rule has at most a question and an interval a day, however many captures it covers.
     """
-    line = asked.select("rule", "day", F.lit(1).alias("question"), F.lit(None).cast("struct<action:string,until:date>").alias("held")).unionByName(
-        valid.select("rule", F.col("since").alias("day"), F.lit(0).alias("question"), F.struct("action", "until").alias("held"))
+    nothing = F.lit(None).cast("struct<action:string,until:date>")
+    questions = asked.select("rule", "day", F.lit(1).alias("question"), nothing.alias("held"))
+    beginnings = valid.select(
+        "rule", F.col("since").alias("day"), F.lit(0).alias("question"), F.struct("action", "until").alias("held")
     )
+    line = questions.unionByName(beginnings)
     so_far = Window.partitionBy("rule").orderBy("day", "question").rowsBetween(Window.unboundedPreceding, 0)
     return (
         line.withColumn("held", F.last("held", ignorenulls=True).over(so_far))
