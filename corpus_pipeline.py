@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.llm import near_dedup, packing, quality, secret_scan
-from reelhouse.llm.common import table
+from reelhouse.llm.common import small_batches, table
 from reelhouse.session import scratch_path
 
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -19,12 +19,14 @@ DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def reject_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts to be good."""
+    small_batches(spark)
     documents = docs.select(DOCUMENTS)
     return quality.keep_good(documents, quality.train(documents, table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one with the smallest id."""
+    small_batches(spark)
     copies = near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
     return docs.select(DOCUMENTS).join(copies, "doc_id", "left_anti")
 
@@ -44,6 +46,7 @@ def blot_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in training sequences."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

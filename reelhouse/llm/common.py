@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-import types
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of 8 MB.
+
+    Spark's own bound of 64 MB, held on both sides of each of several workers, is much beside an executor's
+    heap where rows are whole texts.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return spark
+
+
 def id_and_text(df: DataFrame, id_col: str, text_col: str, text_name: str = "text") -> DataFrame:
     """Only the two columns an operator works on, under its own names; other columns cannot clash."""
     return df.select(
@@ -91,7 +99,7 @@ class BoundedCache(dict):
     bound on bytes.
     """
 
-    def __init__(self, compute, entries: int = 400_000, longest: int = 64) -> None:
+    def __init__(self, compute, entries: int = 120_000, longest: int = 64) -> None:
         super().__init__()
         self.compute, self.entries, self.longest = compute, entries, longest
 
@@ -102,14 +110,3 @@ class BoundedCache(dict):
                 self.clear()
             self[key] = value
         return value
-
-
-def kept_by_worker(key, make):
-    """A value that a Python worker makes once and keeps for its later tasks.
-
-    Functions reach workers as copies, with new globals for each task, so it is kept among the process's modules.
-    """
-    kept = sys.modules.setdefault("_reelhouse_kept", types.ModuleType("_reelhouse_kept")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]

@@ -7,15 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelhouse.llm import byte_bpe, chat, fingerprints, html_text, near_dedup, neighbours, packing, quality, secret_scan, url_lists
-from reelhouse.llm.common import checkpointed, id_and_text, parts_for, table
+from reelhouse.llm.common import checkpointed, id_and_text, parts_for, small_batches, table
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.extract_text(table(spark, sf_dir, "pages"))
+    return html_text.extract_text(table(small_batches(spark), sf_dir, "pages"))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    return near_dedup.near_duplicates(table(small_batches(spark), sf_dir, "documents"), words=2)
 
 
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,12 +79,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.classify(table(small_batches(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode(table(small_batches(spark), sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return byte_bpe.decode(encoded, ranks).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -94,7 +94,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table(small_batches(spark), sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def following(ids: DataFrame) -> DataFrame:
@@ -200,5 +200,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_html_extraction, op2_near_dedup, op3_nearest_neighbours, op4_url_filter, op5_secret_scan, op6_quality_classifier, op7_byte_bpe, op8_packing, op9_fingerprints, op10_chat_formatting)
+    for query in (
+        op1_html_extraction,
+        op2_near_dedup,
+        op3_nearest_neighbours,
+        op4_url_filter,
+        op5_secret_scan,
+        op6_quality_classifier,
+        op7_byte_bpe,
+        op8_packing,
+        op9_fingerprints,
+        op10_chat_formatting,
+    )
 }
