@@ -11,8 +11,8 @@ character gives the original back.
 The bytes are never joined string by string: lengths of all segments of a batch give cumulative
 offsets, and headers and contents are scattered into one preallocated Arrow buffer.
 
-Defined results: rows of a conversation are ordered by turn, role, text (nulls first), so ties
-and repeated rows have one order and are all kept. Null role or text counts as empty. Rows with a null
+Defined results: a null role or text counts as empty. Rows of a conversation are ordered by turn
+(null first), role, text, so ties and repeated rows have one order and are all kept. Rows with a null
 conversation id form one conversation with a null id. An empty table gives no rows. Other
 columns are ignored.
 """

@@ -11,7 +11,9 @@ TRICKY = st.text(st.sampled_from("<|im_start>end\\\n aé😀"), max_size=12)
 
 
 def key(row):
-    return [(value is not None, value) for value in row[1:]]
+    """Turn, null first, then role and text, whose nulls count as empty."""
+    _, turn, role, text = row
+    return turn is not None, turn, role or "", text or ""
 
 
 def read(frame):
@@ -32,7 +34,7 @@ def escaped(text, role=False):
 
 def expected(rows):
     found = {}
-    for conv, _, role, text in sorted(rows, key=lambda row: (key(row))):
+    for conv, _, role, text in sorted(rows, key=key):
         role, text = role or "", text or ""
         entry = found.setdefault(conv, ["", [], []])
         entry[0] += f"<|im_start|>{escaped(role, True)}\n{escaped(text)}<|im_end|>\n"
