@@ -126,8 +126,10 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     Texts are shuffled once, by id. There a document learns which one it follows and how long that is, and
     sends it the beginning that replaces its end, and its own digests.
     """
-    texts = id_and_text(table(spark, sf_dir, "documents"), "doc_id", "text")
-    numbered = texts.select("doc_id", F.char_length("text").cast("long").alias("n_chars"))
+    documents = id_and_text(table(spark, sf_dir, "documents"), "doc_id", "text")
+    numbered = documents.select("doc_id", F.char_length("text").cast("long").alias("n_chars"))
+    # spread by id whatever the files are: a join that broadcasts its other side would leave them as they lie
+    texts = documents.repartition(parts_for(documents), "doc_id")
     asked = following(numbered).select(F.col("doc_id").alias("to_id"), F.col("next_id").alias("doc_id"), "n_chars")
     sent = texts.join(asked, "doc_id").select(
         F.col("to_id").alias("doc_id"),
