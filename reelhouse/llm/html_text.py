@@ -5,8 +5,9 @@ which of them show; a layout pass emits all visible text with block spacing, lis
 markers and indents, preformatted text as it is, and table cells aligned in columns.
 
 Defined results: a null or empty page has empty text, one without tags is its own text with white
-space collapsed. An unfinished tag at the end of a page shows nothing, as in browsers. Rows are
-independent, so repeated rows give repeated results and an empty table none. Other columns are ignored.
+space collapsed. An unfinished tag at the end of a page shows nothing, as in browsers. Of SVG, the texts are
+shown, each apart from the others, but not what is only defined or described; of MathML, all but annotations and phantoms,
+with the parts of fractions and the like apart. Rows are independent, so repeated rows give repeated results and an empty table none. Other columns are ignored.
 Time and memory are linear in a page's length: elements nested deeper than MAX_DEPTH are
 read but not stacked (their text is kept), and a column is padded to PAD_WIDTH at most.
 """
@@ -39,8 +40,22 @@ RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
 RAW_ESCAPABLE = frozenset("textarea title".split())
 HIDDEN = frozenset(
     "head script style title template noscript iframe noembed noframes audio video canvas datalist object "
-    "base link meta param rp svg math".split()
+    "base link meta param rp".split()
 )
+#: What SVG and MathML do not draw, elements in which HTML is read again, and those that end both.
+UNDRAWN = {
+    "svg": frozenset(
+        "defs desc metadata title style script symbol clippath mask marker pattern lineargradient radialgradient filter".split()
+    ),
+    "math": frozenset("annotation annotation-xml mphantom style script".split()),
+}
+HTML_INSIDE = {"svg": frozenset("foreignobject desc title".split()), "math": frozenset("mi mo mn ms mtext".split())}
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: Elements of MathML whose parts are drawn in places of their own.
+STACKED = frozenset("mfrac mroot munder mover munderover mtr mlabeledtr".split())
 HEAD_ONLY = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu blockquote pre listing table figure fieldset".split())
 BLOCK = SPACED | frozenset(
@@ -52,7 +67,7 @@ LISTS = frozenset("ul ol menu dir".split())
 CELLS = frozenset(("td", "th"))
 GROUPS = frozenset(("thead", "tbody", "tfoot"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
-BARRIERS = frozenset("table td th caption html template object button".split())
+BARRIERS = frozenset("table td th caption html template object button foreignobject mi mo mn ms mtext annotation-xml".split())
 #: Start tag -> (elements it closes, elements at which the search for them stops)
 IMPLIED_ENDS = {
     "li": (frozenset(("li",)), LISTS | BARRIERS),
@@ -203,11 +218,13 @@ class Grid:
 
 
 class Element:
-    __slots__ = ("tag", "shown", "seen", "pre", "flow", "grid", "span", "number")
+    __slots__ = ("tag", "shown", "seen", "pre", "flow", "grid", "span", "number", "foreign", "html", "drawn", "apart")
 
     def __init__(self, tag, shown, seen, pre, flow, grid):
         self.tag, self.shown, self.seen, self.pre = tag, shown, seen, pre
         self.flow, self.grid, self.span, self.number = flow, grid, (1, 1), 0
+        # svg or math, whether HTML is read inside, whether text is drawn, and what it is set apart by
+        self.foreign, self.html, self.drawn, self.apart = "", True, True, ""
 
 
 class Page:
@@ -239,6 +256,10 @@ class Page:
                 return html.index(">", begin) + 1
             closing = COMMENT_END.search(html, begin + 4)
             return closing.end() if closing else len(html)
+        if html.startswith("<![CDATA[", begin) and self.stack[-1].foreign:
+            closing_at = html.find("]]>", begin)
+            self.characters(html[begin + 9 : closing_at if closing_at >= 0 else len(html)], escaped=False)
+            return closing_at + 3 if closing_at >= 0 else len(html)
         if following in "!?" or (following == "/" and not html[begin + 2 : begin + 3].isalpha()):
             closing_at = html.find(">", begin)
             return closing_at + 1 if closing_at >= 0 else len(html)
@@ -249,7 +270,10 @@ class Page:
         if tag[1]:
             self.end(name)
             return tag.end()
+        foreign = not self.stack[-1].html
         self.start(name, tag[3])
+        if foreign:
+            return tag.end()
         if name in RAW or name in RAW_ESCAPABLE:
             closing = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, tag.end())
             stop = closing.start() if closing else len(html)
@@ -261,13 +285,13 @@ class Page:
             return len(html)
         return tag.end()
 
-    def characters(self, data: str, raw: bool = False) -> None:
+    def characters(self, data: str, raw: bool = False, escaped: bool = True) -> None:
         if self.stack[-1].tag == "head" and not data.isspace():
             self._pop()
         top = self.stack[-1]
-        if not (top.shown and top.seen) or (top.tag == "details" and top.number == 1):
+        if not (top.shown and top.seen and top.drawn) or (top.tag == "details" and top.number == 1):
             return
-        if not raw and "&" in data:
+        if not raw and escaped and "&" in data:
             data = unescape(data)
         if top.grid is not None and (top.tag in ("table", "tr") or top.tag in GROUPS) and data.isspace():
             return
@@ -290,6 +314,12 @@ class Page:
             self._pop()
 
     def start(self, name: str, attributes: str) -> None:
+        if not self.stack[-1].html:
+            if name not in ENDS_FOREIGN:
+                self._push_foreign(name, attributes, self.stack[-1].foreign)
+                return
+            while not self.stack[-1].html:
+                self._pop()
         if self.stack[-1].tag == "head" and name not in HEAD_ONLY:
             self._pop()
         if name in CLOSES_P and (place := self._within(frozenset(("p",)), BARRIERS)):
@@ -314,8 +344,57 @@ class Page:
             return
         if name in VOID:
             return
+        if name in UNDRAWN:
+            self._push_foreign(name, attributes, name)
+            return
         self._push(name, attributes)
 
+    def _push_foreign(self, name: str, attributes: str, foreign: str) -> None:
+        """An element of SVG or MathML; unlike those of HTML, it may close itself."""
+        if len(self.stack) >= MAX_DEPTH:
+            return
+        top = self.stack[-1]
+        values, at = {}, 0
+        for found in ATTRIBUTE.finditer(attributes):
+            values.setdefault(found[1].lower(), found[2] or found[3] or found[4] or "")
+            at = found.end()
+        style = values.get("style", "")
+        shown = (
+            top.shown
+            and name not in UNDRAWN[foreign]
+            and not HIDING_STYLE.search(style)
+            and not (foreign == "svg" and values.get("display", "").strip().lower() == "none")
+            and not (top.tag == "details" and top.number == 1)
+        )
+        seen = top.seen
+        stated = f"visibility:{values.get('visibility', '')}" if foreign == "svg" else ""
+        if (visibility := VISIBILITY.search(style) or VISIBILITY.search(stated)) is not None:
+            seen = visibility[1].lower() == "visible"
+        element = Element(name, shown, seen, top.pre, top.flow, None)
+        element.foreign = foreign
+        element.html = name in HTML_INSIDE[foreign] or (
+            name == "annotation-xml" and values.get("encoding", "").lower() in ("text/html", "application/xhtml+xml")
+        )
+        if foreign == "svg":
+            # text outside these is not drawn; each has a place of its own
+            inside = top.foreign == "svg" and top.drawn and name != "svg"
+            element.drawn = inside or name in ("text", "foreignobject")
+            element.apart = "space" if name in ("text", "foreignobject") else ""
+        elif name == "mtr" or (name == "math" and values.get("display", "").lower() == "block"):
+            element.apart = "line"
+        elif top.tag in STACKED:
+            element.apart = "space"
+        self._set_apart(element)
+        self.stack.append(element)
+        if attributes.endswith("/") and at < len(attributes):
+            self._pop()
+
+    def _set_apart(self, element: Element) -> None:
+        if element.shown and element.apart == "line":
+            element.flow.block(blank=False)
+        elif element.shown and element.apart:
+            element.flow.space = True
+
     def _push(self, name: str, attributes: str) -> None:
         if len(self.stack) >= MAX_DEPTH:
             if name in BLOCK and self.stack[-1].shown:
@@ -381,6 +460,9 @@ class Page:
         element = self.stack.pop()
         if not element.shown:
             return
+        if element.foreign:
+            self._set_apart(element)
+            return
         name, flow, top = element.tag, element.flow, self.stack[-1]
         if name in CELLS and flow is not top.flow:
             top.grid.add(flow.finish(), *element.span)

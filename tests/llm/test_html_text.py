@@ -110,3 +110,33 @@ def test_null_repeated_and_empty_tables_with_clashing_columns(spark):
     found = extract_text(frame).collect()
     assert sorted(map(tuple, found), key=str) == sorted([(1, ""), (2, "a"), (2, "a"), (None, "b")], key=str)
     assert extract_text(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p>See <svg><text x=1>Jan</text><text>Feb</text></svg> there", "See Jan Feb there"),
+        ("a<svg>no<g><path d='M0'/><text>b<tspan>c</tspan></text></g></svg>d", "a bc d"),
+        ("<svg><title>no</title><desc>no<p>no</p></desc><defs><text>no</text></defs><metadata>no</metadata><text>yes</text></svg>", "yes"),
+        ("<svg><title/><style/><script/><defs/><text>a</text></svg><p>b", "a\n\nb"),
+        ("<svg><text display=none>no</text><g visibility='hidden'><text>no</text></g><text>yes</text></svg>", "yes"),
+        ("<svg><text><![CDATA[a < b &amp; c]]></text></svg>", "a < b &amp; c"),
+        ("<p>x<svg><foreignObject><div>one</div><div>two</div></foreignObject></svg>", "x\none\ntwo"),
+        ("<svg><g><p>out of it</p>on", "out of it\n\non"),
+        ("<math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>!", "E=mc2!"),
+        ("<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>", "1 2"),
+        ("a<math display=block><mi>x</mi></math>b", "a\nx\nb"),
+        ("<math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr><mtr><mtd><mn>3</mn></mtd></mtr></mtable></math>", "1 2\n3"),
+        (
+            "<math><semantics><mi>x</mi><annotation encoding='TeX'>no</annotation>"
+            "<annotation-xml encoding='text/html'><p>no</p></annotation-xml></semantics></math>y",
+            "xy",
+        ),
+        ("<math><mtext>if <b>so</b></mtext></math>", "if so"),
+        ("<desc>shown</desc><defs>too", "showntoo"),
+        ("<table><tr><td><svg><text>in</text></svg><td>b</table>", "in | b"),
+        ("<svg>" + "<path/>" * 2000 + "<text>deep</text></svg>end", "deep end"),
+    ],
+)
+def test_svg_and_mathml_show_what_they_draw(html, text):
+    assert html_to_text(html) == text
