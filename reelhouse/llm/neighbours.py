@@ -203,14 +203,18 @@ def _nearest(query: np.ndarray, matrix: np.ndarray, reps: np.ndarray, k: int) ->
 def fit_window(asked: DataFrame, vectors: DataFrame, ranks: DataFrame, k: int, target: float) -> int:
     """The window that finds `target` of the true neighbours of the measured queries.
 
-    MEASURED_QUERIES queries and k neighbours each come to the driver, whatever the size of the table.
+    MEASURED_QUERIES queries and k neighbours each come to the driver, whatever the size of the table. A
+    query is among its own k nearest, but does not count: its gap is 0.
     """
     sample = asked.orderBy(F.xxhash64("rep"), "rep").limit(MEASURED_QUERIES).toArrow()
     if not sample.num_rows:
         return 0
     spark = asked.sparkSession
     queries = _matrix(sample["vector"].combine_chunks())
-    truth = [(sample["rep"][row["query"]].as_py(), row["rep"]) for row in nearest_of_all(queries, vectors, k).collect()]
+    nearest = [(sample["rep"][row["query"]].as_py(), row["rep"]) for row in nearest_of_all(queries, vectors, k).collect()]
+    truth = [(query, rep) for query, rep in nearest if rep != query]
+    if not truth:
+        return 0
     pairs = F.broadcast(spark.createDataFrame(truth, "query long, rep long"))
     here = ranks.join(pairs, "rep").select("query", "rep", "curve", "place")
     own = ranks.join(pairs.select("query").distinct(), ranks["rep"] == F.col("query")).select(

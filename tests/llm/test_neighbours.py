@@ -82,3 +82,12 @@ def test_vectors_that_take_no_part(spark):
     assert search(frame.where("vec_id <> 100")) == {}
     assert search(frame.limit(0)) == {}
     assert search(frame.where("vec_id = 100")) == {}
+
+
+def test_the_query_itself_does_not_count_in_the_window(spark):
+    random = np.random.default_rng(8)
+    rows = [(number, random.normal(size=16).tolist()) for number in range(2000)]
+    wanted = brute_force(rows, k=1)
+    found = search(spark.createDataFrame(rows, SCHEMA), k=1, target=0.5)
+    hits = sum(near == found.get(query, [])[: len(near)] for query, near in wanted.items())
+    assert hits >= 0.5 * len(wanted)
