@@ -185,10 +185,80 @@ FROM documents LEFT JOIN written USING (doc_id)
 """
 
 
+HARD_NEGATIVES = """
+WITH rows AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+           CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 3
+"""
+
+
+def _nearest(round_: int) -> str:
+    """Every vector with its nearest centroid after so many rounds."""
+    return f"""
+assigned{round_} AS MATERIALIZED (
+    SELECT vec_id, v, number, distance FROM (
+        SELECT vec_id, v, number,
+               list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS distance
+        FROM vectors, centroids{round_}
+    ) AS compared
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, number) = 1
+)"""
+
+
+def _moved(round_: int) -> str:
+    """The centroids after so many rounds, from the vectors assigned in the last."""
+    return f"""
+centroids{round_} AS MATERIALIZED (
+    SELECT number, coalesce(m, c) AS c FROM centroids{round_ - 1} LEFT JOIN (
+        SELECT number, list(CAST(floor(total / members) AS BIGINT) ORDER BY i) AS m FROM (
+            SELECT number, i, sum(v[i]) AS total, count(*) AS members
+            FROM assigned{round_ - 1}, (SELECT unnest(range(1, 65)) AS i) AS dimensions GROUP BY number, i
+        ) AS sums GROUP BY number
+    ) AS means USING (number)
+)"""
+
+
+CENTROID_CLUSTERING = f"""
+WITH vectors AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), centroids0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS number, v AS c
+    FROM vectors QUALIFY number < 40
+), {_nearest(0)}, {", ".join(f"{_moved(n)}, {_nearest(n)}" for n in range(1, 6))},
+sums AS (
+    SELECT number, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM assigned5 GROUP BY number
+)
+SELECT vec_id, CAST(number AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, cluster_inertia,
+       (SELECT CAST(sum(cluster_inertia) AS BIGINT) FROM sums) AS inertia,
+       sha256(array_to_string(list_transform(c, lambda x: CAST(x AS VARCHAR)), ',')) AS centroid_sha256
+FROM assigned5 JOIN sums USING (number) JOIN centroids5 USING (number)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_near_dedup": NEAR_DEDUP,
         "op4_url_filter": URL_FILTER,
         "op5_secret_scan": SECRET_SCAN,
         "op10_chat_formatting": CHAT_FORMATTING,
+        "op12_hard_negatives": HARD_NEGATIVES,
+        "op13_centroid_clustering": CENTROID_CLUSTERING,
     }

@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables."""
+"""The thirteen operators as queries over the given tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelhouse.llm import byte_bpe, chat, fingerprints, html_text, near_dedup, neighbours, packing, quality, secret_scan, url_lists
+from reelhouse.llm import (
+    byte_bpe,
+    chat,
+    clustering,
+    fingerprints,
+    html_text,
+    near_dedup,
+    negatives,
+    neighbours,
+    packing,
+    quality,
+    secret_scan,
+    sharding,
+    url_lists,
+)
 from reelhouse.llm.common import checkpointed, id_and_text, parts_for, small_batches, table
 
 
@@ -201,6 +215,28 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards by bytes: groups of equal texts stay whole, so nothing is known of where a document goes in a larger set of shards."""
+    return sharding.assign(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -214,5 +250,8 @@ QUERIES = {
         op8_packing,
         op9_fingerprints,
         op10_chat_formatting,
+        op11_sharding,
+        op12_hard_negatives,
+        op13_centroid_clustering,
     )
 }

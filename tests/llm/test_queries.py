@@ -44,7 +44,7 @@ def by_id(spark, sf_dir, query, key="doc_id"):
 
 def test_every_operator_is_registered_once():
     names = [name for name in contract.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 

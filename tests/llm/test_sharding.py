@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from reelhouse.llm import sharding
+
+
+def differenced(sizes, shards):
+    """The sums of the shards by differencing, on plain lists of pairs."""
+    partitions = [[(size, [number])] + [(0, [])] * (shards - 1) for number, size in enumerate(sizes)]
+    while len(partitions) > 1:
+        partitions.sort(key=lambda places: places[0][0] - places[-1][0])
+        one, other = partitions.pop(), partitions.pop()
+        joined = [(a + b, m + n) for (a, m), (b, n) in zip(one, reversed(other))]
+        partitions.append(sorted(joined, key=lambda place: -place[0]))
+    return sorted((sum(sizes[n] for n in members) for _, members in partitions[0]), reverse=True) if sizes else []
+
+
+def sums(sizes, dealt, shards):
+    found = Counter({shard: 0 for shard in range(shards)})
+    for size, shard in zip(sizes, dealt):
+        found[shard] += size
+    return sorted(found.values(), reverse=True)
+
+
+def test_differencing_of_known_sets():
+    # the textbook case: 8, 7, 6, 5, 4 differ by 2 in two shards
+    assert sums([8, 7, 6, 5, 4], sharding.differenced([8, 7, 6, 5, 4], 2), 2) == [16, 14]
+    assert sharding.differenced([], 3) == [] and sharding.differenced([5], 3) == [0]
+    assert sharding.differenced([5, 5, 5], 1) == [0, 0, 0]
+    assert sorted(sharding.differenced([4, 4, 4, 4], 4)) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("shards", [2, 3, 8])
+def test_differencing_is_as_tight_as_the_plain_form(shards):
+    chance = random.Random(shards)
+    for count in (1, 2, 7, 40, 300):
+        sizes = [chance.randrange(1, 10**6) for _ in range(count)]
+        found = sums(sizes, sharding.differenced(sizes, shards), shards)
+        assert sum(found) == sum(sizes)
+        wanted = differenced(sizes, shards)
+        # equal spreads may be combined in another order, so only the tightness is the same
+        assert found[0] - found[-1] <= max(2 * (wanted[0] - wanted[-1]), sum(sizes) // 10**4)
+
+
+def check(rows, found, shards=sharding.SHARDS):
+    """Every row once, groups whole, slots without gaps; returns the bytes of each shard."""
+    text_of = lambda text: text or ""
+    wanted = Counter((number, len(text_of(text).encode()) + 1, zlib.crc32(text_of(text).encode())) for number, text, *_ in rows)
+    assert Counter((row["doc_id"], row["size"], row["text_crc32"]) for row in found) == wanted
+    slots, held, place = defaultdict(list), Counter(), defaultdict(set)
+    for row in found:
+        slots[row["shard"]].append(row["slot"])
+        held[row["shard"]] += row["size"]
+        place[(row["size"], row["text_crc32"])].add(row["shard"])
+    assert all(sorted(each) == list(range(len(each))) for each in slots.values())
+    assert all(len(shards) == 1 for shards in place.values()) and set(slots) <= set(range(shards))
+    return [held[shard] for shard in range(shards)]
+
+
+def test_given_documents_are_nearly_equal(spark, sf_dir):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(row["doc_id"], row["text"]) for row in frame.collect()]
+    held = check(rows, sharding.assign(frame).collect())
+    assert max(held) - min(held) <= 1e-4 * sum(held)
+
+
+def test_small_groups_are_gathered(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "GRAINS", 256)
+    chance = random.Random(3)
+    rows = [(number, "x" * chance.randrange(1, 400) + str(number % 1500)) for number in range(4000)]
+    rows += [(10_000 + number, "y" * 30_000) for number in range(2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    described = sharding.described(frame)
+    assert sharding.shard_units(described).count() <= 2 * 256
+    held = check(rows, sharding.assign(frame).collect())
+    assert max(held) - min(held) <= 2e-3 * sum(held)
+    # shards do not depend on partitions
+    of = lambda some: {(row["doc_id"], row["shard"]) for row in sharding.assign(some).collect()}
+    assert of(frame) == of(frame.repartition(3))
+
+
+def test_a_text_of_a_third_of_all_rows(spark):
+    rows = [(number, "same words" if number % 3 == 0 else f"words {number} " * (number % 5)) for number in range(900)]
+    held = check(rows, sharding.assign(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    rest = sorted(held)[:-1]
+    assert max(rest) - min(rest) <= 100
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, None, 5, "a", 1), (2, "", 5, "a", 1), (None, "no id", 5, "a", 1), (None, "no id", 5, "a", 1), (3, "é" * 10, 5, "a", 1),
+        (3, "é" * 10, 5, "a", 1), (3, "other", 5, "a", 1), (4, "long " * 200_000, 5, "a", 1),
+    ]
+    schema = "doc_id long, text string, shard int, digest string, part int"
+    frame = spark.createDataFrame(rows, schema)
+    check(rows, sharding.assign(frame).collect())
+    check(rows, sharding.assign(frame, shards=1).collect(), 1)
+    assert sharding.assign(frame.limit(0)).collect() == []
+
+
+def test_written_shards_hold_whole_rows(spark, folder):
+    rows = [(number, None if number == 5 else f"text {number % 40} " * (number % 40), number * 2, 9) for number in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, extra int, shard int")
+    sharding.write_shards(frame, f"{folder}/out", 3)
+    written = spark.read.parquet(f"{folder}/out").collect()
+    assert sorted((row["doc_id"], row["text"], row["extra"]) for row in written) == sorted(row[:3] for row in rows)
+    placed = {(row["doc_id"], row["shard"]) for row in sharding.assign(frame, 3).collect()}
+    assert {(row["doc_id"], row["shard"]) for row in written} == placed
