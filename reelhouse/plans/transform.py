@@ -47,7 +47,8 @@ def transform(
 
     `since` makes the run incremental: it reads the bronze folders of that and later ingestion days only,
     and merges them with the transformed tables of the run before. The tables are the same as after a
-    full run if all rows of earlier days had landed by then; rows read twice change nothing.
+    full run if all rows of earlier days had landed by then; rows read twice change nothing. Rows without a usable
+    timestamp have no day and are read every time.
     """
     titles_in = read_bronze(spark, bronze_titles, schemas.TITLES, since)
     credits_in = read_bronze(spark, bronze_credits, schemas.CREDITS, since)

@@ -48,6 +48,14 @@ SELECT
 FROM {lineitem} AS l JOIN {supplier} AS s ON l_suppkey = s_suppkey
 """
 
+# The same rows with timestamps that are missing, in another form, or far in the future.
+ODD_TIMES = {
+    "titles": """CASE WHEN release_year = 1994 THEN NULL WHEN release_year = 1997 THEN '01/03/2024 06:30:00'
+      WHEN release_year = 2001 THEN '2150-01-01 00:00:00' ELSE ingestion_timestamp END""",
+    "credits": """CASE WHEN role IS NULL AND character_name = ' char 2' THEN NULL
+      WHEN role IS NULL AND character_name = ' char 3' THEN '01/03/2024 06:30:00' ELSE ingestion_timestamp END""",
+}
+
 
 def _files(sf_dir: str) -> dict[str, str]:
     return {name: f"parquet.`{sf_dir}/{name}.parquet`" for name in ("part", "lineitem", "supplier")}

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from reelhouse import schemas
-from reelhouse.registry.inputs import oracle_ctes
+from reelhouse.registry import analysis_oracles
+from reelhouse.registry.inputs import ODD_TIMES, oracle_ctes
 
 CREDIT_COLUMNS = ", ".join(schemas.CREDITS)
 
@@ -260,5 +261,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT * REPLACE (trim(platform, ' ') AS platform, '2024-03-01 05:00:00' AS ingestion_timestamp)
             FROM given_{entity}), {entity}_cleaned AS ("""
         delivered = delivered.replace(f"{entity}_cleaned AS (", again, 1)
-    given = {"decode_event_props": "", "daily_run": delivered}
-    return {name: f"{given.get(name, inputs)} {body}" for name, body in BODIES.items()}
+    odd = inputs.replace("bronze_titles AS (", "given_titles AS (").replace("bronze_credits AS (", "given_credits AS (")
+    for entity, oddly in ODD_TIMES.items():
+        odd = odd.replace(
+            f"{entity}_cleaned AS (",
+            f"bronze_{entity} AS (SELECT * REPLACE ({oddly} AS ingestion_timestamp) FROM given_{entity}), {entity}_cleaned AS (",
+            1,
+        )
+    given = {"decode_event_props": "", "daily_run": delivered, "transform_incremental": odd}
+    in_full = {name: f"{given.get(name, inputs)} SELECT * FROM ({body}) AS result" for name, body in analysis_oracles.BODIES.items()}
+    return {name: f"{given.get(name, inputs)} {body}" for name, body in BODIES.items()} | in_full

@@ -42,8 +42,7 @@ INGESTION_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # --- fixed values: keys -----------------------------------------------------------
 # The order within a key is free and decides how the transformed files are sorted:
-# titles by platform, which marts and view filter on; credits by title, which has many more
-# values than the person and so sorts faster and packs better.
+# titles by platform, which marts and view filter on; credits by title, as they are joined by it.
 TITLE_REQUIRED = ("id", "title", "platform")
 TITLE_KEY = ("platform", "id")
 CREDIT_REQUIRED = ("person_ID", "id", "platform")
@@ -124,8 +123,11 @@ JDBC_WRITERS = 4
 # --- fixed values: time limit of one streaming drain, in seconds ------------------
 STREAM_WINDOW_SECS = 180
 
-# Partition column of bronze folders that are written by day: the day of the ingestion timestamp.
+# Partition column of bronze folders that are written by day: the day of the ingestion timestamp. Rows whose timestamp is
+# missing, in another form, or outside these years share one folder, so a foreign producer cannot make folders at will.
 BRONZE_DAY = "ingestion_day"
+UNDATED = "undated"
+BRONZE_YEARS = (2000, 2099)
 
 # Largest batch of a drain unless the caller sets another: Kafka records, or bytes of files. A batch is
 # what a run commits at least, so it has to be small against a run and large against its overhead.

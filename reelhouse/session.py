@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Used where neither the caller nor spark-submit sets them. Adaptive execution, which merges
@@ -68,3 +68,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/reelhouse/{label}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Store a frame in the shared checkpoint folder, so that a lost executor repeats nothing before it."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_path(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

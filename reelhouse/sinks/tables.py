@@ -23,10 +23,13 @@ def write_table(df: DataFrame, database: str, table: str) -> DataFrame:
     """Replace the rows of a managed table and return a scan of what was written.
 
     All files are written to a new folder first. Only then is the table pointed to it, by one
-    metadata step, so a failed write leaves the old rows, and a reader sees old or new ones. If
-    the columns changed, a table with the new ones is prepared and takes the old one's name. The
+    metadata step, so a failed write leaves the old rows, and a reader sees old or new ones. The
     folder before the last is removed: readers that began before the switch can finish.
 
+    If the columns changed, a table with the new ones is prepared. The old one is renamed aside, the new one takes
+    its name, and only then the old one is dropped; if the name cannot be taken, the old one gets it back. A catalog
+    renames one table at a time, so a reader may find no table between the two steps.
+
     A table that is missing is created before any file is written, so a run that dies half-way never
     leaves files without a table, which would block the next one.
     """
@@ -45,9 +48,7 @@ def write_table(df: DataFrame, database: str, table: str) -> DataFrame:
         prepared = f"`{database}`.`{table}__{uuid.uuid4().hex}`"
         _create(spark, prepared, df)
         _point(spark, prepared, folder)
-        spark.sql(f"DROP TABLE {name}")
-        remove_folder(spark, own)  # made with the table, and in the way of the new one's name
-        spark.sql(f"ALTER TABLE {prepared} RENAME TO {name}")
+        _take_name(spark, prepared, name, f"`{database}`.`{table}__{uuid.uuid4().hex}`", own)
     spark.catalog.refreshTable(name)
     kept = {_last(before), _last(_location(spark, name))}
     for place in subfolders(spark, versions):
@@ -56,6 +57,19 @@ def write_table(df: DataFrame, database: str, table: str) -> DataFrame:
     return spark.table(name)
 
 
+def _take_name(spark: SparkSession, prepared: str, name: str, aside: str, own: str) -> None:
+    """Give a prepared table the name of another, which is dropped last and keeps its name on failure."""
+    spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        remove_folder(spark, own)  # made with the table, and in the way of the new one's name
+        spark.sql(f"ALTER TABLE {prepared} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        spark.sql(f"DROP TABLE {prepared}")
+        raise
+    spark.sql(f"DROP TABLE {aside}")
+
+
 def _create(spark: SparkSession, name: str, df: DataFrame) -> None:
     listed = ", ".join(f"`{column}` {kind}" for column, kind in df.dtypes)
     spark.sql(f"CREATE TABLE {name} ({listed}) USING parquet")

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.schemas import BRONZE_DAY
+from reelhouse.schemas import BRONZE_DAY, UNDATED
 from reelhouse.sources.errors import MissingInput
 
 NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -17,7 +17,8 @@ NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 def read_bronze(spark: SparkSession, path: str, columns: dict[str, str], since: datetime.date | None = None) -> DataFrame:
     """Scan the committed files of a bronze folder; nothing is created if it is missing.
 
-    `since` reads only the folders of that and later ingestion days, of bronze written by day.
+    `since` reads only the folders of that and later ingestion days, of bronze written by day, and always the folder
+    of rows without a usable timestamp: when they came is not known.
     """
     try:
         found = spark.read.parquet(path)
@@ -31,5 +32,6 @@ def read_bronze(spark: SparkSession, path: str, columns: dict[str, str], since:
     if since is not None:
         if BRONZE_DAY not in found.columns:
             raise MissingInput(f"bronze data at {path} is not written by day; it can only be read whole")
-        found = found.where(F.col(BRONZE_DAY).cast("string") >= since.isoformat())
+        day = F.col(BRONZE_DAY).cast("string")
+        found = found.where((day >= since.isoformat()) | (day == UNDATED) | day.isNull())
     return found.select(*columns)

@@ -51,15 +51,25 @@ def finish(query: StreamingQuery, timeout_secs: float | None = None) -> None:
 
 
 def drain_all(starts: Iterable[Callable[[], StreamingQuery]], timeout_secs: float | None = None) -> None:
-    """Run several drains side by side within one time limit; if one fails, stop the others."""
+    """Run several drains side by side within one time limit.
+
+    Past the limit each of them is still waited for until it has committed a batch, so a rerun of any gets on. If
+    one fails, the others are stopped at once.
+    """
     deadline = None if timeout_secs is None else time.monotonic() + timeout_secs
     queries: list[StreamingQuery] = []
+    late: TimeoutError | None = None
     try:
         for start in starts:
             queries.append(start())
         for query in queries:
-            finish(query, None if deadline is None else max(deadline - time.monotonic(), 0.001))
+            try:
+                finish(query, None if deadline is None else max(deadline - time.monotonic(), 0.001))
+            except TimeoutError as error:
+                late = late or error
     finally:
         for query in queries:
             if query.isActive:
                 query.stop()
+    if late:
+        raise late

@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.errors import PySparkException
+
+from reelhouse.operators import diff
+
+SCHEMA = "id string, platform string, score double"
+NAN = float("nan")
+BEFORE = [("a", "A", 1.0), ("a", "A", 1.0), ("b", "A", 2.0), ("c", "A", None), (None, "A", 3.0), ("n", "A", NAN), ("z", None, 1.0), ("d", "A", 4.0)]
+AFTER = [("a", "A", 1.0), ("b", "A", 2.5), ("c", "A", None), (None, "A", 3.5), ("n", "A", NAN), ("z", None, 1.0), ("e", "B", 1.0), ("e", "B", 1.0)]
+
+
+def counted(df):
+    return Counter(map(repr, map(tuple, df.collect())))
+
+
+def test_changes_and_their_kinds(spark):
+    before, after = spark.createDataFrame(BEFORE, SCHEMA), spark.createDataFrame(AFTER, SCHEMA)
+    found = {tuple(row) for row in diff.snapshot_diff(before, after, ["id", "platform"]).collect()}
+    assert found == {
+        ("removed", "a", "A", 1.0, 1), ("changed_from", "b", "A", 2.0, 1), ("changed_to", "b", "A", 2.5, 1), ("changed_from", None, "A", 3.0, 1),
+        ("changed_to", None, "A", 3.5, 1), ("removed", "d", "A", 4.0, 1), ("added", "e", "B", 1.0, 2),
+    }
+
+
+def test_the_difference_applied_gives_the_later_table(spark):
+    before, after = spark.createDataFrame(BEFORE, SCHEMA), spark.createDataFrame(AFTER, SCHEMA)
+    for one, other in ((before, after), (after, before), (before, before.limit(0)), (before.limit(0), after), (before, before)):
+        changes = diff.snapshot_diff(one, other, ["id", "platform"])
+        assert counted(diff.apply_diff(one, changes)) == counted(other)
+    assert diff.snapshot_diff(before, before, ["id"]).count() == 0
+
+
+def test_the_columns_order_does_not_matter_but_their_names_do(spark):
+    before, after = spark.createDataFrame(BEFORE, SCHEMA), spark.createDataFrame(AFTER, SCHEMA)
+    turned = after.select("score", "platform", "id")
+    assert counted(diff.snapshot_diff(before, turned, ["id"])) == counted(diff.snapshot_diff(before, after, ["id"]))
+    with pytest.raises(ValueError, match="score"):
+        diff.row_changes(before, after.drop("score"))
+
+
+def test_a_row_with_a_third_of_all_copies(spark):
+    before = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS id", "'A' AS platform", "1.0 AS score")
+    after = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS id", "'A' AS platform", "1.0 AS score")
+    changes = diff.snapshot_diff(before, after, ["id", "platform"])
+    assert changes.where("id = 'hot'").collect()[0]["copies"] == 10_000
+    assert diff.apply_diff(before, changes).where("id = 'hot'").count() == 20_000
+    # one shuffle of rows that are combined in the task before
+    text = diff.row_changes(before, after)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text
+
+
+def test_a_difference_of_other_tables_is_refused(spark):
+    before, after = spark.createDataFrame(BEFORE, SCHEMA), spark.createDataFrame(AFTER, SCHEMA)
+    changes = diff.snapshot_diff(before, after, ["id", "platform"])
+    with pytest.raises(PySparkException, match="not there"):
+        diff.apply_diff(after, changes).collect()

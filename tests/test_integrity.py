@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from reelhouse.operators import integrity
+from tests.test_joins import plan
+
+KEYS = ["id", "platform"]
+SMALL, LARGE = "id string, platform string, title string", "id string, platform string, person string"
+TITLES = [("t1", "A", "one"), ("t1", "A", "one"), ("t2", "A", "two"), ("t1", "B", "x"), (None, "A", "y"), ("t9", None, "z"), ("t5", "A", "five")]
+CREDITS = [("t1", "A", "p1")] * 50 + [("t3", "A", "p2"), ("t3", "A", "p2"), ("t2", "B", "p3"), (None, "A", "p4"), ("t5", "A", None), (None, None, None)]
+
+
+def brute_force(rows, others):
+    known = {(row[0], row[1]) for row in others if None not in row[:2]}
+    return sorted(map(repr, (row for row in rows if None in row[:2] or (row[0], row[1]) not in known)))
+
+
+def shown(df):
+    return sorted(map(repr, map(tuple, df.collect())))
+
+
+@pytest.mark.parametrize("swapped", [False, True])
+def test_both_directions(spark, swapped):
+    titles, credits = spark.createDataFrame(TITLES, SMALL), spark.createDataFrame(CREDITS, LARGE)
+    if swapped:  # the filter may come from either side
+        orphans, unmet = integrity.unreferenced(credits, titles, KEYS, KEYS)
+    else:
+        unmet, orphans = integrity.unreferenced(titles, credits, KEYS, KEYS)
+    assert shown(unmet) == brute_force(TITLES, CREDITS) and shown(orphans) == brute_force(CREDITS, TITLES)
+
+
+def test_empty_tables(spark):
+    titles, credits = spark.createDataFrame(TITLES, SMALL), spark.createDataFrame(CREDITS, LARGE)
+    unmet, orphans = integrity.unreferenced(titles, credits.limit(0), KEYS, KEYS)
+    assert unmet.count() == len(TITLES) and orphans.count() == 0
+    unmet, orphans = integrity.unreferenced(titles.limit(0), credits, KEYS, KEYS)
+    assert unmet.count() == 0 and orphans.count() == len(CREDITS)
+    counts = {tuple(row) for row in integrity.reference_counts(titles.limit(0), credits.limit(0), KEYS, KEYS).collect()}
+    assert counts == {("smaller", 0, 0, 0), ("larger", 0, 0, 0)}
+
+
+def test_counts(spark):
+    titles, credits = spark.createDataFrame(TITLES, SMALL), spark.createDataFrame(CREDITS, LARGE)
+    counts = {tuple(row) for row in integrity.reference_counts(titles, credits, KEYS, KEYS).collect()}
+    assert counts == {("smaller", 7, 4, 2), ("larger", 56, 5, 2)}
+
+
+def test_keys_of_other_names_and_many_rows(spark):
+    small = spark.range(0, 3000, 3).selectExpr("id AS a", "concat('n', id) AS b", "1 AS extra")
+    large = spark.range(0, 9000).selectExpr("id AS c", "concat('n', id) AS d", "id % 7 AS _key0")
+    unmet, orphans = integrity.unreferenced(small, large, ["a", "b"], ["c", "d"])
+    assert unmet.count() == 0 and orphans.count() == 9000 - 1000
+    assert orphans.columns == large.columns and orphans.where("c % 3 = 0 AND c < 3000").count() == 0
+
+
+def test_the_filter_lets_few_absent_keys_pass_and_all_present_ones(spark):
+    keys = spark.range(5000).selectExpr("id AS k")
+    bits, words = integrity.bloom_filter(keys, ["k"])
+    assert words == -(-5000 * integrity.BITS_PER_KEY // 64)
+    probed = spark.range(40_000).selectExpr("id AS k").where(integrity.may_contain(["k"], bits.scalar(), words))
+    assert probed.where("k < 5000").count() == 5000
+    assert probed.where("k >= 5000").count() < 0.03 * 35_000
+
+
+def test_a_filter_that_is_too_small_only_prunes_less(spark, monkeypatch):
+    monkeypatch.setattr(integrity, "MOST_WORDS", 1)
+    titles, credits = spark.createDataFrame(TITLES, SMALL), spark.createDataFrame(CREDITS, LARGE)
+    unmet, orphans = integrity.unreferenced(titles, credits, KEYS, KEYS)
+    assert shown(unmet) == brute_force(TITLES, CREDITS) and shown(orphans) == brute_force(CREDITS, TITLES)
+
+
+def test_the_prune_is_below_the_shuffle(spark, folder):
+    spark.createDataFrame(TITLES, SMALL).write.parquet(f"{folder}/titles")
+    spark.createDataFrame(CREDITS, LARGE).write.parquet(f"{folder}/credits")
+    unmet, orphans = integrity.unreferenced(
+        spark.read.parquet(f"{folder}/titles"), spark.read.parquet(f"{folder}/credits"), KEYS, KEYS
+    )
+    for df in (unmet, orphans):
+        lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert any("LeftAnti" in line for line in lines)
+        filters = [number for number, line in enumerate(lines) if re.search(r"\+- Filter .*getbit", line)]
+        assert filters and all("Subquery" in lines[number] for number in filters)
+        for number in filters:
+            # the filter's own child comes after its subqueries, three places further in
+            place = lines[number].index("+- Filter") + 3
+            child = next(line[place:] for line in lines[number + 1 :] if line[place : place + 2] == "+-")
+            assert re.match(r"\+- (\*\(\d+\) )?(ColumnarToRow|FileScan)", child)
+    assert "title" not in plan(orphans).split("ReadSchema")[-1]
