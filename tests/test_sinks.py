@@ -97,6 +97,37 @@ def test_failed_overwrite_leaves_the_old_rows(spark, folder, ddl):
     assert [tuple(row) for row in write_table(more, database, "t").collect()] == [tuple(more.first())]
 
 
+def test_a_failing_rename_leaves_the_old_table(spark, folder, monkeypatch):
+    """The name cannot be taken after the old table was renamed aside: it gets its name and rows back."""
+    database = f"sink_test_{uuid.uuid4().hex}"
+    create_database(spark, database, f"{folder}/db")
+    write_table(frame(spark, ("a", 1)), database, "t")
+    wider = frame(spark, ("b", 2, 1.5), ddl="id string, n int, x double")
+
+    class Failing:
+        """The session, but for the rename of a new table."""
+
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+        def sql(self, text):
+            if text.startswith("ALTER TABLE") and text.endswith(f"RENAME TO `{database}`.`t`") and not failed:
+                failed.append(text)
+                raise RuntimeError("no such luck")
+            return spark.sql(text)
+
+    failed = []
+    monkeypatch.setattr(type(wider), "sparkSession", property(lambda _: Failing()))
+    with pytest.raises(RuntimeError, match="no such luck"):
+        write_table(wider, database, "t")
+    monkeypatch.undo()
+    assert [tuple(row) for row in spark.table(f"{database}.t").collect()] == [("a", 1)]
+    assert [row["tableName"] for row in spark.sql(f"SHOW TABLES IN {database}").collect()] == ["t"]
+    for number in range(2):  # and the next ones succeed
+        assert [tuple(row) for row in write_table(wider, database, "t").collect()] == [("b", 2, 1.5)]
+    assert [tuple(row) for row in write_table(frame(spark, ("c", 3)), database, "t").collect()] == [("c", 3)]
+
+
 def test_reader_that_began_before_an_overwrite_finishes(spark, folder):
     database = f"sink_test_{uuid.uuid4().hex}"
     create_database(spark, database, f"{folder}/it's")

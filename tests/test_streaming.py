@@ -136,6 +136,49 @@ def test_time_limit_waits_for_the_first_batch():
     assert query.waits == 4 and not query.isActive
 
 
+def test_time_limit_waits_for_the_first_batch_of_each_stream():
+    class Slow(Endless):
+        waits = 0
+
+        @property
+        def lastProgress(self):
+            return {"batchId": 0} if self.waits > 5 else None
+
+        def awaitTermination(self, timeout=None):
+            self.waits += 1
+            return False
+
+    quick, slow = Endless(), Slow()
+    with pytest.raises(TimeoutError):
+        drain_all([lambda: quick, lambda: slow], 0.001)
+    assert slow.waits == 6 and not quick.isActive and not slow.isActive
+
+
+def test_failure_among_streams_is_not_waited_for():
+    class Broken(Endless):
+        def awaitTermination(self, timeout=None):
+            raise RuntimeError("lost")
+
+    broken, other = Broken(), Endless()
+    with pytest.raises(RuntimeError, match="lost"):
+        drain_all([lambda: broken, lambda: other], 1)
+    assert not other.isActive
+
+
+def test_two_streams_both_get_on_at_every_limited_run(spark, sf_dir, folder):
+    """Each run commits a batch of both topics at least, however short the limit is."""
+    rows = {schemas.TITLES_TOPIC: inputs.bronze_titles(spark, sf_dir), schemas.CREDITS_TOPIC: inputs.bronze_credits(spark, sf_dir)}
+    for topic, df in rows.items():
+        to_folder(encode(df).repartition(3), f"{folder}/{topic}")
+    lake, seen = Lake(f"{folder}/lake"), []
+    receive = lambda session, topic: from_folder(session, f"{folder}/{topic}", max_files_per_trigger=1)
+    for _ in range(2):
+        with pytest.raises(TimeoutError):
+            land_topics(spark, receive, lake, 0.001)
+        seen.append([spark.read.parquet(path).count() for path in (lake.titles, lake.credits)])
+    assert all(before < after for before, after in zip(*seen)) and all(seen[0])
+
+
 def test_limited_reruns_with_default_settings_drain_everything(spark, sf_dir, folder):
     """The limit is far below what the backlog takes, and every rerun gets on."""
     titles = inputs.bronze_titles(spark, sf_dir)
