@@ -102,12 +102,14 @@ _CHANGES = f"""
 
 _NETWORK = """
     SELECT person_id, CAST(min(step) AS INTEGER) AS step FROM (
-      WITH RECURSIVE links AS (SELECT DISTINCT person_ID AS person_id, platform, id FROM credits),
+      WITH RECURSIVE links AS (
+        SELECT DISTINCT person_ID AS person_id, platform, id FROM credits WHERE role = 'DIRECTOR' AND character_name = 'char 7'
+      ),
       found AS (
-        SELECT CAST(n_nationkey AS VARCHAR) AS person_id, 0 AS step FROM nation WHERE n_name = 'CHINA'
+        SELECT CAST(n_nationkey AS VARCHAR) AS person_id, 0 AS step FROM nation WHERE n_nationkey = 3
         UNION
         SELECT b.person_id, step + 1 FROM found f JOIN links a ON a.person_id = f.person_id
-          JOIN links b ON b.id = a.id AND b.platform = a.platform WHERE step < 2
+          JOIN links b ON b.id = a.id AND b.platform = a.platform WHERE step < 3
       ) SELECT * FROM found
     ) AS reached GROUP BY person_id"""
 

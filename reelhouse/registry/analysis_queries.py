@@ -29,7 +29,7 @@ HISTORY_DAYS = tuple(datetime.date(2024, 3, day) for day in (1, 2, 4, 10))
 #: Two overlapping states of the credits: up to a time, and from a time on.
 BEFORE, AFTER = "2024-01-05", "2024-01-03"
 MULTISET = ["person_ID", "id", "name", "role", "platform"]
-STEPS = 2
+STEPS = 3
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -153,10 +153,10 @@ def credit_changes_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def persons_within_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Who is connected over titles with the person whose number is that of a nation."""
-    credits = _credits(spark, sf_dir)
+    """Who is connected with one person over titles that they directed, by credits of the seventh line."""
+    credits = _credits(spark, sf_dir).where("role = 'DIRECTOR' AND character_name = 'char 7'")
     nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    start = nations.where("n_name = 'CHINA'").select(F.col("n_nationkey").cast("string").alias("person_id"))
+    start = nations.where("n_nationkey = 3").select(F.col("n_nationkey").cast("string").alias("person_id"))
     return network.persons_within(credits, start, STEPS)
 
 
