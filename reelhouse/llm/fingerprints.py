@@ -5,8 +5,8 @@ sub-tables; a digest goes into one cell of each, and a cell keeps a count, the x
 and the xor of their checks. Sketches of two versions subtract cell by cell: what both hold
 cancels. Peeling takes a cell with a single digest, removes that digest everywhere, and goes on; if all
 cells empty, exactly the differing digests have been recovered. If not, the versions are sketched
-GROWTH times larger. The likeness of two versions is the share of common digests among all,
-from the recovered differences and the digest counts.
+GROWTH times larger. How large to begin is estimated from a sample of the digests. The likeness of two versions is the
+share of common digests among all, from the recovered differences and the digest counts.
 
 All of it happens within a row, on arrays that are sorted and run through once, so cost is a
 text's length times its logarithm, and nothing is shuffled.
@@ -30,8 +30,12 @@ PARAGRAPH = rf"\S++(?:[^\S\n]++\S++){{0,{PARAGRAPH_WORDS - 1}}}+"
 CELLS, GROWTH, RETRIES = 8, 4, 10
 #: Rounds of peeling; a sketch that is large enough empties in far fewer.
 ROUNDS = 60
+#: Digests are sampled by their highest bits, and a sub-table first has ROOM cells for each digest expected to differ:
+#: only cells that are not empty are held, and in a roomy sketch most digests are alone in one from the start.
+SAMPLE_BITS, ROOM = 2, 2
+MOST_CELLS = CELLS * GROWTH**RETRIES
 CELL = "struct<cell:int,count:int,key:bigint,proof:bigint>"
-DIGEST = "struct<digest:bigint,sign:int>"
+DIGEST = "struct<digest:bigint,sign:int,proof:bigint>"
 
 
 def let(value: Column, body) -> Column:
@@ -56,7 +60,7 @@ def _entries(found: Column, size: Column) -> Column:
                     (F.pmod(F.shiftrightunsigned(digest, 21 * table), size) + size * table).cast("int").alias("cell"),
                     each["sign"].alias("count"),
                     digest.alias("key"),
-                    F.xxhash64(digest).alias("proof"),
+                    each["proof"].alias("proof"),
                 )
                 for table in range(3)
             )
@@ -114,7 +118,16 @@ def _place(numbered: Column) -> Column:
 
 
 def _signed(found: Column, sign: int) -> Column:
-    return F.transform(found, lambda digest: F.struct(digest.alias("digest"), F.lit(sign).alias("sign")))
+    return F.transform(
+        found, lambda digest: F.struct(digest.alias("digest"), F.lit(sign).alias("sign"), F.xxhash64(digest).alias("proof"))
+    )
+
+
+def _alone(cells: Column, sign: int) -> Column:
+    """The digests of one sign that are alone in a cell, once for each such cell."""
+    return F.transform(
+        F.filter(cells, lambda cell: (cell["count"] == sign) & (cell["proof"] == F.xxhash64(cell["key"]))), lambda cell: cell["key"]
+    )
 
 
 def sketch(found: Column, size: Column | None = None) -> Column:
@@ -149,7 +162,9 @@ def peel(difference: Column, size: Column) -> Column:
     )
 
     def remove(so_far: Column, single: Column) -> Column:
-        opposite = F.transform(single, lambda each: F.struct(each["digest"].alias("digest"), (-each["sign"]).alias("sign")))
+        opposite = F.transform(
+            single, lambda each: F.struct(each["digest"].alias("digest"), (-each["sign"]).alias("sign"), each["proof"].alias("proof"))
+        )
         return let(
             let(F.concat(so_far["cells"], _entries(opposite, size)), _merged),
             lambda left: F.struct(
@@ -158,12 +173,8 @@ def peel(difference: Column, size: Column) -> Column:
         )
 
     def one_round(so_far: Column, _: Column) -> Column:
-        alone = F.filter(
-            so_far["cells"], lambda cell: (F.abs(cell["count"]) == 1) & (cell["proof"] == F.xxhash64(cell["key"]))
-        )
-        single = F.array_distinct(
-            F.transform(alone, lambda cell: F.struct(cell["key"].alias("digest"), cell["count"].alias("sign")))
-        )
+        # as plain numbers: those are told apart by hashing, structs by comparing all
+        single = F.concat(*(_signed(F.array_distinct(_alone(so_far["cells"], sign)), sign) for sign in (1, -1)))
         stuck = F.struct(so_far["cells"].alias("cells"), so_far["found"].alias("found"), F.lit(True).alias("stuck"))
         return F.when(so_far["stuck"], so_far).otherwise(
             let(single, lambda peeled: F.when(F.size(peeled) == 0, stuck).otherwise(remove(so_far, peeled)))
@@ -172,29 +183,51 @@ def peel(difference: Column, size: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, one_round)
 
 
+def estimated(left: Column, right: Column) -> Column:
+    """About how many digests two sets differ in, from those whose SAMPLE_BITS highest bits are zero."""
+
+    def sample(found: Column) -> Column:
+        return F.filter(found, lambda digest: F.shiftrightunsigned(digest, 64 - SAMPLE_BITS) == 0)
+
+    def apart(some: Column, others: Column) -> Column:
+        return F.size(F.array_except(some, others)) + F.size(F.array_except(others, some))
+
+    sampled = let(sample(left), lambda some: let(sample(right), lambda others: apart(some, others)))
+    return F.greatest(F.abs(F.size(left) - F.size(right)), sampled * 2**SAMPLE_BITS)
+
+
 def differing(left: Column, right: Column, left_sketch: Column, right_sketch: Column) -> Column:
     """The signed digests in which two sets differ, recovered from their sketches.
 
-    The given sketches are of the stored size. If they are too small for the difference, larger ones are made
-    from the sets. The last resort after all retries is the sets themselves.
+    The given sketches are of the stored size, and are used if they have room for the estimated difference. If not, or if they
+    turn out too small, larger ones are made from the sets. The last resort after all retries is the sets themselves.
     """
-    def larger(so_far: Column, retry: Column) -> Column:
-        size = (F.lit(CELLS) * F.pow(F.lit(GROWTH), retry)).cast("int")
-        return F.when(F.size(so_far["cells"]) == 0, so_far).otherwise(
-            let(size, lambda cells: peel(_difference(left, right, cells), cells))
+
+    def tried(size: Column) -> Column:
+        return F.when(size == CELLS, peel(subtract(left_sketch, right_sketch), F.lit(CELLS))).otherwise(
+            peel(_difference(left, right, size), size)
+        )
+
+    def climb(first: Column) -> Column:
+        def larger(so_far: Column, retry: Column) -> Column:
+            size = F.least(first * F.pow(F.lit(GROWTH), retry), F.lit(MOST_CELLS)).cast("int")
+            return F.when(F.size(so_far["cells"]) == 0, so_far).otherwise(
+                let(size, lambda cells: peel(_difference(left, right, cells), cells))
+            )
+
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(RETRIES)),
+            tried(first),
+            larger,
+            lambda last: F.when(F.size(last["cells"]) == 0, last["found"]).otherwise(exact),
         )
 
     exact = F.concat(_signed(F.array_except(left, right), 1), _signed(F.array_except(right, left), -1))
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(RETRIES)),
-        peel(subtract(left_sketch, right_sketch), F.lit(CELLS)),
-        larger,
-        lambda last: F.when(F.size(last["cells"]) == 0, last["found"]).otherwise(exact),
-    )
+    return let(F.least(F.greatest(F.lit(CELLS), ROOM * estimated(left, right)), F.lit(MOST_CELLS)).cast("int"), climb)
 
 
 def likeness(left: Column, right: Column, difference: Column) -> Column:
-    """Common digests among all digests, from 0 to 1."""
+    """Common digests among all digests, from 0 to 1. The difference is named twice: give a column that holds it."""
     both, apart = F.size(left) + F.size(right), F.size(difference)
     return F.when(both == 0, F.lit(1.0)).otherwise((both - apart).cast("double") / (both + apart))
 
@@ -218,13 +251,11 @@ def fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def compare(df: DataFrame, left: str, right: str, into: str) -> DataFrame:
     """Adds `into`: (near, removed, added) between two columns of digests, removed and added being digests."""
-    difference = differing(F.col(left), F.col(right), sketch(F.col(left)), sketch(F.col(right)))
-    described = let(
-        difference,
-        lambda found: F.struct(
-            likeness(F.col(left), F.col(right), found).alias("near"),
-            F.transform(F.filter(found, lambda each: each["sign"] == 1), lambda each: each["digest"]).alias("removed"),
-            F.transform(F.filter(found, lambda each: each["sign"] == -1), lambda each: each["digest"]).alias("added"),
-        ),
+    found = F.col("_difference")
+    described = F.struct(
+        likeness(F.col(left), F.col(right), found).alias("near"),
+        F.transform(F.filter(found, lambda each: each["sign"] == 1), lambda each: each["digest"]).alias("removed"),
+        F.transform(F.filter(found, lambda each: each["sign"] == -1), lambda each: each["digest"]).alias("added"),
     )
-    return df.withColumn(into, described)
+    difference = differing(F.col(left), F.col(right), sketch(F.col(left)), sketch(F.col(right)))
+    return df.withColumn("_difference", difference).withColumn(into, described).drop("_difference")

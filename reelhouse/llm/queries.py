@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelhouse.llm import (
@@ -21,7 +23,7 @@ from reelhouse.llm import (
     sharding,
     url_lists,
 )
-from reelhouse.llm.common import checkpointed, id_and_text, parts_for, small_batches, table
+from reelhouse.llm.common import checkpointed, parts_for, small_batches, table
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,56 +113,94 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(small_batches(spark), sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-def following(ids: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, next_id) by descending doc_id; the first document follows the last.
+#: What names a row: its id (whether it is missing, and its complement, which orders downwards), its place in its file and its text.
+#: Rows that agree in all of it are numbered as copies; they are alike, so it does not matter which is which.
+ROW = ["absent", "turned", "at", "text_hash"]
+
+
+def named_rows(documents: DataFrame) -> DataFrame:
+    """(ROW, text) of a table that is read from files; a null text is an empty one."""
+    text = F.coalesce("text", F.lit(""))
+    return documents.select(
+        F.col("doc_id").isNull().cast("int").alias("absent"),
+        F.bitwise_not(F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))).alias("turned"),
+        F.col("_metadata.row_index").alias("at"),
+        F.xxhash64(text).alias("text_hash"),
+        text.alias("text"),
+    )
+
+
+def copy_number() -> Column:
+    return F.row_number().over(Window.partitionBy(*ROW).orderBy(F.lit(1))).alias("copy")
+
+
+def following(rows: DataFrame) -> DataFrame:
+    """(ROW, copy, n_chars, following): the row after each by descending doc_id; the first follows the last.
 
-    Ranges of ids are dealt to partitions; within one, the next id is looked up by a window, and only
-    the ranges' ends, a row per partition, are ordered all together.
+    Ids may be missing or repeated: rows without id come last, and rows of one id follow each other. Ranges of this order are dealt
+    to partitions, which splits an id of many rows; within one, the next row is looked up by a window, and only the
+    ranges' first rows, one per partition, are ordered all together.
     """
-    ranged = checkpointed(ids.repartitionByRange(parts_for(ids), "doc_id").withColumn("part", F.spark_partition_id()))
-    ends = ranged.groupBy("part").agg(F.max("doc_id").alias("highest"))
-    below = ends.select(
+    order = [*ROW, "copy"]
+    ranged = checkpointed(
+        rows.select(*ROW, "n_chars", copy_number())
+        .repartitionByRange(parts_for(rows), *order)
+        .withColumn("part", F.spark_partition_id())
+    )
+    firsts = ranged.groupBy("part").agg(F.min(F.struct(*order)).alias("first"))
+    by_part = Window.orderBy("part")
+    after = firsts.select(
         "part",
         F.coalesce(
-            F.lag("highest").over(Window.orderBy("part")),
-            F.max("highest").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        ).alias("below"),
-    )
-    in_part = Window.partitionBy("part").orderBy(F.desc("doc_id"))
-    return (
-        ranged.withColumn("next_id", F.lead("doc_id").over(in_part))
-        .join(below, "part")
-        .select("doc_id", "n_chars", F.coalesce("next_id", "below").alias("next_id"))
+            F.lead("first").over(by_part),
+            F.min("first").over(by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        ).alias("after"),
     )
+    here = F.lead(F.struct(*order)).over(Window.partitionBy("part").orderBy(*order))
+    return ranged.withColumn("here", here).join(after, "part").select(*order, "n_chars", F.coalesce("here", "after").alias("following"))
+
+
+def same_row(left: DataFrame, right: DataFrame) -> Column:
+    """Rows are shuffled by name, and copies told apart where they meet."""
+    names = reduce(lambda so_far, name: so_far & (left[name] == right[f"_{name}"]), ROW, F.lit(True))
+    return names & (left["copy"] - right["_copy"] == 0)
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each text against its edited version and against the next text.
+    """Each text against its edited version and against the next text: one result for every row, whatever its id.
 
-    Texts are shuffled once, by id. There a document learns which one it follows and how long that is, and
-    sends it the beginning that replaces its end, and its own digests.
+    A null text is an empty one. Rows without id come after all others, and rows of one id follow each other. An empty table
+    gives no rows.
+
+    Texts are shuffled once, with their digests, by the name of their row. There a row learns which one it follows and how long
+    that is, and sends it the beginning that replaces its end, and its own digests.
     """
-    documents = id_and_text(table(spark, sf_dir, "documents"), "doc_id", "text")
-    numbered = documents.select("doc_id", F.char_length("text").cast("long").alias("n_chars"))
-    # spread by id whatever the files are, and joined there: broadcasts, which Spark picks for small inputs, made
+    documents = named_rows(table(spark, sf_dir, "documents"))
+    numbered = documents.select(*ROW, F.char_length("text").cast("long").alias("n_chars"))
+    # spread by row whatever the files are, and joined there: broadcasts, which Spark picks for small inputs, made
     # the query 2.7 times slower on 10,000 documents
-    texts = documents.repartition(parts_for(documents), "doc_id")
-    asked = following(numbered).select(F.col("doc_id").alias("to_id"), F.col("next_id").alias("doc_id"), "n_chars")
-    sent = texts.join(asked.hint("merge"), "doc_id").select(
-        F.col("to_id").alias("doc_id"),
+    own = fingerprints.digests(F.col("text")).alias("own")
+    shuffled = documents.select(*ROW, "text", own).repartition(parts_for(documents), *ROW)
+    texts = shuffled.select("*", copy_number())
+    names = [*ROW, "copy"]
+    asked = following(numbered).select(
+        *(F.col(f"following.{name}").alias(f"_{name}") for name in names), *(F.col(name).alias(f"to_{name}") for name in names), "n_chars"
+    ).hint("merge")
+    sent = texts.join(asked, same_row(texts, asked)).select(
+        *(F.col(f"to_{name}").alias(f"_{name}") for name in names),
         "n_chars",
         F.substring(F.col("text"), F.lit(1), F.floor(F.col("n_chars") / 2).cast("int")).alias("end"),
-        fingerprints.digests(F.col("text")).alias("of_next"),
-    )
+        F.col("own").alias("of_next"),
+    ).hint("merge")
     kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int"))
     found = (
-        texts.join(sent.hint("merge"), "doc_id")
+        texts.join(sent, same_row(texts, sent))
         .withColumn("edited", F.concat(kept, F.col("end")))
         .select(
-            "doc_id",
+            F.when(F.col("absent") == 0, F.bitwise_not("turned")).alias("doc_id"),
             "n_chars",
             F.sha2("edited", 256).alias("edited_sha256"),
-            fingerprints.digests(F.col("text")).alias("own"),
+            "own",
             fingerprints.digests(F.col("edited")).alias("of_edited"),
             "of_next",
         )
@@ -168,11 +208,13 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     for version in ("own", "of_edited", "of_next"):
         found = found.withColumn(f"{version}_sketch", fingerprints.sketch(F.col(version)))
 
+    # as columns of their own: an expression that is named twice would be worked out twice
+    for other in ("of_edited", "of_next"):
+        difference = fingerprints.differing(F.col("own"), F.col(other), F.col("own_sketch"), F.col(f"{other}_sketch"))
+        found = found.withColumn(f"{other}_difference", difference)
+
     def near(other: str):
-        columns = (F.col("own"), F.col(other))
-        return fingerprints.likeness(
-            *columns, fingerprints.differing(*columns, F.col("own_sketch"), F.col(f"{other}_sketch"))
-        )
+        return fingerprints.likeness(F.col("own"), F.col(other), F.col(f"{other}_difference"))
 
     return found.select(
         "doc_id",

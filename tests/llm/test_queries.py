@@ -186,3 +186,33 @@ def test_entry_works_without_the_subpackage(tmp_path):
     code = "import __spark_entry__ as e; print(sorted(n for n in e.queries() if n[:2] == 'op' or n == 'pipeline'), len(e.queries()) > 30)"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.stdout.strip() == "[] True", done.stderr
+
+
+def test_fingerprints_of_rows_without_or_with_the_same_id(spark, folder):
+    """One result for each row: those without id last, those of one id after each other."""
+    cases = {
+        "missing": [(1, "a\nb\nc d"), (None, "b\nc\nx y"), (3, "q")],
+        "repeated": [(5, "a\nb"), (5, "a\nb"), (5, "c\nd"), (5, None), (7, "z\ny")],
+        "hot": [(None if number % 3 else number, f"line {number}\nshared") for number in range(60)],
+        "one": [(1, "only\ntext")],
+        "twice": [(3, "a\nb"), (2, "b\nc"), (None, "x y")],
+        "empty": [],
+    }
+    for name, rows in cases.items():
+        path = f"{folder}/{name}"
+        frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        frame.write.parquet(f"{path}/documents.parquet")
+        if name == "twice":  # the same file again: all rows have copies
+            frame.write.mode("append").parquet(f"{path}/documents.parquet")
+            rows = [row for row in rows for _ in range(2)]
+        found = queries.op9_fingerprints(spark, path).collect()
+        order = sorted(rows, key=lambda row: (row[0] is None, -(row[0] or 0)))  # as written among equal ids
+        wanted = []
+        for place, (number, text) in enumerate(order):
+            text, following = text or "", order[(place + 1) % len(order)][1] or ""
+            half = len(text) // 2
+            edited = text[: len(text) - half] + following[:half]
+            wanted.append((number, len(text), sha(edited), round(likeness(text, edited), 9), round(likeness(text, following), 9)))
+        columns = ("doc_id", "n_chars", "edited_sha256")
+        shown = [(*(row[each] for each in columns), round(row["near_edited"], 9), round(row["near_next"], 9)) for row in found]
+        assert sorted(shown, key=repr) == sorted(wanted, key=repr), name
