@@ -4,12 +4,17 @@ A tree builder with HTML's implied tags keeps a stack of open elements; visibili
 which of them show; a layout pass emits all visible text with block spacing, list
 markers and indents, preformatted text as it is, and table cells aligned in columns.
 
+Of a page's style sheets, rules for `display` and `visibility` hold whose selectors name an element by tag, classes and id; they
+cascade by importance, specificity and order, with the element's own style above them. Selectors that look at other
+elements, attributes or states are not applied, nor are media other than the screen.
+
 Defined results: a null or empty page has empty text, one without tags is its own text with white
 space collapsed. An unfinished tag at the end of a page shows nothing, as in browsers. Of SVG, the texts are
 shown, each apart from the others, but not what is only defined or described; of MathML, all but annotations and phantoms,
 with the parts of fractions and the like apart. Rows are independent, so repeated rows give repeated results and an empty table none. Other columns are ignored.
-Time and memory are linear in a page's length: elements nested deeper than MAX_DEPTH are
-read but not stacked (their text is kept), and a column is padded to PAD_WIDTH at most.
+Time and memory are linear in a page's length, however deep its elements are nested: the places of open elements are kept by
+tag, lists are indented by MAX_INDENT at most, tables that are nested deeper than MAX_TABLES put each cell on a line of its own
+instead of in a grid, and a column is aligned as long as its padding is no more than PADDING times its text, else to PAD_WIDTH.
 """
 
 from __future__ import annotations
@@ -21,9 +26,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-MAX_DEPTH = 512
-PAD_WIDTH = 48
-MAX_SPAN = 1000
+PAD_WIDTH, PADDING = 48, 8
+MAX_INDENT, MAX_TABLES = 240, 32
 
 TAG = re.compile(
     r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])))*+)>"""
@@ -31,10 +35,20 @@ TAG = re.compile(
 MARKUP = re.compile(r"<(?=[A-Za-z/!?])")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 COMMENT_END = re.compile(r"--!?>")
-HIDING_STYLE = re.compile(r"display\s*:\s*none", re.I)
-VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+DECLARATION = re.compile(r"(?<![\w-])(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+#: A selector of one element; each part of it.
+SIMPLE = re.compile(r"\*|(?:[\w-]+)?(?:[.#][\w-]+)*")
+PART = re.compile(r"([.#]?)([\w-]+)")
+SCREEN = re.compile(r"\s*(?:|(?:only\s+)?(?:all|screen))\s*", re.I)
+#: What a style sheet cannot be in, and the style elements themselves.
+UNREAD = re.compile(
+    r"<!--.*?(?:--!?>|\Z)|<(script|style|textarea|title|xmp|iframe|noembed|noframes|noscript|template|plaintext)(?=[\s/>])([^>]*)>(.*?)(?:</\1(?=[\s/>])|\Z)",
+    re.S | re.I,
+)
 
 # Fixed values of the HTML standard, by their part in the rules below.
+LARGEST_SPAN = {"colspan": 1000, "rowspan": 65534}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
 RAW_ESCAPABLE = frozenset("textarea title".split())
@@ -144,11 +158,11 @@ class Flow:
             self.lines.append("")
         self.wanted = 0
         if self.marker:
-            self.inline.append(" " * max(0, self.indent - len(self.marker)) + self.marker)
+            self.inline.append(" " * max(0, min(self.indent, MAX_INDENT) - len(self.marker)) + self.marker)
             self.marker = ""
             self.space = False
         elif self.indent:
-            self.inline.append(" " * self.indent)
+            self.inline.append(" " * min(self.indent, MAX_INDENT))
             self.space = False
 
     def _end_line(self) -> None:
@@ -197,14 +211,18 @@ class Grid:
         self.covered = {column: left - 1 for column, left in self.covered.items() if left > 1}
 
     def lines(self) -> Iterator[str]:
-        widths: dict[int, int] = {}
+        longest: dict[int, int] = {}
+        held: dict[int, int] = {}
         for row in self.rows:
             for column, cell in enumerate(row):
                 for line in cell:
-                    if len(line) <= PAD_WIDTH:
-                        widths[column] = max(widths.get(column, 0), len(line))
-                    else:
-                        widths[column] = PAD_WIDTH
+                    longest[column] = max(longest.get(column, 0), len(line))
+                    held[column] = held.get(column, 0) + len(line)
+        # a long line among many short ones is not worth padding them all
+        widths = {
+            column: width if width * len(self.rows) <= PADDING * held[column] + PAD_WIDTH * len(self.rows) else PAD_WIDTH
+            for column, width in longest.items()
+        }
         shown = [column for column in sorted(widths) if widths[column]]
         for row in self.rows:
             for number in range(max((len(cell) for cell in row), default=0)):
@@ -217,6 +235,95 @@ class Grid:
                 yield " | ".join(part.ljust(widths[column]) for part, column in zip(parts, shown)).rstrip(" ")
 
 
+class Styles:
+    """The rules of a page's style sheets that decide whether elements show."""
+
+    def __init__(self, html: str) -> None:
+        #: (kind, name) of one part of a selector -> (specificity, order, all parts, declarations) of its rules
+        self.rules: dict[tuple[str, str], list[tuple]] = {}
+        self.order = 0
+        if "<style" in html or "<STYLE" in html or "<Style" in html:
+            for found in UNREAD.finditer(html):
+                if found[1] and found[1].lower() == "style" and SCREEN.fullmatch(_attributes(found[2]).get("media", "")):
+                    self._read(CSS_COMMENT.sub(" ", found[3]))
+
+    def _read(self, sheet: str) -> None:
+        at = 0
+        while (brace := sheet.find("{", at)) >= 0:
+            # what a block around it, or a statement before it, has left over goes
+            selectors = sheet[at:brace].rpartition(";")[2].strip("} \t\r\n\f")
+            if selectors.startswith("@"):
+                if re.match(r"@media\b", selectors, re.I) and any(SCREEN.fullmatch(each) for each in selectors[6:].split(",")):
+                    at = brace + 1  # its rules are read as if they stood alone
+                else:
+                    at = _after_block(sheet, brace)
+                continue
+            end = sheet.find("}", brace)
+            end = len(sheet) if end < 0 else end
+            declared = _declared(sheet[brace + 1 : end])
+            if declared:
+                for selector in selectors.split(","):
+                    self._add(selector.strip(), declared)
+            at = end + 1
+
+    def _add(self, selector: str, declared: dict) -> None:
+        if not selector or not SIMPLE.fullmatch(selector):
+            return
+        # tags are compared in lower case, classes and ids as they are
+        parts = frozenset((kind, name if kind else name.lower()) for kind, name in PART.findall(selector))
+        specificity = tuple(sum(kind == each for kind, _ in parts) for each in "#.") + (sum(not kind for kind, _ in parts),)
+        self.order += 1
+        key = max(parts, key=lambda part: (part[0] == "#", part[0] == ".", part[1]), default=("", "*"))
+        self.rules.setdefault(key, []).append((specificity, self.order, parts, declared))
+
+    def of(self, name: str, values: dict[str, str]) -> dict[str, str]:
+        """The display and visibility of an element, as far as they are stated."""
+        stated: dict[str, tuple] = {}
+
+        def state(declared: dict, above: tuple) -> None:
+            for key, (value, important) in declared.items():
+                rank = (important, *above)
+                if key not in stated or rank >= stated[key][0]:
+                    stated[key] = (rank, value)
+
+        if self.rules:
+            own = {("", name), ("", "*"), *((".", each) for each in values.get("class", "").split()), ("#", values.get("id", ""))}
+            for key in own:
+                for specificity, order, parts, declared in self.rules.get(key, ()):
+                    if parts <= own:
+                        state(declared, (0, specificity, order))
+        if style := values.get("style"):
+            state(_declared(CSS_COMMENT.sub(" ", style)), (1, (0, 0, 0), 0))
+        return {key: value for key, (_, value) in stated.items()}
+
+
+def _after_block(sheet: str, brace: int) -> int:
+    """The place after a block and all blocks in it."""
+    depth = 0
+    for found in re.compile(r"[{}]").finditer(sheet, brace):
+        depth += 1 if found[0] == "{" else -1
+        if not depth:
+            return found.end()
+    return len(sheet)
+
+
+def _declared(block: str) -> dict[str, tuple[str, bool]]:
+    """display and visibility of a block; of several the last counts, important ones before others."""
+    found: dict[str, tuple[str, bool]] = {}
+    for key, value, important in DECLARATION.findall(block):
+        if bool(important) or not found.get(key.lower(), ("", False))[1]:
+            found[key.lower()] = (value.lower(), bool(important))
+    return found
+
+
+def _attributes(text: str) -> dict[str, str]:
+    values: dict[str, str] = {}
+    if text and not text.isspace():
+        for key, double, single, bare in ATTRIBUTE.findall(text):
+            values.setdefault(key.lower(), unescape(double or single or bare))
+    return values
+
+
 class Element:
     __slots__ = ("tag", "shown", "seen", "pre", "flow", "grid", "span", "number", "foreign", "html", "drawn", "apart")
 
@@ -232,8 +339,12 @@ class Page:
 
     def __init__(self) -> None:
         self.stack = [Element("#root", True, True, False, Flow(), None)]
+        #: tag -> places of its open elements in the stack
+        self.open: dict[str, list[int]] = {}
+        self.styles = Styles("")
 
     def render(self, html: str) -> str:
+        self.styles = Styles(html)
         at, end = 0, len(html)
         while at < end:
             found = MARKUP.search(html, at)
@@ -300,14 +411,18 @@ class Page:
         else:
             top.flow.text(data)
 
+    def _innermost(self, tags: frozenset) -> int:
+        """Place of the innermost open element of some tags; 0 if there is none."""
+        return max((self.open[tag][-1] for tag in tags if self.open.get(tag)), default=0)
+
     def _within(self, wanted: frozenset, barriers: frozenset) -> int:
         """Place of the innermost wanted element that no barrier hides; 0 if there is none."""
-        for place in range(len(self.stack) - 1, 0, -1):
-            if self.stack[place].tag in wanted:
-                return place
-            if self.stack[place].tag in barriers:
-                return 0
-        return 0
+        place = self._innermost(wanted)
+        return place if place and place >= self._innermost(barriers) else 0
+
+    def _enter(self, element: Element) -> None:
+        self.open.setdefault(element.tag, []).append(len(self.stack))
+        self.stack.append(element)
 
     def _close_to(self, place: int) -> None:
         while len(self.stack) > place:
@@ -351,25 +466,21 @@ class Page:
 
     def _push_foreign(self, name: str, attributes: str, foreign: str) -> None:
         """An element of SVG or MathML; unlike those of HTML, it may close itself."""
-        if len(self.stack) >= MAX_DEPTH:
-            return
         top = self.stack[-1]
         values, at = {}, 0
         for found in ATTRIBUTE.finditer(attributes):
-            values.setdefault(found[1].lower(), found[2] or found[3] or found[4] or "")
+            values.setdefault(found[1].lower(), unescape(found[2] or found[3] or found[4] or ""))
             at = found.end()
-        style = values.get("style", "")
+        stated = self.styles.of(name, values)
+        if foreign == "svg":  # attributes that any style overrides
+            stated = {key: values[key].strip().lower() for key in ("display", "visibility") if key in values} | stated
         shown = (
             top.shown
             and name not in UNDRAWN[foreign]
-            and not HIDING_STYLE.search(style)
-            and not (foreign == "svg" and values.get("display", "").strip().lower() == "none")
+            and stated.get("display") != "none"
             and not (top.tag == "details" and top.number == 1)
         )
-        seen = top.seen
-        stated = f"visibility:{values.get('visibility', '')}" if foreign == "svg" else ""
-        if (visibility := VISIBILITY.search(style) or VISIBILITY.search(stated)) is not None:
-            seen = visibility[1].lower() == "visible"
+        seen = _seen(stated, top.seen)
         element = Element(name, shown, seen, top.pre, top.flow, None)
         element.foreign = foreign
         element.html = name in HTML_INSIDE[foreign] or (
@@ -385,7 +496,7 @@ class Page:
         elif top.tag in STACKED:
             element.apart = "space"
         self._set_apart(element)
-        self.stack.append(element)
+        self._enter(element)
         if attributes.endswith("/") and at < len(attributes):
             self._pop()
 
@@ -396,44 +507,37 @@ class Page:
             element.flow.space = True
 
     def _push(self, name: str, attributes: str) -> None:
-        if len(self.stack) >= MAX_DEPTH:
-            if name in BLOCK and self.stack[-1].shown:
-                self.stack[-1].flow.block(name in SPACED)
-            return
         top = self.stack[-1]
-        values = {}
-        if attributes and not attributes.isspace():
-            for key, double, single, bare in ATTRIBUTE.findall(attributes):
-                values.setdefault(key.lower(), double or single or bare)
-        style = values.get("style", "")
+        values = _attributes(attributes)
+        stated = self.styles.of(name, values)
         shown = (
             top.shown
             and name not in HIDDEN
-            and "hidden" not in values
-            and not HIDING_STYLE.search(style)
+            and not ("hidden" in values and "display" not in stated)
+            and stated.get("display") != "none"
             and not (name == "dialog" and "open" not in values)
             and not (top.tag == "details" and top.number == 1 and name != "summary")
         )
-        seen = top.seen
-        if (visibility := VISIBILITY.search(style)) is not None:
-            seen = visibility[1].lower() == "visible"
+        seen = _seen(stated, top.seen)
         element = Element(name, shown, seen, top.pre or name in ("pre", "listing", "xmp", "textarea"), top.flow, top.grid)
         if name == "details" and "open" not in values:
             element.number = 1
         if not shown:
-            self.stack.append(element)
+            self._enter(element)
             return
         if name in BLOCK and name not in ("tr", *GROUPS):
             top.flow.block(name in SPACED and not (name in LISTS and self._list_depth()))
         if name == "table":
-            element.grid = Grid()
+            element.grid = Grid() if len(self.open.get("table", ())) < MAX_TABLES else None
+        elif name in CELLS and top.grid is None and self.open.get("table"):
+            top.flow.block(blank=False)
         elif name == "tr" and top.grid is not None:
             top.grid.new_row()
         elif name in CELLS and top.grid is not None:
             element.flow = Flow()
             element.span = tuple(
-                min(max(int(values.get(key, "1")) if values.get(key, "1").isdecimal() else 1, 1), MAX_SPAN)
-                for key in ("colspan", "rowspan")
+                min(max(int(values.get(key, "1")[:9]) if values.get(key, "1")[:9].isdecimal() else 1, 1), most)
+                for key, most in LARGEST_SPAN.items()
             )
         elif name == "caption" and top.grid is not None:
             element.flow = Flow()
@@ -443,21 +547,22 @@ class Page:
                 begin = values.get("start", "1")
                 element.number = int(begin) - 1 if re.fullmatch(r"-?\d{1,9}", begin) else 0
         elif name == "li":
-            holder = next((e for e in reversed(self.stack) if e.tag in LISTS), None)
-            if holder is not None and holder.tag == "ol":
+            holder = self.stack[self._innermost(LISTS)]
+            if holder.tag == "ol":
                 holder.number += 1
                 element.flow.marker = f"{holder.number}. "
             else:
                 element.flow.marker = "- "
         elif name in ("dd", "blockquote"):
             element.flow.indent += 2
-        self.stack.append(element)
+        self._enter(element)
 
     def _list_depth(self) -> bool:
-        return any(element.tag in LISTS for element in self.stack)
+        return self._innermost(LISTS) > 0
 
     def _pop(self) -> None:
         element = self.stack.pop()
+        self.open[element.tag].pop()
         if not element.shown:
             return
         if element.foreign:
@@ -470,7 +575,9 @@ class Page:
             top.grid.end_row()
         elif name == "caption" and flow is not top.flow:
             top.grid.caption = flow.finish()
-        elif name == "table":
+        elif name in CELLS and element.grid is None and self.open.get("table"):
+            flow.block(blank=False)
+        elif name == "table" and element.grid is not None:
             flow.block(blank=True)
             for line in (*element.grid.caption, *element.grid.lines()):
                 flow.row(line)
@@ -506,6 +613,12 @@ class Page:
                 top.flow.block(blank=True)
 
 
+def _seen(stated: dict[str, str], inherited: bool) -> bool:
+    """Whether text shows by its visibility, which is inherited unless it is stated."""
+    visibility = stated.get("visibility")
+    return visibility == "visible" if visibility in ("hidden", "collapse", "visible") else inherited
+
+
 def html_to_text(html: str | None) -> str:
     return Page().render(html) if html else ""
 

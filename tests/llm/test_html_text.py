@@ -5,6 +5,7 @@ from html.parser import HTMLParser
 
 import pytest
 
+from reelhouse.llm import html_text
 from reelhouse.llm.html_text import extract_text, html_to_text
 
 
@@ -140,3 +141,76 @@ def test_null_repeated_and_empty_tables_with_clashing_columns(spark):
 )
 def test_svg_and_mathml_show_what_they_draw(html, text):
     assert html_to_text(html) == text
+
+
+@pytest.mark.parametrize(
+    "sheet, body, shown",
+    [
+        (".h{display:none}", "<p class=h>a<p>b", "b"),
+        ("p.h, #x { color: red; DISPLAY : None }", "<p class='big h'>a</p><div class=h>b</div><div id=x>c</div>", "b"),
+        ("p{display:none}", "<P>a<div>b</div>", "b"),
+        ("p{display:none} p.s{display:block}", "<p>a<p class=s>b", "b"),
+        ("p.s{display:block} p{display:none}", "<p>a<p class=s>b", "b"),  # the more special rule wins
+        (".a{display:none} .a{display:block}", "<p class=a>a", "a"),  # of equal ones the later
+        (".a{display:none !important} .a{display:block}", "<p class=a style='display:block'>a<p>b", "b"),
+        (".a{display:none}", "<p class=a style='display:block'>a", "a"),
+        ("* {visibility:hidden} b{visibility:visible}", "<p>a <b>b</b>", "b"),
+        ("@media print {p{display:none}} /* p{display:none} */", "<p>a", "a"),
+        ("@media screen, print {p{display:none} i{display:none}} u{display:none}", "<p>a</p><i>b</i><u>c</u>d", "d"),
+        ("@import 'x.css'; @font-face{font-family:x} p{display:none}", "<p>a</p>b", "b"),
+        ("@keyframes k { from {top:0} to {top:1px} } p{display:none}", "<p>a</p>b", "b"),
+        ("div p{display:none} p:hover{display:none} p[x]{display:none}", "<div><p x>a</p></div>", "a"),  # not applied
+        (".h{display:none", "<p class=h>a<p>b", "b"),
+        ("{display:none}.h{x-display:none;display:none-such}", "<p class=h>a", "a"),
+        (".H{display:none}", "<p class=h>a", "a"),
+        ("[hidden]{} p{display:block}", "<p hidden>a", "a"),  # any display overrides the attribute
+    ],
+)
+def test_rules_of_style_sheets(sheet, body, shown):
+    assert html_text.html_to_text(f"<head><style>{sheet}</style></head><body>{body}") == shown
+
+
+def test_sheets_that_do_not_count():
+    hide = "<style>p{display:none}</style>"
+    for page in (f"<!-- {hide} -->", f"<script>'{hide}</script>", f"<textarea hidden>{hide}</textarea>", hide.replace("<style", "<style media=print"),
+                 f"<template>{hide}</template>"):
+        assert html_text.html_to_text(f"{page}<p>a") == "a"
+    # a sheet counts for what stands before it, too
+    assert html_text.html_to_text(f"<p>a</p>b{hide}") == "b"
+
+
+def test_deep_pages_keep_visibility_and_cells_apart():
+    deep = "<div>" * 3000
+    assert html_text.html_to_text(f"{deep}<div hidden>a</div>b") == "b"
+    assert html_text.html_to_text(f"{deep}<table><tr><td>a<td>b</table>") == "a | b"
+    assert html_text.html_to_text("<b>" * 2000 + "<style>i{display:none}</style><i>a</i>b") == "b"
+    nested = "<table><tr><td>x</td><td>" * 100 + "y"
+    words = html_text.html_to_text(nested).replace("|", " ").split()
+    assert words == ["x"] * 100 + ["y"]
+    beyond = "<table><tr><td>" * (html_text.MAX_TABLES + 3) + "a<td>b"
+    assert html_text.html_to_text(beyond).split() == ["a", "b"]
+    assert html_text.html_to_text("<ul><li>" * 2000 + "x").count("x") == 1
+
+
+def test_time_is_linear_in_deep_pages():
+    def seconds(count):
+        page = "<div><ul><li>" * count + "word " + "<p>a<table><tr><td>b" * (count // 10) + "<title" * count
+        begin = time.perf_counter()
+        html_text.html_to_text(page)
+        return time.perf_counter() - begin
+
+    seconds(500)
+    assert seconds(16_000) < 40 * max(seconds(1000), 0.01)
+
+
+def test_long_cells_are_aligned_if_that_costs_little():
+    long, rows = "w" * 100, "".join(f"<tr><td>{'w' * 100}<td>{n}" for n in range(3))
+    assert html_text.html_to_text(f"<table>{rows}<tr><td>short<td>x</table>").split("\n")[-1] == "short" + " " * 95 + " | x"
+    page = f"<table><tr><td>{long * 50}<td>a" + "<tr><td>s<td>b" * 500 + "</table>"
+    assert html_text.html_to_text(page).split("\n")[-1] == "s" + " " * 47 + " | b"
+
+
+def test_spans_as_large_as_the_standard_allows():
+    page = "<table><tr><td rowspan=1500>a<td>0" + "".join(f"<tr><td>{n}" for n in range(1, 1600)) + "</table>"
+    lines = html_text.html_to_text(page).split("\n")
+    assert lines[0] == "a    | 0" and lines[1499] == "     | 1499" and lines[1500] == "1500"
