@@ -18,7 +18,7 @@ from reelhouse.llm.secret_scan import (
 
 URL_FILTER = """
 WITH captures AS (
-    SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS fetched_on,
+    SELECT page_id, url, TIMESTAMP '2024-01-01' + to_minutes(CAST(page_id % 366 * 1440 + page_id % 1440 AS INTEGER)) AS fetched_on,
            nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') AS host,
            lower(regexp_extract(url, '^[^:/?#]+://[^/?#]*(/[^?#]*)?', 1)) AS path
     FROM pages
@@ -29,14 +29,14 @@ WITH captures AS (
            CAST('0x' || substr(md5(parent), 1, 6) AS INTEGER) AS p
     FROM hosts
 ), entries AS (
-    SELECT host AS rule, n % 200 AS day, 2 AS strength FROM numbered WHERE n % 3 = 0
-    UNION ALL SELECT host, n % 200 + 60, 0 FROM numbered WHERE n % 3 = 0
-    UNION ALL SELECT host || '/en', n % 200, 2 FROM numbered WHERE n % 3 = 1
-    UNION ALL SELECT host || '/en', n % 200 + 90, 1 FROM numbered WHERE n % 3 = 1
-    UNION ALL SELECT parent, p % 300, 2 FROM numbered WHERE n % 3 = 2
-    UNION ALL SELECT parent, p % 300 + 30, 0 FROM numbered WHERE n % 3 = 2
+    SELECT host AS rule, n % 200 * 1440 + n % 1440 AS minute, 2 AS strength FROM numbered WHERE n % 3 = 0
+    UNION ALL SELECT host, (n % 200 + 60) * 1440 + n % 1440, 0 FROM numbered WHERE n % 3 = 0
+    UNION ALL SELECT host || '/en', n % 200 * 1440 + n % 1440, 2 FROM numbered WHERE n % 3 = 1
+    UNION ALL SELECT host || '/en', (n % 200 + 90) * 1440 + n % 1440, 1 FROM numbered WHERE n % 3 = 1
+    UNION ALL SELECT parent, p % 300 * 1440 + p % 1440, 2 FROM numbered WHERE n % 3 = 2
+    UNION ALL SELECT parent, (p % 300 + 30) * 1440 + p % 1440, 0 FROM numbered WHERE n % 3 = 2
 ), daily AS (
-    SELECT rule, DATE '2024-01-01' + CAST(day AS INTEGER) AS since, max(strength) AS strength FROM entries GROUP BY ALL
+    SELECT rule, TIMESTAMP '2024-01-01' + to_minutes(CAST(minute AS INTEGER)) AS since, max(strength) AS strength FROM entries GROUP BY ALL
 ), valid AS (
     SELECT *, lead(since) OVER (PARTITION BY rule ORDER BY since) AS until FROM daily
 ), parts AS (
@@ -55,7 +55,7 @@ WITH captures AS (
     JOIN valid v ON v.rule = c.rule AND v.strength > 0 AND v.since <= fetched_on AND (v.until IS NULL OR fetched_on < v.until)
     GROUP BY c.page_id
 )
-SELECT page_id, url, fetched_on, rule,
+SELECT page_id, url, strftime(fetched_on, '%Y-%m-%d %H:%M') AS fetched_on, rule,
        CASE strength WHEN 2 THEN 'block' WHEN 1 THEN 'allow' END AS action, coalesce(strength, 0) <> 2 AS kept
 FROM captures LEFT JOIN best USING (page_id)
 """

@@ -38,10 +38,14 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def at_minute(minutes: Column) -> Column:
+    return F.timestamp_seconds(F.lit(1704067200) + minutes * 60)  # from 2024-01-01 on
+
+
 def dated_captures(pages: DataFrame) -> DataFrame:
-    """Pages with a fetch day, spread over 2024 by id."""
+    """Pages with a fetch time, spread over 2024 and the day by id."""
     return pages.select(
-        "page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(366)).cast("int")).alias("fetched_on")
+        "page_id", "url", at_minute(F.pmod("page_id", F.lit(366)) * 1440 + F.pmod("page_id", F.lit(1440))).alias("fetched_on")
     )
 
 
@@ -49,35 +53,32 @@ def dated_entries(pages: DataFrame) -> DataFrame:
     """A list history for every host of the pages, derived from the host's digest.
 
     A third of the hosts is blocked for a while, a third has its /en pages blocked and later
-    allowed, and the parent domain of the rest is blocked for a month, as from its own digest.
+    allowed, and the parent domain of the rest is blocked for a month, as from its own digest. Times of day come from the digest too.
     """
     hosts = pages.select(url_lists.url_host(F.col("url")).alias("host")).dropna().distinct()
 
     def number(text):
         return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("int")
 
-    def entry(rule, day, action):
-        return F.struct(
-            rule.alias("rule"),
-            F.date_add(F.lit("2024-01-01").cast("date"), day).alias("day"),
-            F.lit(action).alias("action"),
-        )
+    def entry(rule, day, of, action):
+        return F.struct(rule.alias("rule"), at_minute(day * 1440 + of % 1440).alias("day"), F.lit(action).alias("action"))
 
     host = F.col("host")
     parent = F.regexp_replace(host, r"^[^.]*\.", "")
     path = F.concat(host, F.lit("/en"))
-    kind, first, of_parent = number(host) % 3, number(host) % 200, number(parent) % 300
+    n, p = number(host), number(parent)
     entries = (
-        F.when(kind == 0, F.array(entry(host, first, "block"), entry(host, first + 60, "drop")))
-        .when(kind == 1, F.array(entry(path, first, "block"), entry(path, first + 90, "allow")))
-        .otherwise(F.array(entry(parent, of_parent, "block"), entry(parent, of_parent + 30, "drop")))
+        F.when(n % 3 == 0, F.array(entry(host, n % 200, n, "block"), entry(host, n % 200 + 60, n, "drop")))
+        .when(n % 3 == 1, F.array(entry(path, n % 200, n, "block"), entry(path, n % 200 + 90, n, "allow")))
+        .otherwise(F.array(entry(parent, p % 300, p, "block"), entry(parent, p % 300 + 30, p, "drop")))
     )
     return hosts.select(F.inline(entries))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return url_lists.filter_urls(dated_captures(pages), dated_entries(pages))
+    judged = url_lists.filter_urls(dated_captures(pages), dated_entries(pages))
+    return judged.withColumn("fetched_on", F.date_format("fetched_on", "yyyy-MM-dd HH:mm"))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,6 +76,8 @@ def test_random_histories(spark):
         ("https://h.org?q=a/b", "h.org", "/"),
         ("no scheme", None, "/"),
         ("http:///path", None, "/path"),
+        ("http://[::1]:80/a", "[::1]", "/a"),
+        ("http://u@[FE80::A]/", "[fe80::a]", "/"),
         (None, None, None),
     ],
 )
@@ -104,6 +106,38 @@ def test_empty_tables_and_clashing_columns(spark):
 def test_intervals_are_disjoint(spark):
     entries = [("r", day(1), "block"), ("r", day(3), "allow"), ("r", day(7), "drop"), ("r", day(9), "block"), ("R", day(9), "allow")]
     rows = url_lists.intervals(spark.createDataFrame(entries, ENTRIES)).orderBy("since").collect()
-    assert [(row["action"], row["since"], row["until"]) for row in rows] == [
+    assert [(row["action"], row["since"].date(), row["until"].date()) for row in rows] == [
         ("block", day(1), day(3)), ("allow", day(3), day(7)), ("block", day(9), dt.date(9999, 12, 31)),
     ]
+
+
+TIMED, TIMED_ENTRIES = "page_id long, url string, fetched_on timestamp", "rule string, day timestamp, action string"
+
+
+def moment(number, hour=0, minute=0):
+    return dt.datetime(2024, 1, 1, hour, minute) + dt.timedelta(days=number)
+
+
+def test_entries_count_from_their_own_time_on(spark):
+    """A capture at nine is not judged by an entry of three in the afternoon of that day."""
+    entries = [("a.com", moment(3, 15), "block"), ("a.com", moment(4, 8, 30), "drop"), ("[::1]", moment(0), "block")]
+    times = [(moment(3, 9), True), (moment(3, 15), False), (moment(3, 14, 59), True), (moment(4, 8, 29), False), (moment(4, 8, 30), True)]
+    captures = [(number, "http://a.com/x", time) for number, (time, _) in enumerate(times)] + [(99, "http://[::1]:80/", moment(1))]
+    found = url_lists.filter_urls(spark.createDataFrame(captures, TIMED), spark.createDataFrame(entries, TIMED_ENTRIES)).collect()
+    assert {row["page_id"]: row["kept"] for row in found} == {number: kept for number, (_, kept) in enumerate(times)} | {99: False}
+    assert {row["fetched_on"] for row in found} == {time for *_, time in captures}
+
+
+def test_a_rule_of_most_captures_lies_in_many_partitions(spark):
+    """Questions take intervals that began in an earlier partition; all equals brute force."""
+    source = random.Random(9)
+    captures = [(number, f"http://{'hot' if number % 3 else f'h{number % 50}'}.com/", moment(number % 300, number % 24)) for number in range(3000)]
+    entries = [("hot.com", moment(day, 12), source.choice(["block", "allow", "drop"])) for day in range(0, 300, 40)]
+    entries += [(f"h{number}.com", moment(source.randrange(300), 5), "block") for number in range(0, 50, 3)]
+    got = url_lists.filter_urls(spark.createDataFrame(captures, TIMED), spark.createDataFrame(entries, TIMED_ENTRIES))
+    wanted = brute_force(captures, entries, lambda url: (url.removeprefix("http://").rstrip("/"), "/"))
+    assert sorted(map(tuple, got.collect()), key=str) == wanted
+    valid = url_lists.intervals(spark.createDataFrame(entries, TIMED_ENTRIES))
+    asked = spark.createDataFrame([("hot.com", time) for *_, time in captures], "rule string, at timestamp").distinct()
+    assert url_lists.active_rules(asked, valid).count() > 0
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
