@@ -12,9 +12,9 @@ The bytes are never joined string by string: lengths of all segments of a batch
 offsets, and headers and contents are scattered into one preallocated Arrow buffer.
 
 Defined results: a null role or text counts as empty. Rows of a conversation are ordered by turn
-(null first), role, text, so ties and repeated rows have one order and are all kept. Rows with a null
-conversation id form one conversation with a null id. An empty table gives no rows. Other
-columns are ignored.
+(null first), role, text, so ties and repeated rows have one order and are all kept. A row without
+conversation id is a conversation of its own, with a null id: nothing says that such rows belong together, and however many
+there are, they are formatted where they lie. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,8 +52,9 @@ def format_chats(
         F.coalesce(df[role_col], F.lit("")).alias("role"),
         F.coalesce(df[text_col], F.lit("")).alias("text"),
     )
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(lambda batches: _formatted(batches, trained_role), FORMATTED)
+    ordered = rows.where("conv_id IS NOT NULL").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    alone = rows.where("conv_id IS NULL")
+    return ordered.unionByName(alone).mapInArrow(lambda batches: _formatted(batches, trained_role), FORMATTED)
 
 
 def _formatted(batches: Iterator[pa.RecordBatch], trained_role: str) -> Iterator[pa.RecordBatch]:
@@ -80,14 +81,14 @@ def _formatted(batches: Iterator[pa.RecordBatch], trained_role: str) -> Iterator
 
 
 def _same(left: pa.Scalar, right: pa.Scalar) -> bool:
-    return left.as_py() == right.as_py()
+    return left.is_valid and left.as_py() == right.as_py()
 
 
 def _breaks(ids: pa.Array) -> np.ndarray:
-    """Row numbers, but for 0, at which another conversation begins."""
+    """Row numbers, but for 0, at which another conversation begins; each row without id is one."""
     values = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
     empty = pc.is_null(ids).to_numpy(zero_copy_only=False)
-    return np.flatnonzero((values[1:] != values[:-1]) | (empty[1:] != empty[:-1])) + 1
+    return np.flatnonzero((values[1:] != values[:-1]) | empty[1:] | empty[:-1]) + 1
 
 
 def _escaped(texts: pa.Array) -> pa.Array:

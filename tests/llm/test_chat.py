@@ -22,9 +22,15 @@ def read(frame):
         chat.read_turns(F.col("formatted")).alias("turns"),
         chat.read_trained(F.col("formatted"), F.col("loss_spans")).alias("trained"),
     )
-    return {
-        row["conv_id"]: (row["formatted"], [tuple(turn) for turn in row["turns"]], list(row["trained"])) for row in rows.collect()
-    }
+    found, alone = {}, []
+    for row in rows.collect():
+        entry = (row["formatted"], [tuple(turn) for turn in row["turns"]], list(row["trained"]))
+        if row["conv_id"] is None:
+            alone.append(entry)
+        else:
+            assert row["conv_id"] not in found
+            found[row["conv_id"]] = entry
+    return found | ({None: sorted(alone)} if alone else {})
 
 
 def escaped(text, role=False):
@@ -33,15 +39,19 @@ def escaped(text, role=False):
 
 
 def expected(rows):
-    found = {}
+    found, alone = {}, []
     for conv, _, role, text in sorted(rows, key=key):
         role, text = role or "", text or ""
-        entry = found.setdefault(conv, ["", [], []])
+        if conv is None:  # a conversation of its own
+            alone.append(("", [], []))
+        entry = found.setdefault(conv, ["", [], []]) if conv is not None else ["", [], []]
         entry[0] += f"<|im_start|>{escaped(role, True)}\n{escaped(text)}<|im_end|>\n"
         entry[1].append((role, text))
         if role == "assistant":
             entry[2].append(text)
-    return {conv: tuple(entry) for conv, entry in found.items()}
+        if conv is None:
+            alone[-1] = tuple(entry)
+    return {conv: tuple(entry) for conv, entry in found.items()} | ({None: sorted(alone)} if alone else {})
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -82,3 +92,12 @@ def test_empty_table_and_clashing_columns(spark):
     frame = spark.createDataFrame([(1, 0, "user", "a", "x", 3)], SCHEMA + ", formatted string, start int")
     assert read(frame)[1][1] == [("user", "a")]
     assert read(frame.limit(0)) == {}
+
+
+def test_rows_without_conversation_are_not_gathered(spark):
+    """A third of all rows, most of them alike: each is a conversation by itself, formatted where it lies."""
+    rows = [(number % 50 if number % 3 else None, number, "assistant", "same" if number % 2 else f"é {number}") for number in range(3000)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    assert read(frame) == expected(rows)
+    placed = chat.format_chats(frame).where("conv_id IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(placed) == 6 and max(row["count"] for row in placed) < 300
