@@ -4,12 +4,16 @@ A document's set holds its distinct word shingles. Equal sets are one class from
 signature of minwise tokens. In every tree, a node branches its documents by the minwise token of one
 coordinate, sometimes of two (1.25 branches on average, the inverse of the similarity sought), so
 similar documents go on together and others part. Nodes of at most NODE documents are compared
-exhaustively, by signature, and give a spanning forest of likely pairs; larger ones branch again. What
-is still large after DEPTH branchings, near copies or documents that share boilerplate, is not compared
-exhaustively but in parts that share pivots: a pair in two parts is found there only if pivots connect it.
-Independent trees repeat this, so that a pair of the sought similarity is missed by all of them
-about once in 1000 times at worst (four branchings), and less often where fewer were needed. The parts of
-large nodes add to that.
+exhaustively, by signature, and give a spanning forest of likely pairs; larger ones branch again.
+
+After DEPTH branchings all nodes are compared exhaustively, whatever their size, but for those of more than VAST documents that
+still shrink: they branch on, always in two, which loses hardly any more pairs. A large node is first dealt in parts that share
+pivots, which connects near copies. Documents that are then still apart from the node's largest component are compared with all
+documents of the node, in tasks of a part of the ones and a part of the others. So no two documents of a node are left
+uncompared unless they are connected already.
+
+Independent trees repeat this until a pair of the sought similarity is missed by all of them with a probability of 1 - TARGET at
+most; the number of trees follows from the branchings.
 
 The forests join documents into candidate groups, which are a superset of the true ones. Each group gets the
 full sets of its documents, once, and its exact components are found by search over an inverted
@@ -25,6 +29,7 @@ nothing and kept. An empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,12 +40,16 @@ from pyspark.sql import functions as F
 from reelhouse.llm.common import BoundedCache, blocks, checkpointed, id_and_text, parts_for
 
 WORDS, PERCENT = 5, 80
-COORDINATES, TREES, DEPTH = 64, 8, 4
+COORDINATES, DEPTH = 64, 4
+#: Least probability that a pair of just the sought similarity meets in some tree.
+TARGET = 0.999
 #: A second branch is taken by one node in SECOND_OF: 1.25 branches on average.
 SECOND_OF = 4
 #: Largest node that is compared exhaustively; signatures at least this alike are a likely pair, four
 #: standard errors below the sought similarity.
 NODE, LIKELY = 256, 0.60
+#: Documents of a part of a large node, and of a node that branches on after DEPTH, if a branch leaves SHRINKS of it at most.
+PART, VAST, SHRINKS = 2048, 65_536, 0.8
 #: Documents that all parts of a large node or group share, and how alike to one of them is likely: with
 #: two links of 0.8 between, Jaccard distances add up to 0.4 at most.
 PIVOTS, LIKELY_BY_PIVOT = 8, 0.42
@@ -139,40 +148,83 @@ def _token(signature: str, coordinate: Column) -> Column:
     return F.substring(F.col(signature), (coordinate * 4 + 1).cast("int"), F.lit(4))
 
 
-def _branches(node: Column) -> Column:
-    """The children of a node that a document goes to: one, or two at some nodes."""
+def _branches(node: Column, both: bool = False) -> Column:
+    """The children of a node that a document goes to: one, or two at some nodes, or at all."""
 
     def child(number: int):
         coordinate = F.pmod(F.xxhash64(node, F.lit(number)), F.lit(COORDINATES))
         return F.xxhash64(node, coordinate, _token("signature", coordinate))
 
+    two = F.array_distinct(F.array(child(0), child(1)))
+    if both:
+        return F.explode(two)
     second = F.pmod(F.xxhash64(node, F.lit(-1)), F.lit(SECOND_OF)) == 0
-    return F.explode(F.when(second, F.array_distinct(F.array(child(0), child(1)))).otherwise(F.array(child(0))))
+    return F.explode(F.when(second, two).otherwise(F.array(child(0))))
+
 
+def trees_for(target: float, percent: int) -> int:
+    """Trees in which a pair of just this similarity meets with probability `target`.
 
-def likely_links(classes: DataFrame) -> DataFrame:
+    After a branching, the pair is apart if it was before or if no branch took both; of nodes beyond DEPTH, which have two
+    branches, what many more of them lose is added.
+    """
+    together = percent / 100
+    lost = 0.0
+    for _ in range(DEPTH):
+        parted = 1 - together * (1 - lost)
+        lost = parted * (1 - 1 / SECOND_OF) + parted**2 / SECOND_OF
+    deeper = 0.0
+    for _ in range(100):
+        deeper = (1 - together * (1 - deeper)) ** 2
+    lost = 1 - (1 - lost) * (1 - deeper)
+    return math.ceil(math.log(1 - target) / math.log(lost))
+
+
+def likely_links(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(left, right): a spanning forest of the likely pairs that the trees bring together."""
-    roots = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(TREES).cast("long")))
-    members = classes.select("rep", "signature", roots.alias("tree")).select("rep", _branches(F.col("tree")).alias("node"))
-    compared = None
-    for depth in range(1, DEPTH + 1):
+    roots = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(trees_for(TARGET, percent)).cast("long")))
+    everyone = F.lit(2**62)
+    members = classes.select("rep", "signature", roots.alias("tree")).select(
+        "rep", _branches(F.col("tree")).alias("node"), everyone.alias("before")
+    )
+    small = large = None
+    depth = 0
+    while members is not None:
+        depth += 1
         members = checkpointed(members)
-        sizes = members.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+        # stored as well: adaptive execution splits a join whose sides are exchanged for it alone
+        sizes = checkpointed(members.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > 1))
         sized = checkpointed(members.join(sizes, "node"))
-        small = sized.where(F.col("size") <= NODE).select("node", "rep", F.lit(False).alias("pivot"))
-        compared = small if compared is None else compared.unionByName(small)
-        large = sized.where(F.col("size") > NODE)
-        if large.isEmpty():
+        small = _with(small, sized.where(F.col("size") <= NODE).select("node", "rep", F.lit(False).alias("pivot")))
+        over = F.col("size") > NODE
+        # a large node branches: each one down to DEPTH, and further those that are vast and still shrink
+        on = over if depth < DEPTH else (F.col("size") > VAST) & (F.col("size") <= SHRINKS * F.col("before"))
+        left = sized.where(over & ~on).select("node", "rep", "size")
+        if depth >= DEPTH:
+            large = _with(large, left)
+        further = sized.where(on).select("node", "rep", F.col("size").alias("before"))
+        if further.isEmpty():
             break
-        if depth == DEPTH:
-            compared = compared.unionByName(_parts(large))
-        else:
-            members = large.join(classes.select("rep", "signature"), "rep").select("rep", _branches(F.col("node")).alias("node"))
+        members = further.join(classes.select("rep", "signature"), "rep").select(
+            "rep", _branches(F.col("node"), depth >= DEPTH).alias("node"), "before"
+        )
+    if large is None or large.isEmpty():
+        return _compared(small, classes)
+    links = checkpointed(_compared(small.unionByName(_parts(large)), classes))
+    return links.unionByName(_compared(_apart(large, links), classes, across=True))
+
+
+def _with(so_far: DataFrame | None, more: DataFrame) -> DataFrame:
+    return more if so_far is None else so_far.unionByName(more)
+
+
+def _compared(nodes: DataFrame, classes: DataFrame, across: bool = False) -> DataFrame:
+    """(left, right) of (node, rep, pivot): the likely pairs of each node, or only those of a pivot and another."""
     return (
-        compared.join(classes.select("rep", "short"), "rep")
+        nodes.join(classes.select("rep", "short"), "rep")
         .repartition(parts_for(classes), "node")
         .sortWithinPartitions("node", F.desc("pivot"), "rep")
-        .mapInArrow(_compare_nodes, "left long, right long")
+        .mapInArrow(lambda batches: _compare_nodes(batches, across), "left long, right long")
     )
 
 
@@ -192,7 +244,33 @@ def _parts(large: DataFrame) -> DataFrame:
     return dealt.unionByName(pivots).withColumnRenamed("part", "node")
 
 
-def _compare_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _apart(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, rep, pivot): of large nodes, what is apart from the largest component, to be compared with all documents.
+
+    Both are dealt in parts, and each pair of parts is a node of its own, in which `pivot` marks the documents that are apart. A
+    document is sent on once for each part of the other side.
+    """
+    roots = components(links).select(F.col("node").alias("rep"), "root")
+    labelled = checkpointed(large.join(roots, "rep", "left").select("node", "rep", "size", F.coalesce("root", "rep").alias("root")))
+    main = labelled.groupBy("node", "root").agg(F.count("*").alias("held")).groupBy("node").agg(
+        F.max_by("root", F.struct("held", "root")).alias("main")
+    )
+    sides = checkpointed(labelled.join(checkpointed(main), "node").select("node", "rep", "size", (F.col("root") != F.col("main")).alias("pivot")))
+    loads = checkpointed(sides.where("pivot").groupBy("node").agg(F.ceil(F.count("*") / PART).alias("loads")))
+    parts = F.ceil(F.col("size") / PART)
+
+    def numbers(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1))
+
+    loaded = sides.join(loads, "node")
+    of_all = loaded.select("node", "rep", F.pmod(F.xxhash64("rep"), parts).alias("a"), numbers(F.col("loads")).alias("b"), F.lit(False).alias("pivot"))
+    of_apart = loaded.where("pivot").select(
+        "node", "rep", numbers(parts).alias("a"), F.pmod(F.xxhash64("rep", F.lit(2)), F.col("loads")).alias("b"), F.lit(True).alias("pivot")
+    )
+    return of_all.unionByName(of_apart).select(F.xxhash64("node", "a", "b").alias("node"), "rep", "pivot")
+
+
+def _compare_nodes(batches: Iterator[pa.RecordBatch], across: bool = False) -> Iterator[pa.RecordBatch]:
     """Rows sorted by node: the likely pairs of whole nodes, as a forest."""
     pending: list[pa.RecordBatch] = []
     for batch in batches:
@@ -207,16 +285,20 @@ def _compare_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             pending.append(batch.slice(0, changes[0]))
             batch, changes = batch.slice(changes[0]), changes[1:] - changes[0]
         if pending:
-            yield _forest(pa.Table.from_batches(pending))
+            yield _forest(pa.Table.from_batches(pending), across)
         if len(changes):
-            yield _forest(pa.Table.from_batches([batch.slice(0, changes[-1])]))
+            yield _forest(pa.Table.from_batches([batch.slice(0, changes[-1])]), across)
             batch = batch.slice(changes[-1])
         pending = [batch]
     if pending:
-        yield _forest(pa.Table.from_batches(pending))
+        yield _forest(pa.Table.from_batches(pending), across)
 
 
-def _forest(table: pa.Table) -> pa.RecordBatch:
+def _forest(table: pa.Table, across: bool) -> pa.RecordBatch:
+    """Pairs of a node that are likely, or with `across` those of a pivot and another document, but not of ones already joined.
+
+    To what is a pivot for others, half the similarity is enough; what is apart in `across` is no such pivot.
+    """
     nodes, reps, pivot = (table[name].to_numpy() for name in ("node", "rep", "pivot"))
     signatures = np.frombuffer(b"".join(table["short"].to_pylist()), np.uint8).reshape(len(reps), -1)
     parent = np.arange(len(reps))
@@ -228,10 +310,12 @@ def _forest(table: pa.Table) -> pa.RecordBatch:
         if not len(at):
             break
         apart = at[parent[at] != parent[at + shift]]
+        if across:
+            apart = apart[(pivot[apart] != pivot[apart + shift]) & (reps[apart] != reps[apart + shift])]
         for begin in range(0, len(apart), 65536):
             some = apart[begin : begin + 65536]
             alike = (signatures[some] == signatures[some + shift]).mean(axis=1)
-            wanted = np.where(pivot[some] | pivot[some + shift], LIKELY_BY_PIVOT, LIKELY)
+            wanted = LIKELY if across else np.where(pivot[some] | pivot[some + shift], LIKELY_BY_PIVOT, LIKELY)
             linked = some[alike >= wanted]
             left.append(reps[linked])
             right.append(reps[linked + shift])
@@ -466,7 +550,7 @@ def near_duplicates(
         .groupBy("class")
         .agg(F.min("doc_id").alias("rep"), *(F.first(name).alias(name) for name in ("n_shingles", "signature", "short")))
     )
-    groups = components(likely_links(classes))
+    groups = components(likely_links(classes, percent))
     roots = confirmed_components(texts, classes, groups, words, percent).groupBy("node").agg(F.min("root").alias("root"))
     named = classes.select("class", "rep").join(roots, F.col("rep") == F.col("node"), "left").select(
         "class", F.coalesce("root", "rep").alias("component")

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import random
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelhouse.llm import near_dedup
 
@@ -14,8 +15,11 @@ def shingle_set(text, words):
     return frozenset(tuple(found[i : i + width]) for i in range(len(found) - width + 1)) if found else frozenset()
 
 
-def brute_force(rows, words, percent=80):
-    """doc_id -> (set size, smallest reachable id), comparing all pairs that share a shingle."""
+def brute_force(rows, words, percent=80, common=frozenset()):
+    """doc_id -> (set size, smallest reachable id), comparing all pairs that share a shingle.
+
+    `common` shingles make no pairs: leave out only such as pairs with nothing else are too unlike for.
+    """
     sets = [(number, shingle_set(text, words)) for number, text in rows]
     parent = {number: number for number, _ in rows}
 
@@ -27,12 +31,13 @@ def brute_force(rows, words, percent=80):
 
     holders = defaultdict(list)
     for place, (number, own) in enumerate(sets):
-        common = Counter(other for shingle in own for other in holders[shingle])
-        for other, count in common.items():
+        met = {other for shingle in own - common for other in holders[shingle]}
+        for other in met:
+            count = len(own & sets[other][1])
             if 100 * count >= percent * (len(own) + len(sets[other][1]) - count):
                 a, b = find(number), find(sets[other][0])
                 parent[max(a, b)] = min(a, b)
-        for shingle in own:
+        for shingle in own - common:
             holders[shingle].append(place)
     return {number: (len(own), find(number)) for number, own in sets}
 
@@ -94,6 +99,63 @@ def test_large_nodes_and_groups_are_dealt_in_parts(spark, monkeypatch):
     check(spark, corpus(9, groups=4, copies=40), 2)
 
 
+def boilerplate(count, source, shared=60, own=34):
+    """Pairs that are just alike enough, and near copies of some, all with the same opening."""
+    opening = [source.choice(VOCABULARY) for _ in range(shared)]
+    rows = []
+    for number in range(count // 2):
+        words = [f"own{source.randrange(10**9)}" for _ in range(own)]
+        other = list(words)
+        for place in range(6, 6 + source.choice([1, 3, 6, 9, 12])):
+            other[place] = f"own{source.randrange(10**9)}"
+        rows += [" ".join(opening + words), " ".join(opening + other)]
+    source.shuffle(rows)
+    return list(enumerate(rows)), {tuple(opening[place : place + 5]) for place in range(shared - 4)}
+
+
+@pytest.mark.parametrize("settings", [{}, {"PART": 300, "NODE": 64}, {"VAST": 500, "PART": 200}])
+def test_large_nodes_of_boilerplate_equal_brute_force(spark, monkeypatch, settings):
+    """Nodes of thousands that share most of their words: no pair within a node is passed over, at any size."""
+    for name, value in settings.items():
+        monkeypatch.setattr(near_dedup, name, value)
+    rows, opening = boilerplate(5000, random.Random(11))
+    shared = frozenset(tuple(word.encode() for word in shingle) for shingle in opening)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    wanted = brute_force(rows, 5, common=shared)
+    assert {row["doc_id"]: (row["n_shingles"], row["component_id"]) for row in found} == wanted
+    assert len({root for _, root in wanted.values()}) < 4500
+
+
+def test_all_pairs_of_a_large_node_are_compared_or_connected(spark, monkeypatch):
+    """One tree, and no branching: the nodes' comparison alone has to find every pair."""
+    monkeypatch.setattr(near_dedup, "DEPTH", 1)
+    monkeypatch.setattr(near_dedup, "NODE", 16)
+    monkeypatch.setattr(near_dedup, "PART", 50)
+    monkeypatch.setattr(near_dedup, "trees_for", lambda *_: 1)
+    monkeypatch.setattr(near_dedup, "_branches", lambda node, both=False: F.lit(7).cast("long"))
+    rows, _ = boilerplate(600, random.Random(5), shared=10, own=60)
+    check(spark, rows, 5)
+    source = random.Random(6)
+    copies = [" ".join(edited(VOCABULARY[:200], 0.01, source)) for _ in range(400)] + [" ".join(source.choices(VOCABULARY, k=200)) for _ in range(200)]
+    check(spark, list(enumerate(copies)), 2)
+
+
+def test_trees_follow_from_the_recall_sought():
+    few, many = near_dedup.trees_for(0.9, 80), near_dedup.trees_for(0.999, 80)
+    assert 1 <= few < many == 9 and near_dedup.trees_for(0.999, 95) < many
+    # simulated: the share of pairs that all trees miss
+    source = random.Random(3)
+
+    def meets(depth):
+        if depth == 0:
+            return True
+        branches = 2 if source.random() < 1 / near_dedup.SECOND_OF else 1
+        return any(source.random() < 0.8 and meets(depth - 1) for _ in range(branches))
+
+    missed = sum(not any(meets(near_dedup.DEPTH) for _ in range(many)) for _ in range(20_000))
+    assert missed / 20_000 <= 1 - near_dedup.TARGET
+
+
 def test_documents_no_pivot_reaches_are_searched_everywhere(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "CHUNK_SHINGLES", 400)
     monkeypatch.setattr(near_dedup, "PIVOTS", 1)
