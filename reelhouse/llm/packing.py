@@ -10,7 +10,8 @@ place its class has in the patterns. Tails are laid end to end along the places
 then along new sequences, and cut where a sequence ends. The last of these sequences are powers of
 two long, so that they need no padding.
 
-Defined results: a null or empty text is the end id alone. Repeated rows and ties are separate
+Defined results: a null or empty text is the end id alone. Strings that the tokenizer has as special tokens are such where they
+stand in a text, as the library has it by default. Repeated rows and ties are separate
 documents, each with its own pieces. An empty table gives no rows. Other columns are ignored. Numbering
 is fixed by a checkpoint of the pieces, so a lost executor cannot change it.
 """
@@ -61,7 +62,8 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Strings that the library takes for single ids wherever they stand, so that pieces do not tell.
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[number for word, number in vocabulary.items() if word.endswith("</w>")]] = True
@@ -70,9 +72,22 @@ class WordBpe:
     def __call__(self, texts: pa.Array) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text.
 
-        Pieces lie between ASCII white space; any other is left inside a piece, to the tokenizer.
+        Pieces lie between ASCII white space; any other is left inside a piece, to the tokenizer. The few texts that may
+        hold a special string are encoded as a whole.
         """
-        pieces = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+        texts = texts.cast(pa.large_string())
+        whole = np.zeros(len(texts), bool)
+        for string in self.special:
+            whole |= pc.match_substring(texts, string, ignore_case=True).fill_null(False).to_numpy(zero_copy_only=False)
+        pieced = self._by_pieces(texts.filter(pa.array(~whole)))
+        for text, as_whole in zip(texts, whole):
+            if as_whole:
+                yield np.array(self.tokenizer.encode(text.as_py(), add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                yield next(pieced)
+
+    def _by_pieces(self, texts: pa.Array) -> Iterator[bytes]:
+        pieces = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         places = pieces.flatten().dictionary_encode()
         taken = self._distinct(places.dictionary).take(places.indices)
         counts = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)

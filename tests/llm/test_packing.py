@@ -20,9 +20,7 @@ SCHEMA = "doc_id long, text string"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 def padded(tokens):
@@ -54,6 +52,15 @@ def check(spark, rows, tokenizer, most_padding):
     return pieces
 
 
+def test_special_strings_are_those_of_the_library(spark, tokenizer):
+    texts = [
+        "<|endoftext|>", "a <|startoftext|> b", "word<|endoftext|>word, Word.", "<|STARTOFTEXT|> x", "<|endoftext", "<|endoftext|><|endoftext|>",
+        "plain, words.", "<| endoftext |>", "é<|EndOfText|>é", None, "",
+    ]
+    assert 49407 in tokenizer.encode(texts[0], add_special_tokens=False).ids
+    check(spark, list(enumerate(texts)), tokenizer, 1)
+
+
 def test_given_documents(spark, sf_dir, tokenizer):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     # less than the one sequence that tails did not suffice to fill, of 88
