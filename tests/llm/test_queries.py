@@ -171,10 +171,23 @@ def test_pipeline_on_odd_documents(spark, sf_dir):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = stage(spark, docs, sf_dir)
             assert docs.columns == corpus_pipeline.DOCUMENTS
-        assert docs.count() == frame.count()
+        assert docs.count() == frame.dropDuplicates(["doc_id", "text"]).count()
         assert corpus_pipeline.pack_sequences(spark, docs, sf_dir).select("doc_id").distinct().count() == frame.select("doc_id").distinct().count()
 
 
+def test_near_copies_go_by_row(spark, sf_dir):
+    """A text is judged by itself, whatever other rows have its id; rows without id are deduplicated too."""
+    first, second, third = (" ".join(f"{name}{number}" for number in range(60)) for name in "abc")
+    rows = [
+        (7, first), (3, first + " end"), (7, second), (7, second), (None, third), (None, third + " end"), (9, third), (None, "alone and only here"),
+        (None, "alone and only here"), (4, None), (4, None), (5, ""), (6, ""),
+    ]
+    frame = spark.createDataFrame([(*row, "en", "s", 1) for row in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(row["doc_id"], row["text"]) for row in corpus_pipeline.drop_near_copies(spark, frame, sf_dir).collect()]
+    wanted = [(3, first + " end"), (7, second), (9, third), (None, "alone and only here"), (4, None), (5, ""), (6, "")]
+    assert sorted(kept, key=str) == sorted(wanted, key=str)
+
+
 def test_entry_works_without_the_subpackage(tmp_path):
     """The rest of the library in a folder of its own, as it is when the subpackage is not installed."""
     root = Path(contract.__file__).parent
