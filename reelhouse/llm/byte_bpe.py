@@ -1,12 +1,13 @@
 """Byte-level BPE: each distinct word is encoded once, and documents are put together by position.
 
 Texts are split into words (matches of the tokenizer's pattern). Documents are taken in blocks; within a block,
-a word is a slot number, and a document is the slots at its positions. The slots' words, in Arrow
-packets, are shuffled by word over the whole input, so that equal words of all blocks meet and
-are encoded once; their ids go back to the blocks, where documents take them by position. Words
-travel once per block and not once per occurrence, so no word is a hot key, and what is shuffled is
-smaller than the texts. Positions stay in the exchange that also carries the words, and both the word
-encoder and the blocks read it. Decoding joins ids with the token-byte table by taking its rows.
+a word is a slot number, and a document is the slots at its positions. The slots' words are dealt to shards by their hash,
+so that equal words of all blocks meet and are encoded once; their ids go back to the blocks, where documents take them by
+position. Words travel once per block and not once per occurrence, so no word is a hot key. A block's words for a shard are one
+row of three plain columns (slots, lengths, bytes), some 70 bytes beside its content: with more shards than words in a
+block it is a row for each word at most, so the shuffle is bounded by the texts and not by its own width. Positions and words
+share one exchange, of which the word encoder reads the words and the blocks read the rest. Decoding joins ids with
+the token-byte table by taking its rows.
 
 Defined results: a null or empty text has no ids and decodes to no bytes. Rows, repeated ones too, are
 encoded separately. An empty table gives no rows. Other columns are ignored. A block that a lost
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import blocks, id_and_text, parts_for
@@ -34,9 +35,13 @@ BLOCK_BYTES = 12_000_000
 #: Ids that are decoded at a time; a longer row is taken whole.
 SLICE_IDS = 500_000
 #: Word shards for each shuffle partition, so that hashing spreads them evenly.
-SHARDS_PER_PART = 8
-#: Blocks have keys from 0 up, shards of words negative ones.
-PACKET = "key long, block long, digest long, lengths binary, data binary"
+SHARDS_PER_PART = 4
+#: Blocks have keys from 0 up, shards of words negative ones. Of a block's own row, `lengths` are the words of each document
+#: with its id and `data` their slots; of a shard's, the steps from slot to slot, byte lengths and bytes of words; on the way back, ids
+#: in place of bytes. Steps and lengths are narrow numbers unless a flag above the digest's 32 bits says that they are wide.
+WIDE_STEPS, WIDE_LENGTHS, WIDE_COUNTS = 1 << 32, 1 << 33, 1 << 34
+NARROW_STEP, NARROW_LENGTH = np.uint16, np.uint8
+PACKET = "key long, block long, digest long, slots binary, lengths binary, data binary"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -57,10 +62,33 @@ def _unpacked(data: pa.Scalar) -> pa.Table:
     return pa.ipc.open_stream(data.as_buffer()).read_all().combine_chunks()
 
 
-def _packets(rows: list[tuple]) -> pa.RecordBatch:
+def _rows(keys, blocks, digests, *columns) -> pa.RecordBatch:
     names = [part.split()[0] for part in PACKET.split(", ")]
-    kinds = [pa.int64()] * 3 + [pa.binary()] * 2
-    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names)
+    numbers = [pa.array(np.broadcast_to(values, len(keys)), pa.int64()) for values in (keys, blocks, digests)]
+    return pa.RecordBatch.from_arrays([*numbers, *columns], names)
+
+
+def _cut(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Consecutive parts of an array as binary values, without a copy of each."""
+    offsets = (edges * values.itemsize).astype(np.int64)
+    cut = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+    return cut.cast(pa.binary())
+
+
+def _joined(column: pa.ChunkedArray | pa.Array, kind) -> np.ndarray:
+    """All binary values of a column, one after the other, as numbers."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _fits(values: np.ndarray, kind) -> bool:
+    return not len(values) or int(values.max()) <= np.iinfo(kind).max
+
+
+def _steps(slots: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The distance of each slot from the one before it, and of a shard's first one from 0."""
+    steps = np.diff(slots, prepend=0)
+    steps[begins] = slots[begins]
+    return steps
 
 
 class Slots(dict):
@@ -88,53 +116,72 @@ def _split(batches: Iterator[pa.RecordBatch], pattern: str, shards: int) -> Iter
         del positions, block
         data = _packed(**{f"byte{place}": pa.array(planes[:, place].copy()) for place in range(4)})
         del planes
-        yield _packets([(first + number, first + number, digest, documents, data)])
         if words:
             shard = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % shards
             order = np.argsort(shard, kind="stable")
-            edges = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards))
-            column = pa.array(words, pa.binary()).take(pa.array(order))
-            for begin, end in zip(edges, edges[1:]):
-                steps = np.diff(order[begin:end], prepend=0).astype(np.int32)
-                packet = _packed(step=pa.array(steps), word=column[begin:end])
-                yield _packets([(-1 - int(shard[order[begin]]), first + number, digest, None, packet)])
+            begins = np.flatnonzero(np.diff(shard[order], prepend=-1))
+            edges = np.append(begins, len(words))
+            steps, lengths = _steps(order, begins), np.fromiter(map(len, words), np.int64, len(words))[order]
+            ends = np.concatenate(([0], np.cumsum(lengths)))
+            narrow_steps, narrow_lengths = _fits(steps, NARROW_STEP), _fits(lengths, NARROW_LENGTH)
+            digest += (not narrow_steps) * WIDE_STEPS + (not narrow_lengths) * WIDE_LENGTHS
+            content = np.frombuffer(b"".join(map(words.__getitem__, order.tolist())), np.uint8)
+            yield _rows(
+                -1 - shard[order][begins], first + number, digest,
+                _cut(steps.astype(NARROW_STEP if narrow_steps else np.uint32), edges),
+                _cut(lengths.astype(NARROW_LENGTH if narrow_lengths else np.uint32), edges),
+                _cut(content, ends[edges]),
+            )
+        yield _rows([first + number], first + number, digest, *(pa.array([each], pa.binary()) for each in (None, documents, data)))
         pa.default_memory_pool().release_unused()
 
 
-def _encode_words(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    """The ids of each distinct word of the shards of a partition are computed once."""
+def _encode_words(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str, kind: str) -> Iterator[pa.RecordBatch]:
+    """The ids of each distinct word of a shard are computed once; rows come shard by shard."""
     import tiktoken
 
-    encoding, known = None, {}
+    encoding, known, at = None, {}, None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         if encoding is None:
             encoding = tiktoken.Encoding(
                 "ranks", pat_str=pattern, mergeable_ranks=load_ranks(ranks_path), special_tokens={}
             )
-        for key, block, digest, data in zip(*(batch.column(name) for name in ("key", "block", "digest", "data"))):
-            if key.as_py() >= 0:
-                continue
-            packet, found = _unpacked(data), []
-            for word in packet["word"].to_pylist():
+        found, counts, edges = [], [], [0]
+        columns = (batch.column(name).to_pylist() for name in ("key", "digest", "lengths", "data"))
+        for key, digest, lengths, data in zip(*columns):
+            if key != at:
+                known.clear()
+                at = key
+            begin = 0
+            for length in np.frombuffer(lengths, np.uint32 if digest & WIDE_LENGTHS else NARROW_LENGTH).tolist():
+                word = data[begin : begin + length]
+                begin += length
                 ids = known.get(word)
                 if ids is None:
-                    ids = known[word] = np.array(encoding.encode_ordinary(word.decode()), np.uint32).tobytes()
+                    ids = known[word] = np.array(encoding.encode_ordinary(word.decode()), kind).tobytes()
                 found.append(ids)
-            ids = np.frombuffer(b"".join(found), np.uint32)
-            counts = pa.array(np.fromiter(map(len, found), np.int32, len(found)) // 4)
-            narrow = ids.astype(np.uint16) if len(ids) and ids.max() < 65536 else ids
-            lengths = _packed(step=packet["step"], count=counts)
-            yield _packets([(block.as_py(), block.as_py(), digest.as_py(), lengths, _packed(ids=pa.array(narrow)))])
-
-
-def _reassemble(key: tuple, positions: pa.Table, words: pa.Table) -> pa.Table:
+                counts.append(len(ids))
+            edges.append(len(found))
+        ends = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+        each = np.array(counts, np.int64) // np.dtype(kind).itemsize
+        narrow = _fits(each, NARROW_LENGTH)
+        each = each.astype(NARROW_LENGTH if narrow else np.uint32)
+        content, edges = np.frombuffer(b"".join(found), np.uint8), np.array(edges)
+        home = batch.column("block").to_numpy()
+        yield _rows(
+            home, home, batch.column("digest").to_numpy() + (not narrow) * WIDE_COUNTS, batch.column("slots"),
+            _cut(each, edges), _cut(content, ends[edges]),
+        )
+
+
+def _reassemble(positions: pa.Table, words: pa.Table, kind: str) -> pa.Table:
     """A block's documents take their words' ids by position."""
-    empty = pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
-    if key[0].as_py() < 0 or not positions.num_rows:
-        return empty
-    if set(words["digest"].to_pylist()) - set(positions["digest"].to_pylist()):
+    flags = words["digest"].to_numpy() if words.num_rows else np.empty(0, np.int64)
+    if (flags % WIDE_COUNTS != positions["digest"][0].as_py()).any():
         raise RuntimeError("a block was repeated with its rows in another order")
-    lookup = _by_slot(words)
+    lookup = _by_slot(words, kind)
     documents, data = _unpacked(positions["lengths"][0]), _unpacked(positions["data"][0])
     planes = np.empty((data.num_rows, 4), np.uint8)
     for place in range(4):
@@ -149,36 +196,48 @@ def _reassemble(key: tuple, positions: pa.Table, words: pa.Table) -> pa.Table:
     return pa.table({"doc_id": documents["doc_id"], "ids": ids.cast(pa.list_(pa.int32()))})
 
 
-def _by_slot(words: pa.Table) -> pa.LargeListArray:
+def _by_slot(words: pa.Table, kind: str) -> pa.LargeListArray:
+    """The ids of a block's words, in the order of their slots."""
     slots, counts, ids = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
-    for lengths, data in zip(words["lengths"], words["data"]):
-        packet = _unpacked(lengths)
-        slots.append(np.cumsum(packet["step"].to_numpy(), dtype=np.int64))
-        counts.append(packet["count"].to_numpy())
-        ids.append(_unpacked(data)["ids"].to_numpy().astype(np.int32))
-    ends = np.cumsum(np.concatenate(counts), dtype=np.int64)
-    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], ends))), pa.array(np.concatenate(ids)))
+    flags = words["digest"].to_numpy() if words.num_rows else np.empty(0, np.int64)
+    for wide in np.unique(flags & (WIDE_STEPS | WIDE_COUNTS)).tolist():
+        some = words.filter(pa.array((flags & (WIDE_STEPS | WIDE_COUNTS)) == wide))
+        step_kind = np.dtype(np.uint32 if wide & WIDE_STEPS else NARROW_STEP)
+        steps = _joined(some["slots"], step_kind).astype(np.int64)
+        held = pc.binary_length(some["slots"]).to_numpy() // step_kind.itemsize
+        begins = np.cumsum(held) - held
+        # a running sum over all, less what it was where each shard begins
+        sums = np.cumsum(steps)
+        slots.append(sums - np.repeat(sums[begins] - steps[begins], held))
+        counts.append(_joined(some["lengths"], np.uint32 if wide & WIDE_COUNTS else NARROW_LENGTH).astype(np.int64))
+        ids.append(_joined(some["data"], kind).astype(np.int32))
+    ends = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
+    lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
     return lists.take(pa.array(np.argsort(np.concatenate(slots), kind="stable")))
 
 
-def encode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids) of every row. `ranks` is a rank file that each executor has under the same path.
+def _only(condition: Column) -> Column:
+    """A condition that stays above the exchange: below it, it would make two of one."""
+    return F.when(F.spark_partition_id() >= 0, condition)
 
-    The exchange of packets is read twice and made once: neither reader filters it, as a filter
-    would be pushed below it and make two of it.
-    """
+
+def encode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids) of every row. `ranks` is a rank file that the driver and each executor have under the same path."""
     parts = parts_for(df)
     shards = parts * SHARDS_PER_PART
+    kind = "uint16" if max(load_ranks(ranks).values()) < 65536 else "uint32"
     packets = (
         id_and_text(df, id_col, text_col)
         .mapInArrow(lambda batches: _split(batches, pattern, shards), PACKET)
         .repartition(parts, "key")
     )
-    words = packets.mapInArrow(lambda batches: _encode_words(batches, ranks, pattern), PACKET)
+    of_shards = packets.where(_only(F.col("key") < 0)).sortWithinPartitions("key")
+    words = of_shards.mapInArrow(lambda batches: _encode_words(batches, ranks, pattern, kind), PACKET)
+    of_blocks = packets.where(_only(F.col("key") >= 0))
     return (
-        packets.groupBy("key")
+        of_blocks.groupBy("key")
         .cogroup(words.groupBy("key"))
-        .applyInArrow(_reassemble, "doc_id long, ids array<int>")
+        .applyInArrow(lambda positions, words: _reassemble(positions, words, kind), "doc_id long, ids array<int>")
     )
 
 
