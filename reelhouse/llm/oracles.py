@@ -5,6 +5,7 @@ from __future__ import annotations
 from reelhouse.llm.secret_scan import (
     ACCESS,
     ALLOWED,
+    ALLOWED_WORDS,
     ASSIGN,
     CANDIDATE,
     CLASSES,
@@ -116,7 +117,7 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _located(kind: str, regex: str, group: int, least: int) -> str:
+def _located(kind: str, regex: str, group: int, least: int, source: str = "texts") -> str:
     """Matches of one rule with their positions: what lies between them and they themselves add up."""
     rule = _text(regex)
     return f"""
@@ -129,21 +130,27 @@ def _located(kind: str, regex: str, group: int, least: int) -> str:
             FROM (
                 SELECT doc_id, regexp_extract_all(text, {rule}, 0) AS found,
                        regexp_extract_all(text, {rule}, {group}) AS groups, string_split_regex(text, {rule}) AS gaps
-                FROM texts
+                FROM {source}
             )
         )
     ) WHERE length(g) >= {least}"""
 
 
-_CLASS = " ".join(
-    f"WHEN regexp_matches(m, {_text(regex.replace('(?=.*[0-9])', ''))})"
-    + (" AND regexp_matches(m, '[0-9]')" if "(?=.*[0-9])" in regex else "")
-    + " THEN {%s}" % kind
-    for kind, regex, _ in CLASSES
-)
-_KIND_OF = _CLASS.format(**{kind: f"'{kind}'" for kind, _, _ in CLASSES})
-_BITS_OF = _CLASS.format(**{kind: least for kind, _, least in CLASSES})
-_RANK_OF = _CLASS.format(**{kind: KINDS.index(kind) for kind, _, _ in CLASSES})
+def _by_class(values: dict[str, object]) -> str:
+    """CASE branches: a value for each class of candidates."""
+    branches = []
+    for kind, regex, holds, _ in CLASSES:
+        fits = " AND ".join(f"regexp_matches(m, {_text(each)})" for each in (regex, *holds))
+        branches.append(f"WHEN {fits} THEN {values[kind]}")
+    return " ".join(branches)
+
+
+_KIND_OF = _by_class({kind: f"'{kind}'" for kind, *_ in CLASSES})
+_BITS_OF = _by_class({kind: least for kind, *_, least in CLASSES})
+_RANK_OF = _by_class({kind: KINDS.index(kind) for kind, *_ in CLASSES})
+_BLANKED = "text"
+for _word in ALLOWED_WORDS:
+    _BLANKED = f"regexp_replace({_BLANKED}, '(?i){_word}', '{'.' * len(_word)}', 'g')"
 # RE2 has no back references: a row of one sign has one distinct sign
 _ALLOWED = " OR ".join(
     "len(list_distinct(string_split(m, ''))) = 1" if "\\1" in rule else f"regexp_matches(m, {_text(rule)})" for rule in ALLOWED
@@ -153,13 +160,15 @@ _ALLOWED = " OR ".join(
 SECRET_SCAN = f"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text FROM documents
+), blanked AS (
+    SELECT doc_id, {_BLANKED} AS text FROM texts
 ), base AS (
     {_located("assign", ASSIGN, 2, LEAST_ASSIGNED)} UNION ALL
     {_located("access", ACCESS, 0, LEAST_ACCESS)} UNION ALL
     {_located("hex", HEX, 0, LEAST_HEX)}
 ), candidates AS (
     SELECT doc_id, m, start, CASE {_KIND_OF} END AS kind, CASE {_BITS_OF} END AS bits, CASE {_RANK_OF} END AS rank
-    FROM ({_located("assign", CANDIDATE, 0, 0)}) WHERE NOT ({_ALLOWED})
+    FROM ({_located("assign", CANDIDATE, 0, 0, "blanked")}) WHERE NOT ({_ALLOWED})
 ), windows AS (
     SELECT *, list_aggregate(string_split(substr(m, CAST(place + 1 AS BIGINT), {WINDOW}), ''), 'entropy') AS entropy
     FROM (SELECT *, unnest(range(length(m) - {WINDOW} + 1)) AS place FROM candidates)

@@ -4,7 +4,9 @@ Base rules find assignments to secret-like names, access key ids and long hex st
 long string of key-like characters is a candidate: a window slides over it, the Shannon entropy of
 the window follows from counts that change by the one character that enters and the one that leaves,
 and a candidate is reported from its first to its last window above the threshold of its character class,
-unless the allow-list knows it or a base span holds it.
+unless the allow-list knows it or a base span holds it. Words of the allow-list end a candidate, so that no window
+overlaps them; what stands beside them is still looked at. A class asks for several kinds of characters, which paths, slugs,
+words and numbers do not have.
 
 Positions are code points, ends exclusive. Java's regular expressions give the matches of a text and
 the pieces between them, whose lengths add up to positions.
@@ -36,22 +38,23 @@ HAS_HEX = rf"[0-9a-f]{{{LEAST_HEX},}}"
 #: Characters of an entropy window, and candidate strings, which hold at least one window.
 WINDOW = 20
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
-#: (kind, what all of a candidate is made of, least bits per character), the first that fits
+#: (kind, what all of a candidate is made of, what it has to hold, least bits per character), the first that fits
 CLASSES = (
-    ("entropy_hex", r"^(?=.*[0-9])[0-9a-fA-F]+$", 2.9),
-    ("entropy_letters", r"^[A-Za-z]+$", 4.1),
-    ("entropy_alnum", r"^[A-Za-z0-9]+$", 3.5),
-    ("entropy_base64", r"^[A-Za-z0-9+/_=-]+$", 3.7),
+    ("entropy_hex", r"^[0-9a-fA-F]+$", ("[0-9]", "[a-fA-F]"), 2.9),
+    ("entropy_letters", r"^[A-Za-z]+$", ("[a-z]", "[A-Z]"), 3.9),
+    ("entropy_alnum", r"^[A-Za-z0-9]+$", ("[0-9]", "[A-Za-z]"), 3.5),
+    ("entropy_base64", r"^[A-Za-z0-9+/_=-]+$", ("[0-9]", "[a-z]", "[A-Z]"), 3.7),
 )
-KINDS = ("assign", "access", "hex", *(kind for kind, _, _ in CLASSES))
-#: Candidates that are no secrets: ids in UUID form, rows of one sign, alphabets, placeholders.
+KINDS = ("assign", "access", "hex", *(kind for kind, *_ in CLASSES))
+#: Candidates that are no secrets: ids in UUID form, rows of one sign.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^(.)\1+$",
-    r"(?i)0123456789abcdef",
-    r"(?i)abcdefghijklmnop",
-    r"(?i)example|placeholder|your[_-]|changeme|dummy",
 )
+#: Words in either case that are no part of a secret: alphabets, placeholders.
+ALLOWED_WORDS = ("0123456789abcdef", "abcdefghijklmnop", "placeholder", "changeme", "example", "dummy", "your_", "your-")
+#: Characters that counts are kept of: ASCII from the space on.
+FIRST_SIGN, SIGNS = 32, 96
 SPAN = "struct<start:long,rank:int,kind:string,end:long>"
 CHUNK = 256
 
@@ -61,33 +64,38 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def running_sums(lengths: Column) -> Column:
-    """Sums before each element, in chunks: growing one array element by element would be quadratic."""
+def running(values: Column, combine) -> Column:
+    """What `combine` makes of 0 and the elements before each element, in chunks: growing one array would be quadratic."""
     pair = "struct<sums:array<long>,total:long>"
     zero = F.lit(0).cast("long")
 
-    def sums_from(values: Column, first: Column) -> Column:
+    def from_first(values: Column, first: Column) -> Column:
         return F.aggregate(
             values,
             F.struct(F.array().cast("array<long>").alias("sums"), first.alias("total")).cast(pair),
             lambda so_far, value: F.struct(
-                F.concat(so_far["sums"], F.array(so_far["total"])).alias("sums"), (so_far["total"] + value).alias("total")
+                F.concat(so_far["sums"], F.array(so_far["total"])).alias("sums"), combine(so_far["total"], value).alias("total")
             ),
         )["sums"]
 
     chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / CHUNK).cast("int")),
-        lambda number: F.slice(lengths, number * CHUNK + 1, F.lit(CHUNK)),
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int")),
+        lambda number: F.slice(values, number * CHUNK + 1, F.lit(CHUNK)),
     )
     return let(
         chunks,
         lambda parts: let(
-            sums_from(F.transform(parts, lambda part: F.aggregate(part, zero, lambda a, b: a + b)), zero),
-            lambda firsts: F.flatten(F.transform(parts, lambda part, number: sums_from(part, F.get(firsts, number)))),
+            from_first(F.transform(parts, lambda part: F.aggregate(part, zero, combine)), zero),
+            lambda firsts: F.flatten(F.transform(parts, lambda part, number: from_first(part, F.get(firsts, number)))),
         ),
     )
 
 
+def running_sums(lengths: Column) -> Column:
+    """Sums before each element."""
+    return running(lengths, lambda a, b: a + b)
+
+
 def located(text: Column, regex: str, group: int = 0) -> Column:
     """Every match, leftmost and not overlapping: array of (match, group, start, end).
 
@@ -141,17 +149,18 @@ def entropy_windows(candidate: Column, threshold: Column, window: int = WINDOW)
     when one leaves that it held c+1 times, it shrinks by the same.
     """
     gain = F.array(*(F.lit(_weight(count + 1) - _weight(count)) for count in range(window + 1)))
-    state = "struct<sum:double,first:int,last:int,peak:double>"
+    state = "struct<sum:double,counts:array<int>,first:int,last:int,peak:double>"
 
-    def count(signs: Column, begin: Column, length: Column, sign: Column) -> Column:
-        return F.size(F.filter(F.slice(signs, begin + 1, length), lambda other: other == sign))
+    def changed(counts: Column, sign: Column, by: int) -> Column:
+        return F.concat(F.slice(counts, 1, sign), F.array(F.get(counts, sign) + by), F.slice(counts, sign + 2, F.lit(SIGNS)))
 
-    def seen(so_far: Column, at: Column) -> Column:
-        """The state after judging the window that begins at `at`, if it is a whole one."""
+    def after(so_far: Column, at: Column, total: Column, counts: Column) -> Column:
+        """A new state, with the window that begins at `at` judged by the old one if it is a whole one."""
         bits = F.lit(math.log2(window)) - so_far["sum"] / window
         high = (at >= 0) & (bits >= threshold - 1e-9)
         return F.struct(
-            so_far["sum"].alias("sum"),
+            total.alias("sum"),
+            counts.alias("counts"),
             F.when(high & (so_far["first"] < 0), at).otherwise(so_far["first"]).alias("first"),
             F.when(high, at).otherwise(so_far["last"]).alias("last"),
             F.when(at >= 0, F.greatest(so_far["peak"], bits)).otherwise(so_far["peak"]).alias("peak"),
@@ -159,38 +168,42 @@ def entropy_windows(candidate: Column, threshold: Column, window: int = WINDOW)
 
     def slide(signs: Column) -> Column:
         def step(so_far: Column, at: Column) -> Column:
-            coming = count(signs, F.greatest(at - window + 1, F.lit(0)), F.least(at, F.lit(window - 1)), F.get(signs, at))
-            leaving = count(signs, at - window, F.lit(window), F.get(signs, at - window))
+            leaving, coming = F.get(signs, at - window), F.get(signs, at)
+            lost = F.when(at >= window, F.get(gain, F.get(so_far["counts"], leaving) - 1)).otherwise(F.lit(0.0))
+            left = F.when(at >= window, changed(so_far["counts"], leaving, -1)).otherwise(so_far["counts"])
             return let(
-                seen(so_far, at - window),
-                lambda judged: F.struct(
-                    (
-                        judged["sum"]
-                        + F.get(gain, coming)
-                        - F.when(at >= window, F.get(gain, leaving - 1)).otherwise(F.lit(0.0))
-                    ).alias("sum"),
-                    judged["first"].alias("first"),
-                    judged["last"].alias("last"),
-                    judged["peak"].alias("peak"),
-                ).cast(state),
+                left,
+                lambda counts: after(
+                    so_far, at - window, so_far["sum"] - lost + F.get(gain, F.get(counts, coming)), changed(counts, coming, 1)
+                ),
             )
 
-        start = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(0.0).alias("peak"))
+        start = F.struct(
+            F.lit(0.0).alias("sum"), F.array_repeat(F.lit(0), SIGNS).alias("counts"), F.lit(-1).alias("first"), F.lit(-1).alias("last"),
+            F.lit(0.0).alias("peak"),
+        )
         return F.aggregate(
             F.sequence(F.lit(0), F.size(signs) - 1),
             start.cast(state),
             step,
-            lambda so_far: seen(so_far, F.size(signs) - window),
+            lambda so_far: after(so_far, F.size(signs) - window, so_far["sum"], so_far["counts"]),
         )
 
-    return let(F.split(candidate, ""), slide)
+    return let(F.transform(F.split(candidate, ""), lambda sign: F.ascii(sign) - FIRST_SIGN), slide)
 
 
 def _weight(count: int) -> float:
     return count * math.log2(count) if count else 0.0
 
 
-def entropy_spans(text: Column, base: Column, allowed: tuple[str, ...] = ALLOWED) -> Column:
+def without_words(text: Column, words: tuple[str, ...] = ALLOWED_WORDS) -> Column:
+    """The text with words, in either case, replaced by as many signs that no candidate holds."""
+    for word in words:
+        text = F.regexp_replace(text, f"(?i){word}", "." * len(word))
+    return text
+
+
+def entropy_spans(text: Column, base: Column, allowed: tuple[str, ...] = ALLOWED, words: tuple[str, ...] = ALLOWED_WORDS) -> Column:
     """Spans of high entropy, but those that the allow-list or a base span covers."""
     none = F.array().cast(f"array<{SPAN}>")
 
@@ -200,13 +213,15 @@ def entropy_spans(text: Column, base: Column, allowed: tuple[str, ...] = ALLOWED
         for pattern in allowed:
             allow = allow | match.rlike(pattern)
         kind, bits, rank = F.lit(None).cast("string"), F.lit(None).cast("double"), F.lit(None).cast("int")
-        for name, regex, least in reversed(CLASSES):
+        for name, regex, holds, least in reversed(CLASSES):
             fits = match.rlike(regex)
+            for held in holds:
+                fits = fits & match.rlike(held)
             kind = F.when(fits, F.lit(name)).otherwise(kind)
             bits = F.when(fits, F.lit(least)).otherwise(bits)
             rank = F.when(fits, F.lit(KINDS.index(name))).otherwise(rank)
         return F.when(
-            ~allow,
+            ~allow & bits.isNotNull(),
             let(
                 entropy_windows(match, bits),
                 lambda found: F.when(
@@ -221,16 +236,18 @@ def entropy_spans(text: Column, base: Column, allowed: tuple[str, ...] = ALLOWED
             ),
         )
 
-    spans = F.transform(located(text, CANDIDATE), of_candidate)
+    spans = F.transform(located(without_words(text, words), CANDIDATE), of_candidate)
     new = F.filter(
         spans,
         lambda span: span.isNotNull()
         & ~F.exists(base, lambda held: (held["start"] <= span["start"]) & (span["end"] <= held["end"])),
     )
-    return F.when(text.rlike(CANDIDATE), new).otherwise(none)
+    return F.when(text.rlike(CANDIDATE), F.when(without_words(text, words).rlike(CANDIDATE), new).otherwise(none)).otherwise(none)
 
 
-def add_spans(df: DataFrame, text_col: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+def add_spans(
+    df: DataFrame, text_col: str = "text", allowed: tuple[str, ...] = ALLOWED, words: tuple[str, ...] = ALLOWED_WORDS
+) -> DataFrame:
     """The frame with two more columns: `base` with the base spans and `spans` with all, as arrays of (start, rank, kind, end)."""
     text = F.coalesce(df[text_col], F.lit(""))
     found = df.withColumn(
@@ -243,12 +260,18 @@ def add_spans(df: DataFrame, text_col: str = "text", allowed: tuple[str, ...] =
             )
         ),
     )
-    return found.withColumn("spans", F.array_sort(F.concat("base", entropy_spans(text, F.col("base"), allowed))))
+    return found.withColumn("spans", F.array_sort(F.concat("base", entropy_spans(text, F.col("base"), allowed, words))))
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+def scan(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    allowed: tuple[str, ...] = ALLOWED,
+    words: tuple[str, ...] = ALLOWED_WORDS,
+) -> DataFrame:
     """(doc_id, text, base, spans) of every row."""
-    return add_spans(id_and_text(df, id_col, text_col), "text", allowed)
+    return add_spans(id_and_text(df, id_col, text_col), "text", allowed, words)
 
 
 def written(spans: Column) -> Column:
@@ -261,28 +284,53 @@ def written(spans: Column) -> Column:
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with each span replaced by `mark`; spans that overlap or touch become one.
 
-    The spans are ordered by start. What lies between them is cut out by position, so this costs a
-    text's length for every span it has.
+    The spans are ordered by start. What lies between them is cut from blocks of the text, so that a place far
+    into a long text is not counted out from its beginning for each span.
     """
-    state = "struct<parts:array<string>,at:long>"
-    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).cast("long").alias("at")).cast(state)
+    size = F.char_length(text).cast("long")
+    given = F.struct(
+        text.alias("text"),
+        spans.alias("spans"),
+        size.alias("size"),
+        F.greatest(F.lit(4096), 8 * F.floor(F.sqrt(size))).cast("int").alias("block"),
+        F.transform(spans, lambda span: span["end"]).alias("ends"),
+    )
 
-    def cut(begin: Column, end: Column) -> Column:
-        return F.substring(text, (begin + 1).cast("int"), (end - begin).cast("int"))
+    def prepared(row: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0).cast("long"), F.floor(row["size"] / row["block"])),
+            lambda number: F.substring(row["text"], (number * row["block"] + 1).cast("int"), row["block"]),
+        )
+        covered = running(row["ends"], lambda a, b: F.greatest(a, b))
+        parts = F.struct(blocks.alias("blocks"), covered.alias("covered"))
+        return let(parts, lambda taken: pieces(row, taken))
+
+    def pieces(row: Column, taken: Column) -> Column:
+        block = row["block"]
+
+        def cut(begin: Column, end: Column) -> Column:
+            """Code points from begin to end, of one block or of several."""
+            first, last = F.floor(begin / block).cast("int"), F.floor(end / block).cast("int")
+            skipped = (begin - first * block).cast("int")
+            opening = F.get(taken["blocks"], first)
+            return F.when(first == last, F.substring(opening, skipped + 1, (end - begin).cast("int"))).otherwise(
+                F.concat(
+                    F.substring(opening, skipped + 1, block),
+                    F.array_join(F.slice(taken["blocks"], first + 2, last - first - 1), ""),
+                    F.substring(F.get(taken["blocks"], last), F.lit(1), (end - last * block).cast("int")),
+                )
+            )
 
-    def step(so_far: Column, span: Column) -> Column:
-        new = (span["start"] > so_far["at"]) | (F.size(so_far["parts"]) == 0)
-        return F.struct(
-            F.when(new, F.concat(so_far["parts"], F.array(cut(so_far["at"], span["start"]))))
-            .otherwise(so_far["parts"])
-            .alias("parts"),
-            F.greatest(so_far["at"], span["end"]).alias("at"),
-        ).cast(state)
+        def start(number: Column) -> Column:
+            return F.get(row["spans"], number)["start"]
 
-    whole = F.aggregate(
-        spans,
-        start,
-        step,
-        lambda done: F.concat(done["parts"], F.array(F.substring(text, (done["at"] + 1).cast("int"), F.lit(2**31 - 1)))),
-    )
-    return F.when(F.size(spans) > 0, F.array_join(whole, mark)).otherwise(text)
+        def before(number: Column) -> Column:
+            return F.get(taken["covered"], number)
+
+        heads = F.filter(
+            F.sequence(F.lit(0), F.size(row["spans"]) - 1), lambda number: (number == 0) | (start(number) > before(number))
+        )
+        between = F.transform(heads, lambda number: cut(before(number), start(number)))
+        return F.concat(between, F.array(cut(F.array_max(row["ends"]), row["size"])))
+
+    return F.when(F.size(spans) > 0, F.array_join(let(given, prepared), mark)).otherwise(text)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import string
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -31,13 +32,19 @@ def brute_force(text):
         if len(match[group]) >= least
     ]
     more = []
-    for match in re.finditer(scan.CANDIDATE, text):
-        string = match[0]
-        if any(re.search(allowed, string) for allowed in scan.ALLOWED):
+    blanked = text
+    for word in scan.ALLOWED_WORDS:
+        blanked = re.sub(word, "." * len(word), blanked, flags=re.I | re.A)
+    for match in re.finditer(scan.CANDIDATE, blanked):
+        candidate = match[0]
+        if any(re.search(allowed, candidate) for allowed in scan.ALLOWED):
             continue
-        kind, least = next((kind, least) for kind, regex, least in scan.CLASSES if re.search(regex, string))
+        kind, least = next(
+            ((kind, least) for kind, regex, holds, least in scan.CLASSES if all(re.search(each, candidate) for each in (regex, *holds))),
+            (None, math.inf),
+        )
         high = [
-            at for at in range(len(string) - scan.WINDOW + 1) if entropy(string[at : at + scan.WINDOW]) >= least - 1e-9
+            at for at in range(len(candidate) - scan.WINDOW + 1) if entropy(candidate[at : at + scan.WINDOW]) >= least - 1e-9
         ]
         if high:
             start, end = match.start() + high[0], match.start() + high[-1] + scan.WINDOW
@@ -111,6 +118,52 @@ def test_allow_list_is_a_parameter(spark):
     kinds = lambda **given: [span["kind"] for span in scan.scan(frame, **given).first()["spans"]]
     assert kinds() == ["entropy_alnum", "hex"]
     assert kinds(allowed=("^Zx9", "^dead")) == ["hex"]  # base spans stay
+    assert kinds(words=("kd82", "beef")) == ["hex"]
+
+
+def found(spark, texts):
+    rows = scan.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).orderBy("doc_id").collect()
+    return [[span["kind"] for span in row["spans"]] for row in rows]
+
+
+def test_ordinary_long_strings_are_no_secrets(spark):
+    texts = [
+        "/usr/local/lib/python3/site-packages", "the-quick-brown-fox-jumps-over", "12345678901234567890", "3141592653589793238462",
+        "internationalization", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "some_long_variable_name_of_words", "550e8400-e29b-41d4-a716-446655440000",
+    ]
+    assert found(spark, texts) == [[]] * len(texts)
+
+
+def test_a_word_of_the_allow_list_ends_a_candidate(spark):
+    """A placeholder beside a key does not hide the key."""
+    key = "Zx9Kd82Qw7Lp3Vb6Nm5T"
+    assert found(spark, [f"example{key}", f"{key}/EXAMPLE/path", f"{key[:10]}example{key[10:]}", f"your-{key}"]) == [
+        ["entropy_alnum"], ["entropy_base64"], [], ["entropy_alnum"]
+    ]
+
+
+def test_hit_and_false_alarm_rates(spark):
+    """The rates that the README states, measured on random strings."""
+    source, letters = random.Random(12), string.ascii_letters
+    made = {
+        "hex": "0123456789abcdef", "letters": letters, "lower and digits": string.ascii_lowercase + string.digits, "base64": letters + string.digits + "+/",
+    }
+    rates = {}
+    for name, signs in made.items():
+        for length in (20, 32, 40):
+            texts = ["".join(source.choices(signs, k=length)) for _ in range(400)]
+            rates[name, length] = sum(map(bool, found(spark, texts))) / len(texts)
+    print(rates)
+    assert min(rates.values()) > 0.4 and min(rate for (_, length), rate in rates.items() if length >= 32) > 0.8
+    texts = (row["text"] or "" for row in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect())
+    words = sorted({word for text in texts for word in re.findall(r"\b[a-z]+\b", text)})
+    joined = [sign.join(source.choices(words, k=5)) for sign in "-/_" for _ in range(1000)]
+    assert not any(found(spark, joined))
+
+
+def test_cutting_takes_time_in_proportion_to_spans_and_text(spark):
+    text = "token=abcdef1 clean words " * 8000 + "é" * 5000 + " token=abcdef1"
+    check(spark, [text, "é😀" * 5000 + "token=abcdef1" + "x y" * 3000, "token=abcdef1", "token=abcdef1" + " " * 4096 + "token=abcdef1"])
 
 
 def test_repeated_rows_empty_table_clashing_columns_and_no_python(spark):
