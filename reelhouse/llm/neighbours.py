@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import checkpointed, parts_for
+from reelhouse.operators.ranking import rank_in_groups
 
 CURVES, DIMENSIONS, BITS = 8, 8, 7
 #: Vectors from which the scale of each projected dimension is learnt, and queries that are compared with all rows.
@@ -147,20 +148,10 @@ def curve_ranks(vectors: DataFrame, curves: Curves) -> DataFrame:
                         ["curve", "key", "rep"],
                     )
 
-    ordered = checkpointed(
-        vectors.select("rep", "vector")
-        .mapInArrow(keyed, "curve int, key long, rep long")
-        .repartitionByRange(parts_for(vectors), "curve", "key", "rep")
-        .withColumn("part", F.spark_partition_id())
-    )
-    before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = ordered.groupBy("curve", "part").agg(F.count("*").alias("held")).select(
-        "curve", "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("shift")
-    )
-    in_part = Window.partitionBy("curve", "part").orderBy("key", "rep")
-    return ordered.withColumn("place", F.row_number().over(in_part) - 1).join(shifts, ["curve", "part"]).select(
-        "curve", "rep", (F.col("place") + F.col("shift")).alias("place")
-    )
+    placed = vectors.select("rep", "vector").mapInArrow(keyed, "curve int, key long, rep long")
+    # sorted by range over all partitions, so that no curve is sorted in one task
+    ranked = rank_in_groups(placed, ["curve"], [F.col("key"), F.col("rep")], "place")
+    return ranked.select("curve", "rep", (F.col("place") - 1).alias("place"))
 
 
 def nearest_of_all(queries: np.ndarray, vectors: DataFrame, k: int) -> DataFrame:
