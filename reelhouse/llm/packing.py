@@ -78,7 +78,7 @@ class WordBpe:
         texts = texts.cast(pa.large_string())
         whole = np.zeros(len(texts), bool)
         for string in self.special:
-            whole |= pc.match_substring(texts, string, ignore_case=True).fill_null(False).to_numpy(zero_copy_only=False)
+            whole |= pc.match_substring(texts, string).fill_null(False).to_numpy(zero_copy_only=False)
         pieced = self._by_pieces(texts.filter(pa.array(~whole)))
         for text, as_whole in zip(texts, whole):
             if as_whole:
