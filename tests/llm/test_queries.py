@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 import subprocess
 import sys
 import zlib
@@ -14,14 +16,18 @@ import tiktoken
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from reelhouse.llm import byte_bpe, html_text, near_dedup, packing, quality, queries
+from reelhouse.llm import byte_bpe, near_dedup, packing, quality, queries
+from tests.llm.test_clustering import brute_force as clustered
 from tests.llm.test_fingerprints import likeness
+from tests.llm.test_html_text import PlainWords
 from tests.llm.test_near_dedup import brute_force as near_copies
+from tests.llm.test_negatives import brute_force as negatives_of
 from tests.llm.test_neighbours import brute_force as nearest
 from tests.llm.test_packing import check as check_packing
 from tests.llm.test_packing import padded, tokenizer  # noqa: F401
 from tests.llm.test_secret_scan import blotted
 from tests.llm.test_secret_scan import brute_force as secrets
+from tests.llm.test_sharding import check as check_shards
 from tests.oracle_check import connect, difference
 
 
@@ -54,11 +60,17 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 
 def test_html_extraction(spark, sf_dir):
+    """Every page's words, in the order in which another parser reads them."""
     found = by_id(spark, sf_dir, "op1_html_extraction", "page_id")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
-    assert {number: row["text"] for number, row in found.items()} == {
-        page["page_id"]: html_text.html_to_text(page["html"]) for page in pages
-    }
+    assert found.keys() == {page["page_id"] for page in pages}
+    for page in pages:
+        reader = PlainWords()
+        reader.feed(page["html"])
+        if not page["html"].endswith(">"):
+            reader.close()
+        shown = [word for word in found[page["page_id"]]["text"].split() if word != "-"]
+        assert shown == [word for word in reader.words if word != "-"], page["page_id"]
 
 
 def test_near_dedup(spark, sf_dir, documents):
@@ -87,9 +99,28 @@ def test_secret_scan(spark, sf_dir, documents):
         assert (row["n_assign"], row["n_access"], row["n_hex"]) == tuple(kinds.count(k) for k in ("assign", "access", "hex"))
 
 
+def plain_score(text, weights):
+    """The sparse dot product, one feature at a time."""
+    tokens = []
+    for token in re.findall(r"\w+|[^\w\s]+", text):
+        if len(token) > 1 and token != token.lower() and token == token.upper():
+            tokens.append(zlib.crc32(b"<capitals>"))
+        tokens.append(zlib.crc32(token.lower().encode()))
+    first, second = int(quality.MIX_FIRST), int(quality.MIX_SECOND)
+    pairs = [((a * first + b * second) % 2**64) >> 40 for a, b in zip(tokens, tokens[1:])]
+    again = zlib.crc32(b"<again>") % quality.FEATURES
+    features = [each % quality.FEATURES for each in tokens + pairs] + [again] * (len(pairs) - len(set(pairs)))
+    mean = sum(weights[each] for each in features) / len(features) if features else 0.0
+    return 1 / (1 + math.exp(-(weights[-1] + quality.SCALE * mean)))
+
+
 def test_quality_classifier(spark, sf_dir, documents):
     found = by_id(spark, sf_dir, "op6_quality_classifier")
     assert found.keys() == documents.keys()
+    weights = quality.train(*(spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels")))
+    for number, row in found.items():
+        score = plain_score(documents[number], weights)
+        assert abs(row["score"] - score) < 1e-9 and row["predicted"] == (row["score"] >= 0.3)
     assert all(row["held_out"] == (zlib.crc32(str(number).encode()) % 5 == 0) for number, row in found.items())
 
 
@@ -127,6 +158,21 @@ def test_fingerprints(spark, sf_dir, documents):
     assert all(found[number]["fingerprint"] == marks[text] for number, text in documents.items())
 
 
+def test_sharding(spark, sf_dir, documents):
+    found = queries.op11_sharding(spark, sf_dir).collect()
+    held = check_shards(list(documents.items()), found)
+    assert max(held) - min(held) <= 0.01 * sum(held)  # 200 documents, some of a hundredth of all bytes
+    assert {(row["law"], row["grown_shard"]) for row in found} == {("bytes", None)}
+
+
+def test_hard_negatives_and_clustering(spark, sf_dir):
+    rows = [tuple(row) for row in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    mined = sorted(map(tuple, queries.op12_hard_negatives(spark, sf_dir).collect()))
+    assert mined == negatives_of(rows) and mined
+    found = sorted(map(tuple, queries.op13_centroid_clustering(spark, sf_dir).collect()))
+    assert found == sorted(clustered([(number, vector) for number, vector, _ in rows]))
+
+
 def test_pipeline_stages(spark, tokenizer):  # noqa: F811
     """Each stage against plain Python on what the one before kept."""
     sf_dir = "/root/testdata/sf0.01"
