@@ -58,6 +58,7 @@ def parser() -> argparse.ArgumentParser:
     )
     streams.add_argument("--min-partitions", type=int, help="split large Kafka partitions into this many tasks")
     streams.add_argument("--by-day", action="store_true", help="write bronze by ingestion day, for --since")
+    streams.add_argument("--unique-within", metavar="TIME", help='leave out messages delivered again within a time, such as "1 day"')
     streams.add_argument("--keep-rejects", action="store_true", help="keep the raw text of bad messages")
     streams.add_argument(
         "--window-secs",
@@ -168,6 +169,7 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
             arguments.window_secs or None,
             arguments.keep_rejects,
             arguments.by_day,
+            arguments.unique_within,
         )
     elif arguments.step == "transform":
         lake = Lake(arguments.lake)
@@ -212,6 +214,7 @@ def run(spark: SparkSession, arguments: argparse.Namespace) -> None:
                 nan_as_null=arguments.nan_as_null,
                 side_by_side=arguments.side_by_side,
                 by_day=arguments.by_day,
+                unique_within=arguments.unique_within,
                 since=arguments.since,
                 snapshot_date=arguments.snapshot_date,
                 replace_day=arguments.replace_day,

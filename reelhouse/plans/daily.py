@@ -44,6 +44,7 @@ class DailyRun:
     replace_day: bool = False
     keep_rejects: bool = False
     by_day: bool = False
+    unique_within: str | None = None
     since: datetime.date | None = None
     stream_window_secs: float | None = schemas.STREAM_WINDOW_SECS
 
@@ -51,7 +52,7 @@ class DailyRun:
 def run_daily(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
     """Run every step and return scans of the tables by name; the first failure is raised."""
     ingest(spark, run.feeds, run.deliver, run.ingested_at, run.sample, run.multi_line, run.reject)
-    land_topics(spark, run.receive, run.lake, run.stream_window_secs, run.keep_rejects, run.by_day)
+    land_topics(spark, run.receive, run.lake, run.stream_window_secs, run.keep_rejects, run.by_day, run.unique_within)
     tables = transform(
         spark,
         run.lake.titles,

@@ -6,9 +6,14 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from reelhouse import schemas
 from reelhouse.functions import codec
+from reelhouse.plans.bronze import land_topics
+from reelhouse.plans.lake import Lake
+from reelhouse.registry import inputs
 from reelhouse.sinks.events import to_folder
 from reelhouse.sinks.folders import remove_folder
+from reelhouse.sources.bronze import read_bronze
 from reelhouse.sources.events import from_folder
 from reelhouse.streaming import late, stateful
 from reelhouse.streaming.drain import finish, start_drain
@@ -148,6 +153,22 @@ def test_the_state_is_bounded_by_time(spark, folder):
     assert len(set(landed)) == 151 and landed.count(b"again") >= 2
 
 
+def test_the_bronze_job_lands_redelivered_messages_once(spark, sf_dir, folder):
+    """Both topics delivered twice, in two runs; without the option everything lands twice."""
+    rows = {schemas.TITLES_TOPIC: inputs.bronze_titles(spark, sf_dir), schemas.CREDITS_TOPIC: inputs.bronze_credits(spark, sf_dir)}
+    receive = lambda session, topic: from_folder(session, f"{folder}/{topic}")
+    lakes = {"1 day": Lake(f"{folder}/unique"), None: Lake(f"{folder}/all")}
+    for _ in range(2):
+        for topic, df in rows.items():
+            to_folder(codec.encode(df), f"{folder}/{topic}")
+        for within, lake in lakes.items():
+            land_topics(spark, receive, lake, keep_rejects=True, unique_within=within)
+    for topic, columns, place in ((schemas.TITLES_TOPIC, schemas.TITLES, "titles"), (schemas.CREDITS_TOPIC, schemas.CREDITS, "credits")):
+        landed = {within: read_bronze(spark, getattr(lake, place), columns) for within, lake in lakes.items()}
+        assert sorted(map(repr, landed["1 day"].collect())) == sorted(map(repr, rows[topic].distinct().collect()))
+        assert landed[None].count() == 2 * rows[topic].count()
+
+
 # --- two streams
 
 TITLES, CREDITS = "id string, title string, t timestamp", "id string, person string, c timestamp"
