@@ -87,13 +87,20 @@ def unreferenced(
 def reference_counts(
     smaller: DataFrame, larger: DataFrame, smaller_keys: Sequence[str], larger_keys: Sequence[str]
 ) -> DataFrame:
-    """(side, row_count, orphan_rows, orphan_keys) of both tables; rows with a null in their key are orphans without a key."""
-    unmet, orphans = unreferenced(smaller, larger, smaller_keys, larger_keys)
+    """(side, row_count, orphan_rows, orphan_keys) of both tables; rows with a null in their key are orphans without a key.
 
-    def counted(side: str, df: DataFrame, bad: DataFrame, keys: Sequence[str]) -> DataFrame:
-        # by key first: two steps that each combine in the task, and no distinct over whole rows
-        by_key = bad.groupBy(*keys).agg(F.count("*").alias("held"))
-        found = by_key.agg(F.coalesce(F.sum("held"), F.lit(0)).alias("orphan_rows"), F.count_if(_present(keys)).alias("orphan_keys"))
-        return df.agg(F.lit(side).alias("side"), F.count("*").alias("row_count")).crossJoin(F.broadcast(found))
+    Each table is read once, to count the rows of each key; what is looked up, and passes the filter, are keys.
+    """
+
+    def by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return checkpointed(df.groupBy(*keys).agg(F.count("*").alias("held")))
+
+    counts = by_key(smaller, smaller_keys), by_key(larger, larger_keys)
+    unmet, orphans = unreferenced(*counts, smaller_keys, larger_keys)
+
+    def counted(side: str, all_keys: DataFrame, bad: DataFrame, keys: Sequence[str]) -> DataFrame:
+        rows = F.coalesce(F.sum("held"), F.lit(0))
+        found = bad.agg(rows.alias("orphan_rows"), F.count_if(_present(keys)).alias("orphan_keys"))
+        return all_keys.agg(F.lit(side).alias("side"), rows.alias("row_count")).crossJoin(F.broadcast(found))
 
-    return counted("smaller", smaller, unmet, smaller_keys).unionByName(counted("larger", larger, orphans, larger_keys))
+    return counted("smaller", counts[0], unmet, smaller_keys).unionByName(counted("larger", counts[1], orphans, larger_keys))

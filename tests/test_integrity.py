@@ -48,6 +48,15 @@ def test_counts(spark):
     assert counts == {("smaller", 7, 4, 2), ("larger", 56, 5, 2)}
 
 
+def test_counts_read_each_table_once(spark, folder):
+    """The counts are worked out from the rows of each key, which are stored; no scan of a table is left in them."""
+    spark.createDataFrame(TITLES * 3, SMALL).write.parquet(f"{folder}/titles")
+    spark.createDataFrame(CREDITS * 3, LARGE).write.parquet(f"{folder}/credits")
+    found = integrity.reference_counts(*(spark.read.parquet(f"{folder}/{name}") for name in ("titles", "credits")), KEYS, KEYS)
+    assert "FileScan" not in plan(found)
+    assert {tuple(row) for row in found.collect()} == {("smaller", 21, 12, 2), ("larger", 168, 15, 2)}
+
+
 def test_keys_of_other_names_and_many_rows(spark):
     small = spark.range(0, 3000, 3).selectExpr("id AS a", "concat('n', id) AS b", "1 AS extra")
     large = spark.range(0, 9000).selectExpr("id AS c", "concat('n', id) AS d", "id % 7 AS _key0")
