@@ -138,6 +138,16 @@ def test_null_and_empty_messages_are_messages(spark, folder):
     assert sorted((row["value"] for row in spark.read.parquet(f"{folder}/out").collect()), key=repr) == sorted([None, b"", b"x"], key=repr)
 
 
+def test_a_message_takes_a_short_digest_in_the_state(spark, folder):
+    """What is shuffled and kept beside a message is small, and differs between messages; null has a row of its own."""
+    values = [(f"message {number}".encode(),) for number in range(500)] * 2 + [(None,), (b"",), (None,)]
+    spark.createDataFrame(values, "value binary").write.parquet(f"{folder}/landing")
+    unique(spark, folder, "1 hour")
+    held = spark.read.format("statestore").load(f"{folder}/state").select("key.*").collect()
+    assert len(held) == 502 and len(set(map(tuple, held))) == 502
+    assert sorted({sum(len(each) for each in row if isinstance(each, (str, bytes, bytearray))) for row in held}) == [0, 16]
+
+
 def test_the_state_is_bounded_by_time(spark, folder):
     """What arrived longer ago than the time is dropped; a message that comes again after it passes again."""
     held = []
