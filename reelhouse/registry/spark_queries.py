@@ -48,6 +48,8 @@ EVENT_KEY = {
     "credits": ["character_name", "person_ID", "id", "ingestion_timestamp"],
 }
 SECOND_DELIVERY = {"titles": "2024-01-02", "credits": "2024-01-05"}
+# Messages in a landed file, so that no task holds more, however many there are.
+ROWS_PER_FILE = 1_000_000
 # Types that every engine writes the same way.
 EXACT = ("string", "int", "date")
 
@@ -242,11 +244,12 @@ def stream_resume(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_window(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze after as many runs as it takes with a time limit far below what the backlog needs."""
     landing, lake, checkpoint = (scratch_path(spark, label) for label in ("landing", "bronze", "checkpoint"))
-    files = 3
-    to_folder(codec.encode(_bronze(spark, sf_dir, entity)).repartition(files), landing)
-    for _ in range(files + 1):
+    rows, batches = _bronze(spark, sf_dir, entity), 3
+    files = max(batches, -(-rows.count() // ROWS_PER_FILE))
+    to_folder(codec.encode(rows).repartition(files), landing)
+    for _ in range(batches + 1):
         try:
-            events = from_folder(spark, landing, max_files_per_trigger=1)
+            events = from_folder(spark, landing, max_files_per_trigger=-(-files // batches))
             finish(start_bronze(events, _columns(entity), lake, checkpoint), 0.001)
             break
         except TimeoutError:

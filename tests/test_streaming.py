@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from reelhouse import schemas
 from reelhouse.functions.codec import encode
 from reelhouse.plans.bronze import land_topics, start_bronze
 from reelhouse.plans.lake import Lake
-from reelhouse.registry import inputs
+from reelhouse.registry import inputs, spark_queries
 from reelhouse.sinks.events import to_folder
 from reelhouse.sources.bronze import read_bronze
 from reelhouse.sources.events import from_folder
@@ -31,6 +33,21 @@ def test_rerun_adds_nothing_and_a_new_file_only_itself(spark, sf_dir, folder):
     assert drain(spark, folder).count() == first + titles.where("release_year = 2000").count()
 
 
+def test_a_windowed_backlog_lies_in_files_of_bounded_size(spark, folder, monkeypatch):
+    """The files of the backlog grow in number with its rows, and its runs stay as many."""
+    rows = spark.range(5000).selectExpr("cast(id AS string) AS person_ID", "concat('tm', id % 70) AS id", "'x' AS platform", *(
+        f"cast(NULL AS string) AS {name}" for name in ("name", "character_name", "role", "ingestion_timestamp")
+    )).select(*schemas.CREDITS)
+    monkeypatch.setattr(spark_queries, "_bronze", lambda *_: rows)
+    monkeypatch.setattr(spark_queries, "scratch_path", lambda _, label: f"{folder}/{label}")
+    monkeypatch.setattr(spark_queries, "ROWS_PER_FILE", 500)
+    landed = spark_queries.stream_window("credits", spark, "").collect()
+    assert sorted(map(repr, landed)) == sorted(map(repr, rows.collect()))
+    files = spark.read.parquet(f"{folder}/landing").groupBy("_metadata.file_path").count().collect()
+    assert len(files) == 10 and max(row["count"] for row in files) <= 520
+    assert len(list((Path(folder) / "checkpoint" / "commits").glob("[0-9]*"))) == 3
+
+
 def test_bounded_batches_land_the_same_rows(spark, sf_dir, folder):
     titles = inputs.bronze_titles(spark, sf_dir)
     to_folder(encode(titles.repartition(5)), f"{folder}/landing")
