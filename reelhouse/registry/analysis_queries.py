@@ -223,8 +223,9 @@ DELIVERED = ("2024-01-08 12:15:00", "2024-01-17 12:15:00")
 
 def stream_join(keep_unmatched: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles with the credits that follow within 4.5 hours, delivered and drained in three parts."""
-    titles = _titles(spark, sf_dir).withColumn("title_time", F.expr(TITLE_TIME)).select("id", "platform", "title", "title_time")
-    credits = _credits(spark, sf_dir).withColumn("credit_time", F.expr(CREDIT_TIME)).select("id", "platform", "person_ID", "role", "credit_time")
+    titles, credits = dedupe.transformed_titles(inputs.bronze_titles(spark, sf_dir)), dedupe.transformed_credits(inputs.bronze_credits(spark, sf_dir))
+    titles = _kept(titles.select("id", "platform", "title", F.expr(TITLE_TIME).alias("title_time")))
+    credits = _kept(credits.select("id", "platform", "person_ID", "role", F.expr(CREDIT_TIME).alias("credit_time")))
     sides = {"titles": (titles, "title_time", TITLE_EVENTS), "credits": (credits, "credit_time", CREDIT_EVENTS)}
     base, out, checkpoint = (scratch_path(spark, label) for label in ("join", "joined", "checkpoint"))
     edges = ["0000-01-01 00:00:00", *DELIVERED, "9999-01-01 00:00:00"]

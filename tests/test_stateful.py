@@ -10,7 +10,7 @@ from reelhouse import schemas
 from reelhouse.functions import codec
 from reelhouse.plans.bronze import land_topics
 from reelhouse.plans.lake import Lake
-from reelhouse.registry import inputs
+from reelhouse.registry import analysis_queries, inputs
 from reelhouse.sinks.events import to_folder
 from reelhouse.sinks.folders import remove_folder
 from reelhouse.sources.bronze import read_bronze
@@ -107,6 +107,31 @@ def test_several_dealt_batches_at_once_lose_nothing(spark, folder):
     assert on_time + len(windows.late()) == 10 and sum(n for n, _ in windows.closed().values()) == on_time
 
 
+def test_the_split_writes_both_folders_without_a_sort(spark, folder, monkeypatch):
+    """Its setting for that is the stream's own; the caller's session keeps what it had."""
+    given, seen, looked = spark.conf.get(late.WRITERS_SETTING), [], late._highest_before
+
+    def recorded(session, *rest):
+        seen.append(session.conf.get(late.WRITERS_SETTING))
+        return looked(session, *rest)
+
+    monkeypatch.setattr(late, "_highest_before", recorded)
+    windows = Windows(spark, folder)
+    windows.drain([("a", at(0), 1), ("a", at(9), 1)])
+    windows.drain([("a", at(1), 2), ("a", at(8), 3), ("a", None, 4), ("a", at(2), 5), ("a", at(10), 6)])
+    assert seen == ["2", "2"] and spark.conf.get(late.WRITERS_SETTING) == given
+    assert {row["v"] for row in late.late_rows(spark, f"{folder}/dealt", EVENTS).collect()} == {2, 4, 5}
+    assert {row["v"] for row in spark.read.parquet(f"{folder}/dealt/rows/_late=0").collect()} == {1, 3, 6}
+
+
+def test_the_joined_streams_store_only_what_they_deliver(spark, sf_dir, monkeypatch):
+    stored, kept = [], analysis_queries._kept
+    monkeypatch.setattr(analysis_queries, "_kept", lambda df: stored.append(df.columns) or kept(df))
+    rows = analysis_queries.stream_join(False, spark, sf_dir)
+    assert stored == [["id", "platform", "title", "title_time"], ["id", "platform", "person_ID", "role", "credit_time"]]
+    assert rows.columns == ["id", "platform", "title", "person_ID", "role"]
+
+
 def test_no_late_rows_is_no_error(spark, folder):
     windows = Windows(spark, folder)
     windows.drain([("a", at(0), 1)])
