@@ -73,12 +73,13 @@ class WordBpe:
         """Little-endian unsigned 32-bit ids of each text.
 
         Pieces lie between ASCII white space; any other is left inside a piece, to the tokenizer. The few texts that may
-        hold a special string are encoded as a whole.
+        hold a special string are encoded as a whole, and so are those whose pieces, in small letters, would hold one.
         """
         texts = texts.cast(pa.large_string())
-        whole = np.zeros(len(texts), bool)
+        whole, lower = np.zeros(len(texts), bool), pc.ascii_lower(texts)
         for string in self.special:
-            whole |= pc.match_substring(texts, string).fill_null(False).to_numpy(zero_copy_only=False)
+            written = pc.ascii_lower(pa.scalar(string)).as_py()
+            whole |= pc.match_substring(lower, written).fill_null(False).to_numpy(zero_copy_only=False)
         pieced = self._by_pieces(texts.filter(pa.array(~whole)))
         for text, as_whole in zip(texts, whole):
             if as_whole:
