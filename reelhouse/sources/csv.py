@@ -16,20 +16,21 @@ RAW_RECORD = "_raw_record"
 
 
 def _unfinished_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Per file, whether some line is not a whole record by itself.
+    """The lines that are not a whole record by themselves, each as the path of its file.
 
     Once doubled quotes and complete quoted fields are taken out, a whole record has no quote
-    left. One scan over the lines, in as many tasks as the files have splits.
+    left. Lines without any quote, mostly all, are not searched further. One scan over the lines, in as many tasks
+    as the files have splits.
     """
     line = F.replace(F.col("value"), F.lit('""'), F.lit(""))
     rest = F.regexp_replace(line, r'(^|,)"[^"]*"(?=,|$)', "$1")
-    lines = spark.read.text(path).select("_metadata.file_path", F.contains(rest, F.lit('"')).alias("unfinished"))
-    return lines.groupBy("file_path").agg(F.max("unfinished").alias("unfinished"))
+    unfinished = F.when(F.contains("value", F.lit('"')), F.contains(rest, F.lit('"')))
+    return spark.read.text(path).where(unfinished).select("_metadata.file_path")
 
 
 def has_split_records(spark: SparkSession, path: str) -> bool:
     """Whether some line of the files is not a whole record by itself."""
-    return not _unfinished_lines(spark, path).where("unfinished").isEmpty()
+    return not _unfinished_lines(spark, path).isEmpty()
 
 
 def _scans(spark: SparkSession, path: str, multi_line: bool | None) -> list[tuple[str | list[str], bool]]:
@@ -39,7 +40,7 @@ def _scans(spark: SparkSession, path: str, multi_line: bool | None) -> list[tupl
     """
     if multi_line is not None:
         return [(path, multi_line)]
-    whole = {unquote(row["file_path"]) for row in _unfinished_lines(spark, path).where("unfinished").collect()}
+    whole = {unquote(row["file_path"]) for row in _unfinished_lines(spark, path).distinct().collect()}
     if not whole:
         return [(path, False)]
     split = [file for file in map(unquote, spark.read.text(path).inputFiles()) if _plain(file) not in map(_plain, whole)]

@@ -20,7 +20,7 @@ from reelhouse.session import scratch_path
 from reelhouse.sinks import events as event_sink
 from reelhouse.sources import events as event_source
 from reelhouse.sources.bronze import read_bronze
-from reelhouse.sources.csv import RAW_RECORD, has_split_records, read_csv
+from reelhouse.sources.csv import RAW_RECORD, _unfinished_lines, has_split_records, read_csv
 from reelhouse.sources.errors import MissingInput
 
 COLUMNS = {"id": "string", "title": "string", "seasons": "int", "imdb_score": "float"}
@@ -98,6 +98,14 @@ def test_records_that_span_lines_are_found(spark, folder, text, split):
     assert has_split_records(spark, folder) is split
 
 
+def test_only_unfinished_lines_leave_the_scan(spark, folder):
+    """Not a row per line or file: whole records, with quotes or without, are dropped where they are read."""
+    write(folder, 'a,b\n1,2\n"1, ""x""",""\n', "whole.csv")
+    write(folder, 'a,b\n1,2\n"1\n2",3\n', "split.csv")
+    found = [row["file_path"] for row in _unfinished_lines(spark, folder).collect()]
+    assert len(found) == 2 and all(path.endswith("/split.csv") for path in found)
+
+
 cells = st.text(alphabet='ab", \n\\#', max_size=8)
 
 
