@@ -13,7 +13,7 @@ import pytest
 
 from reelhouse import DailyRun, Feed, Lake, run_daily, schemas, transform
 from reelhouse.functions.codec import encode
-from reelhouse.plans.bronze import land_topics, start_bronze
+from reelhouse.plans.bronze import bronze_day, land_topics, start_bronze
 from reelhouse.plans.ingest import ingest
 from reelhouse.plans.publish import publish_tables
 from reelhouse.registry import inputs
@@ -214,6 +214,21 @@ def test_rows_without_a_usable_timestamp_share_a_folder_and_are_always_read(spar
     assert ids(datetime.date(2024, 2, 1)) == {f"t{n}" for n in range(8)}
 
 
+def test_plain_timestamps_are_dated_without_parsing_them(spark):
+    """Their text decides; all others are parsed, and both have the day that parsing gives."""
+    times = [
+        "2024-02-28 00:00:00", "2024-02-29 23:59:59", "2024-03-31 02:30:00", "2000-01-01 00:00:00", "2099-12-28 23:59:59",
+        "2023-02-29 00:00:00", "2024-01-02 24:00:00", "2024-01-02 06:60:00", "2024-1-02 06:30:00", "2024-01-02T06:30:00",
+        " 2024-01-02 06:30:00", "2024-01-02 06:30:00\n", "2024-01-02 06:30:00.0", "1999-12-28 23:59:59", "2100-01-01 00:00:00",
+    ]
+    rows = spark.createDataFrame([(time,) for time in times], "time string").repartition(2)
+    days = rows.select("time", bronze_day("time").alias("day"))
+    assert {row["time"]: row["day"] for row in days.collect()} == {
+        time: time[:10] if number < 5 else "undated" for number, time in enumerate(times)
+    }
+    assert re.search(r"CASE WHEN RLIKE\(time#\d+, .* ELSE date_format\(gettimestamp", str(days._jdf.queryExecution().optimizedPlan()))
+
+
 def test_title_files_are_sorted_by_platform(transformed):
     """So a reader of one platform skips the pages of the others."""
     _, run = transformed
