@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from reelhouse import schemas
 from reelhouse.functions.codec import encode
@@ -14,7 +17,7 @@ from reelhouse.registry import inputs, spark_queries
 from reelhouse.sinks.events import to_folder
 from reelhouse.sources.bronze import read_bronze
 from reelhouse.sources.events import from_folder
-from reelhouse.streaming.drain import drain_all, finish
+from reelhouse.streaming.drain import drain_all, finish, start_drain
 
 
 def drain(spark, folder, **limits):
@@ -135,6 +138,25 @@ def test_interrupted_drain_goes_on_where_it_stopped(spark, sf_dir, folder):
     assert sorted(map(repr, landed.collect())) == sorted(map(repr, titles.collect()))
 
 
+def test_time_limit_stops_a_stream_while_a_job_of_its_next_batch_runs(spark, folder, monkeypatch):
+    """Stopped between batches, the source may have logged files that the next run adds to a batch of its own."""
+    to_folder(encode(spark.range(400).selectExpr("cast(id AS string) AS id").repartition(4)), f"{folder}/landing")
+    slow = F.udf(lambda value: time.sleep(0.01) or value, "binary")
+    tracker, at_stop, stop = spark.sparkContext.statusTracker(), [], StreamingQuery.stop
+
+    def watched(query):
+        at_stop.append(set(tracker.getJobIdsForGroup(str(query.runId))) & set(tracker.getActiveJobsIds()))
+        stop(query)
+
+    monkeypatch.setattr(StreamingQuery, "stop", watched)
+    for _ in range(3):
+        stream = from_folder(spark, f"{folder}/landing", max_files_per_trigger=1).select(slow("value").alias("value"))
+        with pytest.raises(TimeoutError):
+            finish(start_drain(stream, f"{folder}/out", f"{folder}/checkpoint"), 0.001)
+    assert len(at_stop) == 3 and all(at_stop)
+    assert len(list((Path(folder) / "checkpoint" / "commits").glob("[0-9]*"))) == 3
+
+
 def test_time_limit_waits_for_the_first_batch():
     class Slow(Endless):
         waits = 0
