@@ -11,6 +11,8 @@ from reelhouse.functions import codec
 from reelhouse.plans.bronze import land_topics
 from reelhouse.plans.lake import Lake
 from reelhouse.registry import analysis_queries, inputs
+from reelhouse.session import settings
+from reelhouse.sinks import events
 from reelhouse.sinks.events import to_folder
 from reelhouse.sinks.folders import remove_folder
 from reelhouse.sources.bronze import read_bronze
@@ -204,6 +206,67 @@ def test_the_bronze_job_lands_redelivered_messages_once(spark, sf_dir, folder):
         assert landed[None].count() == 2 * rows[topic].count()
 
 
+def shuffled_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(each).getName() for each in range(files.size()) if files.apply(each).getName().startswith("shuffle_")}
+
+
+def test_a_drain_leaves_nothing_shuffled_and_its_state_on_disk(spark, folder):
+    """Each batch removes what it dealt; the session has its own settings again afterwards, even if the drain fails."""
+    given = {key: spark.conf.get(key, None) for key in stateful.UNIQUE_SETTINGS}
+    for delivery in range(2):
+        rows = [(f"message {number}".encode(),) for number in range(500 * delivery, 500 * delivery + 1000)]
+        spark.createDataFrame(rows, "value binary").repartition(3).write.mode("append").parquet(f"{folder}/landing")
+        before = shuffled_files(spark)
+        with settings(spark, stateful.UNIQUE_SETTINGS):
+            arrived = from_folder(spark, f"{folder}/landing", max_bytes_per_trigger=1)
+            query = start_drain(stateful.unique_events(arrived, "1 hour"), f"{folder}/out", f"{folder}/state")
+            finish(query)
+        assert query.lastProgress.batchId == 3 * delivery + 2
+        assert shuffled_files(spark) <= before
+        assert query.lastProgress.stateOperators[0].customMetrics["rocksdbPutCount"] > 0
+    assert spark.read.parquet(f"{folder}/out").distinct().count() == spark.read.parquet(f"{folder}/out").count() == 1500
+    with pytest.raises(ZeroDivisionError), settings(spark, stateful.UNIQUE_SETTINGS):
+        raise ZeroDivisionError
+    assert {key: spark.conf.get(key, None) for key in stateful.UNIQUE_SETTINGS} == given
+
+
+def test_a_checkpoint_with_its_state_in_memory_goes_on(spark, folder):
+    """A drain begun without the settings is gone on from with them, and the other way round."""
+    for delivery, values in enumerate((stateful.UNIQUE_SETTINGS, {}, stateful.UNIQUE_SETTINGS)):
+        for first in ("memory", "disk"):
+            rows = [(f"message {number}".encode(),) for number in range(50 * (delivery + 1))] + [(None,)]
+            spark.createDataFrame(rows, "value binary").write.mode("append").parquet(f"{folder}/{first}/landing")
+            with settings(spark, {} if delivery == 0 and first == "memory" else values):
+                unique(spark, f"{folder}/{first}", "1 hour")
+    for first in ("memory", "disk"):
+        assert spark.read.parquet(f"{folder}/{first}/out").count() == 151
+
+
+def test_unique_events_are_drained_in_bounded_batches_with_their_settings(spark, sf_dir, monkeypatch):
+    """The query's two drains, of some batches each, both with their state on disk."""
+    seen, finished = [], analysis_queries.finish
+
+    def recorded(query):
+        finished(query)
+        seen.append((query.lastProgress.batchId, "rocksdbPutCount" in query.lastProgress.stateOperators[0].customMetrics))
+
+    monkeypatch.setattr(analysis_queries, "finish", recorded)
+    monkeypatch.setattr(analysis_queries, "UNIQUE_BATCH_BYTES", 1)
+    rows = analysis_queries.stream_unique("credits", spark, sf_dir)
+    assert [on_disk for _, on_disk in seen] == [True, True] and 0 < seen[0][0] < seen[1][0]
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, inputs.bronze_credits(spark, sf_dir).distinct().collect()))
+
+
+def test_a_landed_file_is_read_in_parts(spark, folder, monkeypatch):
+    monkeypatch.setattr(events, "ROW_GROUP_BYTES", 100_000)
+    rows = spark.range(50_000).select(F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("value"))
+    to_folder(rows.coalesce(1), f"{folder}/landing")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "200k"}):
+        parts = spark.read.parquet(f"{folder}/landing").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 4 and sum(part["count"] for part in parts) == 50_000
+
+
 # --- two streams
 
 TITLES, CREDITS = "id string, title string, t timestamp", "id string, person string, c timestamp"
